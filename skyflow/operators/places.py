@@ -78,23 +78,39 @@ def _occupied(places: DataFrame, size: float) -> DataFrame:
     )
 
 
-def _within_reach(pairs: DataFrame, size: float, target_radius) -> DataFrame:
+def _search_cells(places: DataFrame, size: float) -> DataFrame:
+    """All cells ``q`` of a grid with middle, reach ``qr`` and the cell ``above`` they split."""
+    count = int(180 / size) * int(360 / size)
+    q = F.col("q")
+    lat, lon = cell_centre(q, size)
+    cells = places.sparkSession.range(count).withColumnRenamed("id", "q")
+    cells = _with_vector(cells, lat, lon, "q").withColumn("qr", cell_radius(lat, size))
+    return cells.withColumn("above", _parent(q, size))
+
+
+def _within_reach(pairs: DataFrame, target_radius) -> DataFrame:
     """Pairs of a search cell ``q`` and a target that may hold the nearest place of some point in ``q``.
 
     With ``d`` between the middles, a point of ``q`` has a place at ``d + qr + pr`` at most,
-    and none of this target nearer than ``d - qr - pr``.
+    and none of this target nearer than ``d - qr - pr``. ``best`` is the least upper bound;
+    the one of the coarser cell, if there, already discards most pairs before the shuffle.
     """
-    lat, lon = cell_centre(F.col("q"), size)
-    measured = _with_vector(pairs, lat, lon, "q").withColumn("qr", cell_radius(lat, size))
-    measured = measured.withColumn("d", angle_of_chord(squared_chord(_vector("q"), _vector("p"))))
+    angle = angle_of_chord(squared_chord(_vector("q"), _vector("p")))
+    # Generated, so that a filter pushed down does not compute the angle once more.
+    measured = pairs.withColumn("d", F.explode(F.array(angle)))
+    nearest = F.col("d") - F.col("qr") - target_radius - F.lit(SLACK)
+    if "best" in pairs.columns:
+        measured = measured.filter(nearest <= F.col("best"))
     best = F.min(F.col("d") + F.col("qr") + target_radius).over(Window.partitionBy("q"))
-    kept = measured.withColumn("best", best).filter(
-        F.col("d") - F.col("qr") - target_radius <= F.col("best") + F.lit(SLACK)
-    )
-    return kept
+    return measured.withColumn("best", best).filter(nearest <= F.col("best"))
 
 
-def place_index(places: DataFrame, levels: int = 3) -> DataFrame:
+def _split(pairs: DataFrame, cells: DataFrame) -> DataFrame:
+    """Each pair once for every finer search cell inside its search cell."""
+    return pairs.withColumnRenamed("q", "above").join(cells, "above").drop("above")
+
+
+def place_index(places: DataFrame, paired_levels: int = 1, levels: int = 3) -> DataFrame:
     """For every cell of a world grid, the places that are nearest to some point of the cell.
 
     ``places`` has ``id, lat, lon, country``. Result: ``lookup_key`` (the cell) and
@@ -102,57 +118,45 @@ def place_index(places: DataFrame, levels: int = 3) -> DataFrame:
     country keeps one of them, as every point of it gets the same answer. The grid size is
     ``45 / 4 ** (levels - 1)`` degrees and is recorded as ``size``.
 
-    The search walks down the grids. On each, a pair of a search cell and an occupied cell
-    is kept only while the distance bounds allow a nearest place there; the pairs kept are
-    split into finer cells by an equi-join. The work follows the number of cells and the
-    place density, never cells times places.
+    The search walks down the grids. First both sides are cells: a pair of a search cell
+    and an occupied cell is kept only while the distance bounds allow a nearest place
+    there, and what is kept is split by equi-joins on the coarser cells. After
+    ``paired_levels`` the occupied cells are replaced by their places, and only the search
+    cells are split further. The work follows the cells and the places around each, never
+    cells times places.
     """
     known = places.filter(is_position(F.col("lat"), F.col("lon")))
     spots = known.groupBy("lat", "lon").agg(F.min_by(F.struct("id", "country"), "id").alias("s"))
     spots = _with_vector(spots.select("lat", "lon", "s.*"), F.col("lat"), F.col("lon"), "v")
 
     size = COARSEST
-    cells = int(180 / size) * int(360 / size)
-    everywhere = F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))
-    pairs = _occupied(spots, size).withColumn("q", F.explode(everywhere))
-    pairs = _within_reach(pairs, size, F.col("pr"))
-    for _ in range(levels - 1):
-        coarse, size = size, size / FACTOR
+    # Every cell of the first grid is tried for every search cell: 32 times 32 pairs at most.
+    everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(31).cast("long")))
+    pairs = _occupied(spots, size).withColumn("q", everywhere).join(_search_cells(places, size), "q").drop("above")
+    pairs = _within_reach(pairs, F.col("pr"))
+    for _ in range(paired_levels - 1):
+        size = size / FACTOR
         finer = _occupied(spots, size).withColumn("parent", _parent(F.col("p"), size))
-        kept = pairs.select("q", F.col("p").alias("parent"))
-        row, column = cell_row_column(F.col("q"), coarse)
-        steps = F.sequence(F.lit(0), F.lit(FACTOR * FACTOR - 1))
-        split = (
-            kept.join(finer, "parent")
-            .withColumn("step", F.explode(steps))
-            .withColumn(
-                "q",
-                cell_id(
-                    row * FACTOR + F.floor(F.col("step") / FACTOR),
-                    column * FACTOR + F.col("step") % FACTOR,
-                    size,
-                ),
-            )
-        )
-        pairs = _within_reach(split.select("q", "p", "pr", "px", "py", "pz"), size, F.col("pr"))
-
-    last = pairs.select("q", "p").join(
-        spots.select(
-            _cell(F.col("lat"), F.col("lon"), size).alias("p"),
-            "id",
-            "country",
-            *[F.col(f"v{axis}").alias(f"p{axis}") for axis in "xyz"],
-        ),
-        "p",
-    )
-    nearest = _within_reach(last, size, F.lit(0.0))
+        kept = pairs.select("q", F.col("p").alias("parent"), "best").join(finer, "parent").drop("parent")
+        pairs = _within_reach(_split(kept, _search_cells(places, size)), F.col("pr"))
+
+    vector = [F.col(f"v{axis}").alias(f"p{axis}") for axis in "xyz"]
+    located = spots.select(_cell(F.col("lat"), F.col("lon"), size).alias("p"), "id", "country", *vector)
+    pairs = pairs.select("q", "qx", "qy", "qz", "qr", "p", "best").join(located, "p").drop("p")
+    pairs = _within_reach(pairs, F.lit(0.0))
+    for _ in range(levels - paired_levels):
+        size = size / FACTOR
+        kept = pairs.select("q", "best", "id", "country", "px", "py", "pz")
+        pairs = _within_reach(_split(kept, _search_cells(places, size)), F.lit(0.0))
+
     entry = F.struct("id", *[F.col(f"p{axis}").alias(axis) for axis in "xyz"], "country")
-    grouped = nearest.groupBy(F.col("q").alias("lookup_key")).agg(
+    grouped = pairs.groupBy(F.col("q").alias("lookup_key")).agg(
         F.collect_list(entry).alias("candidates"),
-        F.count_distinct("country").alias("countries"),
-        F.count_if(F.col("country").isNull()).alias("nameless"),
+        F.min("country").alias("_first"),
+        F.max("country").alias("_last"),
+        F.count_if(F.col("country").isNull()).alias("_nameless"),
     )
-    one = (F.col("countries") == 1) & (F.col("nameless") == 0)
+    one = (F.col("_first") == F.col("_last")) & (F.col("_nameless") == 0)
     return grouped.select(
         "lookup_key",
         F.when(one, F.slice("candidates", 1, 1)).otherwise(F.col("candidates")).alias("candidates"),
@@ -160,15 +164,22 @@ def place_index(places: DataFrame, levels: int = 3) -> DataFrame:
     )
 
 
-def index_levels(place_count: int) -> int:
-    """Grid depth that gives about one occupied cell per place, within 11 and 0.7 degrees."""
-    wanted = math.ceil(math.log(max(place_count, 1) / 32, FACTOR * FACTOR)) + 1
-    return min(max(wanted, 2), 4)
+def index_levels(place_count: int) -> tuple[int, int]:
+    """Levels of the search: few places per cell when they replace cells, several cells per place at the end.
+
+    The grid stops at 0.7 degrees, 131,072 cells, which keeps the index small enough to broadcast.
+    """
+
+    def depth(cells: float) -> int:
+        return max(0, math.ceil(math.log(max(cells / 32, 1), FACTOR * FACTOR)))
+
+    levels = min(depth(place_count * 4) + 1, 4)
+    return min(depth(place_count / 128) + 1, levels), levels
 
 
 def build_place_index(places: DataFrame) -> DataFrame:
     """Count the places, choose the grid, and stage the index so that its size is known."""
-    return staged(place_index(places, index_levels(places.count())), "place-index")
+    return staged(place_index(places, *index_levels(places.count())), "place-index")
 
 
 def grid_size(index: DataFrame) -> float:

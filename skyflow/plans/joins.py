@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_SPREAD = 32
+LOOKUP_BYTES = 32 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -14,9 +15,14 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    """Largest size, in bytes, that this session sends to every executor."""
+    """Largest stored size, in bytes, of a table that is sent to every executor.
+
+    The session's threshold, but at least ``LOOKUP_BYTES``: lookups are joined with fact
+    tables that cost far more to shuffle. A negative threshold switches broadcasts off.
+    """
     text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    return df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+    session = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+    return session if session < 0 else max(session, LOOKUP_BYTES)
 
 
 def unique_lookup(df: DataFrame, key: Column, columns: list[str], order: str) -> DataFrame:

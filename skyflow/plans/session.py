@@ -24,3 +24,9 @@ def build_session(app_name: str, **settings: str) -> SparkSession:
     for name, value in {**SETTINGS, **extra}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
+
+
+def apply_settings(spark: SparkSession) -> None:
+    """Set ``SETTINGS`` on a session that someone else has built."""
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)

@@ -30,36 +30,42 @@ def _passed_on(raw: DataFrame) -> list[str]:
 
 
 def _decoded(raw: DataFrame, schema: str) -> DataFrame:
-    return raw.select(F.from_json("value", schema).alias("d"), *_passed_on(raw))
+    """The fields of each message as columns, nulls for a message that is not JSON.
+
+    A generated row instead of a projected struct: the optimizer copies projections into
+    every filter it pushes down, and would decode a message once per filtered column. It
+    never pushes a filter on generated columns below the generator, so decoding happens
+    once.
+    """
+    message = F.array(F.from_json("value", schema))
+    return raw.select(F.inline(message), *_passed_on(raw))
 
 
 def parse_flight_states(raw: DataFrame) -> DataFrame:
     """Aircraft states: 19 typed fields and the event time ``timestamp``."""
-    rows = _decoded(raw, schemas.FLIGHT_STATE).select("d.*", *_passed_on(raw))
-    return rows.withColumn("timestamp", epoch_to_ts(F.col("time_position")))
+    return _decoded(raw, schemas.FLIGHT_STATE).withColumn("timestamp", epoch_to_ts(F.col("time_position")))
 
 
 def parse_flight_info(raw: DataFrame) -> DataFrame:
     """Flights with estimated departure and arrival airports."""
-    return _decoded(raw, schemas.FLIGHT_INFO).select("d.*", *_passed_on(raw))
+    return _decoded(raw, schemas.FLIGHT_INFO)
 
 
 def parse_flight_tracks(raw: DataFrame) -> DataFrame:
     """Trajectories with ``path`` as an array of typed waypoints."""
-    rows = _decoded(raw, schemas.FLIGHT_TRACK).select("d.*", *_passed_on(raw))
-    return rows.withColumn("path", path_to_structs(F.col("path")))
+    return _decoded(raw, schemas.FLIGHT_TRACK).withColumn("path", path_to_structs(F.col("path")))
 
 
 def _property(name: str, alias: str) -> Column:
-    return F.col(f"d.properties.{name}").alias(alias)
+    return F.col(f"properties.{name}").alias(alias)
 
 
 def _number(name: str, alias: str | None = None) -> Column:
-    return rounded_int(F.col(f"d.properties.{name}")).alias(alias or name)
+    return rounded_int(F.col(f"properties.{name}")).alias(alias or name)
 
 
 def _clouds() -> Column:
-    layers = F.col("d.properties.clouds")
+    layers = F.col("properties.clouds")
     return F.transform(
         layers,
         lambda layer: F.struct(rounded_int(layer["base"]).alias("base"), layer["cover"].alias("cover")),
@@ -67,13 +73,13 @@ def _clouds() -> Column:
 
 
 def _position() -> list[Column]:
-    lat, lon = point_lat_lon(F.col("d.geometry.coordinates"))
+    lat, lon = point_lat_lon(F.col("geometry.coordinates"))
     return [lat.alias("lat"), lon.alias("lon")]
 
 
 def parse_metar(raw: DataFrame) -> DataFrame:
     """Airport observations, one flat row per GeoJSON feature."""
-    observed = F.col("d.properties.obsTime")
+    observed = F.col("properties.obsTime")
     return _decoded(raw, schemas.METAR).select(
         _property("id", "station_id"),
         _property("site", "site"),
@@ -95,7 +101,7 @@ def parse_metar(raw: DataFrame) -> DataFrame:
 
 def parse_taf(raw: DataFrame) -> DataFrame:
     """Forecast periods, one flat row per GeoJSON feature."""
-    issued = F.col("d.properties.issueTime")
+    issued = F.col("properties.issueTime")
     return _decoded(raw, schemas.TAF).select(
         _property("id", "station_id"),
         _property("site", "site"),
@@ -109,8 +115,8 @@ def parse_taf(raw: DataFrame) -> DataFrame:
         _property("rawTAF", "raw_taf"),
         _property("cover", "cover"),
         iso_to_epoch(issued).alias("issue_time"),
-        iso_to_epoch(F.col("d.properties.validTimeFrom")).alias("valid_from"),
-        iso_to_epoch(F.col("d.properties.validTimeTo")).alias("valid_to"),
+        iso_to_epoch(F.col("properties.validTimeFrom")).alias("valid_from"),
+        iso_to_epoch(F.col("properties.validTimeTo")).alias("valid_to"),
         iso_to_ts(issued).alias("timestamp"),
         *_position(),
         *_passed_on(raw),
@@ -123,9 +129,9 @@ def parse_sigmet(raw: DataFrame) -> DataFrame:
     A polygon is in ``polygon_coords``; a multi-polygon has one more array level and is in
     ``multi_polygon_coords``.
     """
-    shape, text = F.col("d.geometry.type"), F.col("d.geometry.coordinates")
+    shape, text = F.col("geometry.type"), F.col("geometry.coordinates")
     many = F.coalesce(shape == "MultiPolygon", F.lit(False))
-    starts = F.col("d.properties.validTimeFrom")
+    starts = F.col("properties.validTimeFrom")
     return _decoded(raw, schemas.SIGMET).select(
         _property("icaoId", "icao_id"),
         _property("firId", "fir_id"),
@@ -142,7 +148,7 @@ def parse_sigmet(raw: DataFrame) -> DataFrame:
         F.from_json(F.when(~many, text), schemas.POLYGON).alias("polygon_coords"),
         F.from_json(F.when(many, text), schemas.MULTI_POLYGON).alias("multi_polygon_coords"),
         iso_to_epoch(starts).alias("valid_from"),
-        iso_to_epoch(F.col("d.properties.validTimeTo")).alias("valid_to"),
+        iso_to_epoch(F.col("properties.validTimeTo")).alias("valid_to"),
         iso_to_ts(starts).alias("timestamp"),
         *_passed_on(raw),
     )

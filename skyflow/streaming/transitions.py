@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from skyflow.operators.transitions import event_name
 from skyflow.plans.ordering import ingest_order, order_within_window
@@ -16,14 +16,23 @@ CHANGES = "icao24 STRING, time BIGINT, on_ground BOOLEAN"
 LAST_FLAG = "on_ground BOOLEAN"
 
 
-def _flag_changes(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Seconds at which the flag differs from the one before, for one aircraft."""
-    rows = pd.concat(frames).sort_values("time")
-    before = rows["on_ground"].shift()
-    if state.exists:
-        before.iloc[0] = state.get[0]
-    state.update((bool(rows["on_ground"].iloc[-1]),))
-    yield rows[before.notna() & (before != rows["on_ground"])][["icao24", "time", "on_ground"]]
+class FlagChanges(StatefulProcessor):
+    """Seconds at which the flag of an aircraft differs from the one before."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._last = handle.getValueState("last_flag", LAST_FLAG)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        seconds = pd.concat(rows).sort_values("time")
+        before = seconds["on_ground"].shift().astype("boolean")
+        if self._last.exists():
+            before.iloc[0] = self._last.get()[0]
+        self._last.update((bool(seconds["on_ground"].iloc[-1]),))
+        changed = before.notna() & (before != seconds["on_ground"]).fillna(False)
+        yield seconds.loc[changed, ["icao24", "time", "on_ground"]]
+
+    def close(self) -> None:
+        pass
 
 
 def ground_transitions_stream(flights: DataFrame, delay: str = "10 seconds") -> DataFrame:
@@ -33,7 +42,7 @@ def ground_transitions_stream(flights: DataFrame, delay: str = "10 seconds") ->
     before the shuffle and gives seconds out only when they are closed, so each aircraft's
     flags reach the stateful step in time order over all micro-batches, whatever the order
     of arrival within ``delay``. That step keeps one flag per aircraft, and a 24-bit
-    address bounds the number of aircraft.
+    address bounds the number of aircraft. It needs the RocksDB state store.
     """
     known = flights.filter(F.col("icao24").isNotNull() & F.col("on_ground").isNotNull())
     order = order_within_window(F.col("time_position"), 1, ingest_order(known, "last_contact"))
@@ -43,7 +52,5 @@ def ground_transitions_stream(flights: DataFrame, delay: str = "10 seconds") ->
         .agg(F.max_by("on_ground", order).alias("on_ground"))
         .select("icao24", F.unix_seconds("w.start").alias("time"), "on_ground")
     )
-    changes = seconds.groupBy("icao24").applyInPandasWithState(
-        _flag_changes, CHANGES, LAST_FLAG, "append", GroupStateTimeout.NoTimeout
-    )
+    changes = seconds.groupBy("icao24").transformWithStateInPandas(FlagChanges(), CHANGES, "Append", "None")
     return changes.select("icao24", "time", event_name(F.col("on_ground")).alias("event"))
