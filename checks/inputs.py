@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixtures
-from skyflow.operators.places import build_place_index
+from skyflow.operators.places import PlaceIndex, build_place_index
 from skyflow.sources import parse
 from skyflow.sources.messages import with_message_metadata
 
@@ -53,5 +53,5 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def place_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+def place_index(spark: SparkSession, sf_dir: str) -> PlaceIndex:
     return build_place_index(places(spark, sf_dir))

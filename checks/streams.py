@@ -29,7 +29,15 @@ def stream_of(spark, sf_dir, made, topic):
 def stored(spark, stream, keys, order=(), hidden=()):
     """Run a stream into a keyed table until its input ends, and return the table."""
     table = tables.KeyedTable(new_folder(spark, "table"), list(keys), list(order), list(hidden))
-    tables.upsert_sink(stream, table, "feed", new_folder(spark, "checkpoint"), ONCE).awaitTermination()
+    # A stream keeps the number of state partitions it started with; on one machine, one per core.
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    if spark.sparkContext.master.startswith("local"):
+        spark.conf.set(setting, spark.sparkContext.defaultParallelism)
+    try:
+        tables.upsert_sink(stream, table, "feed", new_folder(spark, "checkpoint"), ONCE).awaitTermination()
+    finally:
+        spark.conf.set(setting, before)
     return tables.current_view(spark, table)
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyflow.functions.columns import DAY, bucket, epoch_to_ts
 from skyflow.functions.geo import is_position
-from skyflow.operators.places import country_from_airport, country_from_position
+from skyflow.operators.places import PlaceIndex, country_from_airport, country_from_position
 
 GLOBAL = "GLOBAL"
 
@@ -44,13 +46,12 @@ def distinct_per_window(
     def reduced(df: DataFrame, span) -> DataFrame:
         return df.groupBy(span, *groups, *entity).agg(F.lit(1).alias("_seen"))
 
+    known = reduce(Column.__and__, [F.col(name).isNotNull() for name in entity])
     span = F.window("timestamp", window).alias("w")
     if approx:
         source = widened(rows) if with_global else rows
-        key = F.when(F.expr(" AND ".join(f"{e} IS NOT NULL" for e in entity)), F.struct(*entity) if len(entity) > 1 else F.col(entity[0]))
-        counted = source.groupBy(span, *groups).agg(
-            F.approx_count_distinct(F.xxhash64(key) if len(entity) > 1 else key).alias(count_name)
-        )
+        key = F.col(entity[0]) if len(entity) == 1 else F.when(known, F.xxhash64(*entity))
+        counted = source.groupBy(span, *groups).agg(F.approx_count_distinct(key).alias(count_name))
     else:
         if with_global and rows.isStreaming:
             distinct = reduced(widened(rows), span)
@@ -58,16 +59,13 @@ def distinct_per_window(
             distinct = reduced(widened(reduced(rows, span).drop("_seen")), F.col("w"))
         else:
             distinct = reduced(rows, span)
-        known = F.lit(True)
-        for name in entity:
-            known = known & F.col(name).isNotNull()
         counted = distinct.groupBy("w", *groups).agg(F.count_if(known).alias(count_name))
     return counted.select(*groups, F.unix_seconds("w.start").alias(bucket_name), count_name)
 
 
 def active_by_country(
     flights: DataFrame,
-    places: DataFrame,
+    places: PlaceIndex,
     window: str,
     bucket_name: str,
     *,
@@ -91,13 +89,13 @@ def active_by_country(
     )
 
 
-def active_by_country_hour(flights: DataFrame, places: DataFrame, **options) -> DataFrame:
-    """Distinct aircraft per country and hour; ``places`` is a place index."""
+def active_by_country_hour(flights: DataFrame, places: PlaceIndex, **options) -> DataFrame:
+    """Distinct aircraft per country and hour."""
     return active_by_country(flights, places, "1 hour", "hour_bucket", **options)
 
 
-def active_by_country_minute(flights: DataFrame, places: DataFrame, **options) -> DataFrame:
-    """Distinct aircraft per country and minute; ``places`` is a place index."""
+def active_by_country_minute(flights: DataFrame, places: PlaceIndex, **options) -> DataFrame:
+    """Distinct aircraft per country and minute."""
     return active_by_country(flights, places, "1 minute", "minute_bucket", **options)
 
 

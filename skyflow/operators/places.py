@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyflow.functions.geo import (
@@ -78,12 +79,12 @@ def _occupied(places: DataFrame, size: float) -> DataFrame:
     )
 
 
-def _search_cells(places: DataFrame, size: float) -> DataFrame:
+def _search_cells(spark: SparkSession, size: float) -> DataFrame:
     """All cells ``q`` of a grid with middle, reach ``qr`` and the cell ``above`` they split."""
     count = int(180 / size) * int(360 / size)
     q = F.col("q")
     lat, lon = cell_centre(q, size)
-    cells = places.sparkSession.range(count).withColumnRenamed("id", "q")
+    cells = spark.range(count).withColumnRenamed("id", "q")
     cells = _with_vector(cells, lat, lon, "q").withColumn("qr", cell_radius(lat, size))
     return cells.withColumn("above", _parent(q, size))
 
@@ -110,13 +111,33 @@ def _split(pairs: DataFrame, cells: DataFrame) -> DataFrame:
     return pairs.withColumnRenamed("q", "above").join(cells, "above").drop("above")
 
 
-def place_index(places: DataFrame, paired_levels: int = 1, levels: int = 3) -> DataFrame:
-    """For every cell of a world grid, the places that are nearest to some point of the cell.
+def distinct_places(places: DataFrame) -> DataFrame:
+    """Places with usable coordinates and their unit vectors, of each position the smallest ``id``.
+
+    ``places`` has ``id, lat, lon, country``.
+    """
+    known = places.filter(is_position(F.col("lat"), F.col("lon")))
+    spots = known.groupBy("lat", "lon").agg(F.min_by(F.struct("id", "country"), "id").alias("s"))
+    return _with_vector(spots.select("lat", "lon", "s.*"), F.col("lat"), F.col("lon"), "v")
+
+
+@dataclass(frozen=True)
+class PlaceIndex:
+    """Per grid cell (``lookup_key``) the places that are nearest to some point of it.
+
+    ``candidates`` is an array of ``id, x, y, z, country``. A cell whose candidates share
+    a country keeps one of them, as every point of it gets the same answer. ``size`` is
+    the grid size in degrees.
+    """
+
+    table: DataFrame
+    size: float
 
-    ``places`` has ``id, lat, lon, country``. Result: ``lookup_key`` (the cell) and
-    ``candidates``, an array of ``id, x, y, z, country``; a cell whose candidates share a
-    country keeps one of them, as every point of it gets the same answer. The grid size is
-    ``45 / 4 ** (levels - 1)`` degrees and is recorded as ``size``.
+
+def place_index(spots: DataFrame, paired_levels: int = 1, levels: int = 3) -> PlaceIndex:
+    """Index of places on a world grid of ``45 / 4 ** (levels - 1)`` degrees.
+
+    ``spots`` comes from ``distinct_places``.
 
     The search walks down the grids. First both sides are cells: a pair of a search cell
     and an occupied cell is kept only while the distance bounds allow a nearest place
@@ -125,20 +146,16 @@ def place_index(places: DataFrame, paired_levels: int = 1, levels: int = 3) -> D
     cells are split further. The work follows the cells and the places around each, never
     cells times places.
     """
-    known = places.filter(is_position(F.col("lat"), F.col("lon")))
-    spots = known.groupBy("lat", "lon").agg(F.min_by(F.struct("id", "country"), "id").alias("s"))
-    spots = _with_vector(spots.select("lat", "lon", "s.*"), F.col("lat"), F.col("lon"), "v")
-
-    size = COARSEST
+    spark, size = spots.sparkSession, COARSEST
     # Every cell of the first grid is tried for every search cell: 32 times 32 pairs at most.
     everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(31).cast("long")))
-    pairs = _occupied(spots, size).withColumn("q", everywhere).join(_search_cells(places, size), "q").drop("above")
+    pairs = _occupied(spots, size).withColumn("q", everywhere).join(_search_cells(spark, size), "q").drop("above")
     pairs = _within_reach(pairs, F.col("pr"))
     for _ in range(paired_levels - 1):
         size = size / FACTOR
         finer = _occupied(spots, size).withColumn("parent", _parent(F.col("p"), size))
         kept = pairs.select("q", F.col("p").alias("parent"), "best").join(finer, "parent").drop("parent")
-        pairs = _within_reach(_split(kept, _search_cells(places, size)), F.col("pr"))
+        pairs = _within_reach(_split(kept, _search_cells(spark, size)), F.col("pr"))
 
     vector = [F.col(f"v{axis}").alias(f"p{axis}") for axis in "xyz"]
     located = spots.select(_cell(F.col("lat"), F.col("lon"), size).alias("p"), "id", "country", *vector)
@@ -147,7 +164,7 @@ def place_index(places: DataFrame, paired_levels: int = 1, levels: int = 3) -> D
     for _ in range(levels - paired_levels):
         size = size / FACTOR
         kept = pairs.select("q", "best", "id", "country", "px", "py", "pz")
-        pairs = _within_reach(_split(kept, _search_cells(places, size)), F.lit(0.0))
+        pairs = _within_reach(_split(kept, _search_cells(spark, size)), F.lit(0.0))
 
     entry = F.struct("id", *[F.col(f"p{axis}").alias(axis) for axis in "xyz"], "country")
     grouped = pairs.groupBy(F.col("q").alias("lookup_key")).agg(
@@ -157,11 +174,8 @@ def place_index(places: DataFrame, paired_levels: int = 1, levels: int = 3) -> D
         F.count_if(F.col("country").isNull()).alias("_nameless"),
     )
     one = (F.col("_first") == F.col("_last")) & (F.col("_nameless") == 0)
-    return grouped.select(
-        "lookup_key",
-        F.when(one, F.slice("candidates", 1, 1)).otherwise(F.col("candidates")).alias("candidates"),
-        F.lit(size).alias("size"),
-    )
+    candidates = F.when(one, F.slice("candidates", 1, 1)).otherwise(F.col("candidates"))
+    return PlaceIndex(grouped.select("lookup_key", candidates.alias("candidates")), size)
 
 
 def index_levels(place_count: int) -> tuple[int, int]:
@@ -177,28 +191,28 @@ def index_levels(place_count: int) -> tuple[int, int]:
     return min(depth(place_count / 128) + 1, levels), levels
 
 
-def build_place_index(places: DataFrame) -> DataFrame:
-    """Count the places, choose the grid, and stage the index so that its size is known."""
-    return staged(place_index(places, *index_levels(places.count())), "place-index")
+def build_place_index(places: DataFrame) -> PlaceIndex:
+    """Index of ``places`` (``id, lat, lon, country``) on a grid that fits their number.
 
-
-def grid_size(index: DataFrame) -> float:
-    """Grid size of a place index, in degrees."""
-    row = index.select("size").first()
-    return row["size"] if row else COARSEST
+    Both the places and the index are staged: the search reads the places once per level,
+    and the size of the index decides how positions are joined with it.
+    """
+    spots = staged(distinct_places(places), "places")
+    index = place_index(spots, *index_levels(spots.count()))
+    return PlaceIndex(staged(index.table, "place-index"), index.size)
 
 
-def country_from_position(df: DataFrame, lat: str, lon: str, index: DataFrame) -> DataFrame:
+def country_from_position(df: DataFrame, lat: str, lon: str, index: PlaceIndex) -> DataFrame:
     """``country_code`` of the place nearest to each position, ties to the smallest place id.
 
     Null, NaN or infinite coordinates give ``Unknown``, as does a place without a country.
     One lookup of the cell and a minimum over its few candidates; no aggregation, so it is
     the same on a stream.
     """
-    size = grid_size(index)
     y, x = F.col(lat), F.col(lon)
     usable = is_position(y, x)
-    found = lookup_join(df, F.when(usable, _cell(y, x, size)), index, {"candidates": "_candidates"})
+    cell = F.when(usable, _cell(y, x, index.size))
+    found = lookup_join(df, cell, index.table, {"candidates": "_candidates"})
     found = _with_vector(found, F.when(usable, y), F.when(usable, x), "_v")
     here = _vector("_v")
     nearest = F.array_min(

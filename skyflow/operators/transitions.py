@@ -18,8 +18,9 @@ def state_per_second(flights: DataFrame) -> DataFrame:
     known = flights.filter(
         F.col("icao24").isNotNull() & F.col("time_position").isNotNull() & F.col("on_ground").isNotNull()
     )
-    tie = ingest_order(known, "last_contact")
-    order = F.struct(F.coalesce(tie, F.lit(0).cast("long")), F.col("on_ground")) if tie is not None else F.col("on_ground")
+    order = ingest_order(known)
+    if order is None:
+        order = F.struct("last_contact", "on_ground")
     return known.groupBy("icao24", "time_position").agg(F.max_by("on_ground", order).alias("on_ground"))
 
 

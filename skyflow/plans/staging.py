@@ -18,6 +18,8 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         application = spark.sparkContext.applicationId
         if application not in _local_folders:
             _local_folders[application] = tempfile.mkdtemp(prefix="skyflow-")

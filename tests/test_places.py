@@ -17,9 +17,11 @@ def brute_force(lat, lon, spots):
 
 
 def countries(spark, spots, points, levels=(1, 3)):
-    index = p.place_index(spark.createDataFrame(spots, "id BIGINT, lat DOUBLE, lon DOUBLE, country STRING"), *levels)
+    places = spark.createDataFrame(spots, "id BIGINT, lat DOUBLE, lon DOUBLE, country STRING")
+    index = p.place_index(p.distinct_places(places), *levels)
     df = spark.createDataFrame([(i, *point) for i, point in enumerate(points)], "i INT, lat DOUBLE, lon DOUBLE")
-    found = p.country_from_position(df, "lat", "lon", index.checkpoint())
+    index = p.PlaceIndex(index.table.checkpoint(), index.size)
+    found = p.country_from_position(df, "lat", "lon", index)
     return [r.country_code for r in found.orderBy("i").collect()]
 
 
