@@ -113,12 +113,12 @@ def a5_active(spark, sf_dir):
     return _active(spark, sf_dir, with_global=True)
 
 
-@query(
-    "a6_traffic_density_by_cell_minute",
-    f"""SELECT CAST(floor(latitude / 5.0) AS BIGINT) AS cell_lat, CAST(floor(longitude / 5.0) AS BIGINT) AS cell_lon,
-        time_position // 60 * 60 AS minute_bucket, count(DISTINCT icao24) AS aircraft_cnt FROM {STATES}
-        WHERE time_position IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1, 2, 3""",
-)
+DENSITY = f"""(SELECT CAST(floor(latitude / 5.0) AS BIGINT) AS cell_lat, CAST(floor(longitude / 5.0) AS BIGINT) AS cell_lon,
+    time_position // 60 * 60 AS minute_bucket, count(DISTINCT icao24) AS aircraft_cnt FROM {STATES}
+    WHERE time_position IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1, 2, 3)"""
+
+
+@query("a6_traffic_density_by_cell_minute", f"SELECT * FROM {DENSITY}")
 def a6(spark, sf_dir):
     return activity.traffic_density_by_cell_minute(inputs.states(spark, sf_dir), 5.0)
 

@@ -7,8 +7,23 @@ import datetime
 from pyspark.sql import functions as F
 
 from checks import fixtures, inputs
-from checks.flights import ACTIVE, BY_MINUTE, LEAVING, METAR_LATEST, TAFS, TRANSITIONS, counted, with_global
-from checks.parsing import AIRLINES, INFO, METAR, SIGMET, STATES, WAYPOINT_FIELDS, WAYPOINTS
+from checks.flights import (
+    ACTIVE,
+    AIRCRAFT,
+    ARRIVALS,
+    BY_MINUTE,
+    DENSITY,
+    DEPARTURES,
+    LEAVING,
+    METAR_HISTORY,
+    METAR_LATEST,
+    SIGMETS,
+    TAFS,
+    TRANSITIONS,
+    counted,
+    with_global,
+)
+from checks.parsing import AIRLINES, AIRPORTS, INFO, METAR, SIGMET, STATES, WAYPOINT_FIELDS, WAYPOINTS
 from checks.registry import query
 from skyflow.operators import activity, enrich, positions, weather
 from skyflow.plans.staging import new_folder
@@ -86,6 +101,32 @@ def a5_stream(spark, sf_dir):
     return stored(spark, counts, ["country_code", "hour_bucket"])
 
 
+@query(
+    "a3_stream_departures_by_country_hour",
+    closed(DEPARTURES, "hour_bucket", 3600, 86400, "firstSeen").format(INFO),
+)
+def a3_stream(spark, sf_dir):
+    counts = activity.departures_by_country_hour(
+        info_stream(spark, sf_dir), inputs.airports(spark, sf_dir), delay="24 hours"
+    )
+    return stored(spark, counts, ["country_code", "hour_bucket"])
+
+
+@query("a4_stream_arrivals_by_country_hour", closed(ARRIVALS, "hour_bucket", 3600, 600, "lastSeen").format(INFO))
+def a4_stream(spark, sf_dir):
+    counts = activity.arrivals_by_country_hour(info_stream(spark, sf_dir), inputs.airports(spark, sf_dir))
+    return stored(spark, counts, ["country_code", "hour_bucket"])
+
+
+@query(
+    "a6_stream_traffic_density",
+    closed(DENSITY, "minute_bucket", 60, 10, "time_position").format(f"{STATES} WHERE latitude IS NOT NULL"),
+)
+def a6_stream(spark, sf_dir):
+    density = activity.traffic_density_by_cell_minute(state_stream(spark, sf_dir), 5.0)
+    return stored(spark, density, ["cell_lat", "cell_lon", "minute_bucket"])
+
+
 @query("a9_stream_ground_transitions", closed(TRANSITIONS, "time", 1, 10, "time_position").format(STATES))
 def a9_stream(spark, sf_dir):
     return stored(spark, transitions.ground_transitions_stream(state_stream(spark, sf_dir)), ["icao24", "time"])
@@ -97,6 +138,30 @@ def k1(spark, sf_dir):
     return stored(spark, with_ingest(weather.metar_latest_rows(metar)), ["station_id"], ["obs_time", "ingest"], ["ingest"])
 
 
+@query("k1_upsert_sink_metar_history", f"SELECT * FROM {METAR_HISTORY}")
+def k1_history(spark, sf_dir):
+    metar = parse.parse_metar(stream_of(spark, sf_dir, fixtures.metar_messages, schemas.METAR_TOPIC))
+    keys = schemas.TABLE_KEYS["metar_history_by_station"]
+    return stored(spark, with_ingest(weather.metar_history_rows(metar)), keys, ["ingest"], ["ingest"])
+
+
+@query("k1_upsert_sink_sigmet", f"SELECT * FROM {SIGMETS}")
+def k1_sigmet(spark, sf_dir):
+    sigmet = parse.parse_sigmet(stream_of(spark, sf_dir, fixtures.sigmet_messages, schemas.SIGMET_TOPIC))
+    keys = schemas.TABLE_KEYS["sigmet_by_validtime"]
+    table = stored(spark, with_ingest(weather.sigmet_rows(sigmet)), keys, ["ingest"], ["ingest"])
+    return table.select(*keys, "valid_to", "hazard", "base", "top", "polygon")
+
+
+@query("k1_upsert_sink_aircraft", f"SELECT * FROM {AIRCRAFT}")
+def k1_aircraft(spark, sf_dir):
+    flights = with_ingest(state_stream(spark, sf_dir))
+    current = flights.select(
+        "icao24", "callsign", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), "time_position", "ingest"
+    )
+    return stored(spark, current, ["icao24"], ["time_position", "ingest"], ["time_position", "ingest"])
+
+
 @query("k1_upsert_sink_taf", f"SELECT * FROM {TAFS}")
 def k1_taf(spark, sf_dir):
     taf = parse.parse_taf(stream_of(spark, sf_dir, fixtures.taf_messages, schemas.TAF_TOPIC))
@@ -157,3 +222,15 @@ def e1_stream(spark, sf_dir):
     flights = state_stream(spark, sf_dir).select(F.col("_metadata.offset").alias("seq"), "callsign")
     named = enrich.enrich_airline(flights, inputs.airlines(spark, sf_dir)).drop("callsign")
     return stored(spark, named, ["seq"])
+
+
+@query(
+    "e2_stream_enrich_airports",
+    f"""SELECT i.seq, d.airport_name AS dep_airport_name, a.country_iso2 AS arr_country_iso2
+        FROM {INFO} i LEFT JOIN {AIRPORTS} d ON i.estDepartureAirport = d.icao_code
+        LEFT JOIN {AIRPORTS} a ON i.estArrivalAirport = a.icao_code""",
+)
+def e2_stream(spark, sf_dir):
+    flights = info_stream(spark, sf_dir).withColumn("seq", F.col("_metadata.offset")).drop("_metadata")
+    detailed = enrich.enrich_airports(flights, inputs.airports(spark, sf_dir))
+    return stored(spark, detailed.select("seq", "dep_airport_name", "arr_country_iso2"), ["seq"])

@@ -84,9 +84,9 @@ def _search_cells(spark: SparkSession, size: float) -> DataFrame:
     count = int(180 / size) * int(360 / size)
     q = F.col("q")
     lat, lon = cell_centre(q, size)
-    cells = spark.range(count).withColumnRenamed("id", "q")
-    cells = _with_vector(cells, lat, lon, "q").withColumn("qr", cell_radius(lat, size))
-    return cells.withColumn("above", _parent(q, size))
+    axes = [value.alias(f"q{axis}") for axis, value in zip("xyz", unit_vector(lat, lon))]
+    cells = spark.range(count).select(F.col("id").alias("q"))
+    return cells.select("q", *axes, cell_radius(lat, size).alias("qr"), _parent(q, size).alias("above"))
 
 
 def _within_reach(pairs: DataFrame, target_radius) -> DataFrame:

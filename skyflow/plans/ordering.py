@@ -8,15 +8,13 @@ from pyspark.sql import functions as F
 from skyflow.sources.parse import METADATA
 
 
-def ingest_order(df: DataFrame, default: str | None = None) -> Column | None:
+def ingest_order(df: DataFrame) -> Column | None:
     """Column that tells which of two rows with equal times came later.
 
     The message offset when the rows carry metadata: messages of one key share a
-    partition, so offsets order them. Else ``default``, if the rows have it.
+    partition, so offsets order them. None for rows without metadata.
     """
-    if METADATA in df.columns:
-        return F.col(f"{METADATA}.offset")
-    return F.col(default) if default in df.columns else None
+    return F.col(f"{METADATA}.offset") if METADATA in df.columns else None
 
 
 def order_within_window(seconds: Column, width: int, tie: Column) -> Column:

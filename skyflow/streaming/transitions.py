@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from skyflow.operators.transitions import event_name
-from skyflow.plans.ordering import ingest_order, order_within_window
+from skyflow.plans.ordering import ingest_order
 
 CHANGES = "icao24 STRING, time BIGINT, on_ground BOOLEAN"
 LAST_FLAG = "on_ground BOOLEAN"
@@ -45,7 +45,9 @@ def ground_transitions_stream(flights: DataFrame, delay: str = "10 seconds") ->
     address bounds the number of aircraft. It needs the RocksDB state store.
     """
     known = flights.filter(F.col("icao24").isNotNull() & F.col("on_ground").isNotNull())
-    order = order_within_window(F.col("time_position"), 1, ingest_order(known, "last_contact"))
+    order = ingest_order(known)
+    if order is None:
+        order = F.struct("last_contact", "on_ground")
     seconds = (
         known.withWatermark("timestamp", delay)
         .groupBy(F.window("timestamp", "1 second").alias("w"), "icao24")

@@ -176,7 +176,7 @@ def test_lag(spark, rows):
 
 def test_flight_and_weather_jobs(spark, tmp_path, rows):
     source = tmp_path / "topics"
-    Topic(source / "a", schemas.FLIGHT_STATES_TOPIC).add(state("a", 100), state("a", 90, lat=5.0), state("b", 90_000))
+    Topic(source / "a", schemas.FLIGHT_STATES_TOPIC).add(state("a", 100), state("a", 90, lat=5.0), state("b", 90_000), "{broken")
     Topic(source / "b", schemas.FLIGHT_INFO_TOPIC).add(
         {"icao24": "a", "firstSeen": 10, "lastSeen": 20, "estDepartureAirport": "A", "estArrivalAirport": "B"},
         {"icao24": "b", "firstSeen": 10**6, "lastSeen": 10**6},
@@ -200,13 +200,13 @@ def test_flight_and_weather_jobs(spark, tmp_path, rows):
     )
     config = jobs.JobConfig(
         f"{source}/*", f"{tmp_path}/tables", f"{tmp_path}/archive", f"{tmp_path}/checkpoints", "json", "earliest",
-        table_trigger=ONCE, archive_trigger=ONCE, console_rows=5,
+        table_trigger=ONCE, archive_trigger=ONCE, console_rows=5, dead_letters=f"{tmp_path}/dead",
     )
     airports = spark.createDataFrame([(1, "A", "NA"), (2, "B", "NB")], "id INT, icao_code STRING, country_iso2 STRING")
     places = spark.createDataFrame([(1, 0.0, 0.0, "GH"), (2, 50.0, 100.0, "MN")], "id BIGINT, lat DOUBLE, lon DOUBLE, country STRING")
     queries = jobs.run_flight_job(spark, config, airports, places) + jobs.run_weather_job(spark, config)
     jobs.await_all(spark)
-    assert len(queries) == 17 and len({q.name for q in queries}) == 17 and not any(q.exception() for q in queries)
+    assert len(queries) == 19 and len({q.name for q in queries}) == 19 and not any(q.exception() for q in queries)
 
     def table(name):
         return tables.current_view(spark, jobs.table_of(config, name))
@@ -223,3 +223,5 @@ def test_flight_and_weather_jobs(spark, tmp_path, rows):
     archive = spark.read.parquet(f"{tmp_path}/archive/weather_metar")
     assert rows(archive.select("year", "month", "day", "temp")) == [(2024, 1, 1, 1), (2024, 1, 1, 2)]
     assert spark.read.parquet(f"{tmp_path}/archive/flight_tracks").count() == 1
+    dead = spark.read.parquet(f"{tmp_path}/dead/dead_letters_flights_raw")
+    assert [r.value for r in dead.collect()] == ["{broken"]
