@@ -11,6 +11,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyflow.plans.partitions import spread
+
 # How each engine writes the four tokens.
 SPARK_TOKENS = {
     "HEX": "hex({0})",
@@ -149,7 +151,13 @@ def rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     for table in ("events", "orders", "nation", "customer", "supplier", "lineitem"):
         sql = re.sub(rf"\b(FROM|JOIN) {table}\b", rf"\1 {{{table}}}", sql)
     needed = re.findall(r" \{(\w+)\}", sql)
-    return spark.sql(sql, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in needed})
+    return spark.sql(sql, **{t: _table(spark, sf_dir, t) for t in needed})
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    # One small file is one task; making and parsing messages is worth all cores.
+    return spread(table) if name in ("events", "orders") else table
 
 
 def _messages(df: DataFrame, topic: str, key, value) -> DataFrame:

@@ -1,0 +1,15 @@
+"""How many tasks an input gives work to."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input that has fewer splits than the session has cores over all cores.
+
+    For inputs that are small on disk and costly per row. An input with enough splits, as
+    any large one has, is left as it is and not moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
