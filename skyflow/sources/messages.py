@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyflow.sources.parse import METADATA
@@ -80,25 +80,25 @@ def with_message_metadata(raw: DataFrame) -> DataFrame:
     )
 
 
-def _with_fault(raw: DataFrame) -> DataFrame:
+def is_malformed() -> Column:
+    """True for a message whose ``value`` is not a JSON object."""
     # A schema of the corrupt column alone checks the syntax and builds no fields.
     parsed = F.from_json(
         "value",
         "_corrupt STRING",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
     )
-    return raw.withColumn("_fault", F.col("value").isNull() | parsed["_corrupt"].isNotNull())
+    return F.col("value").isNull() | parsed["_corrupt"].isNotNull()
 
 
 def split_malformed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Messages that are JSON objects, and messages that cannot be decoded."""
-    checked = _with_fault(raw)
-    return checked.filter(~F.col("_fault")).drop("_fault"), checked.filter("_fault").drop("_fault")
+    return raw.filter(~is_malformed()), raw.filter(is_malformed())
 
 
 def decoding_counts(raw: DataFrame) -> DataFrame:
     """One row with the messages consumed, processed and failed."""
-    return _with_fault(raw).agg(
+    return raw.withColumn("_fault", is_malformed()).agg(
         F.count("*").alias("consumed"),
         F.count_if(~F.col("_fault")).alias("processed"),
         F.count_if("_fault").alias("failed"),

@@ -4,7 +4,7 @@ import time
 
 import pytest
 
-from skyflow.operators import activity, positions
+from skyflow.operators import activity, positions, serving
 from skyflow.sources import messages, parse, schemas
 from skyflow.streaming import jobs, monitor, sinks, tables, transitions
 
@@ -225,3 +225,18 @@ def test_flight_and_weather_jobs(spark, tmp_path, rows):
     assert spark.read.parquet(f"{tmp_path}/archive/flight_tracks").count() == 1
     dead = spark.read.parquet(f"{tmp_path}/dead/dead_letters_flights_raw")
     assert [r.value for r in dead.collect()] == ["{broken"]
+
+
+def test_key_conditions_reach_the_files(spark, tmp_path):
+    table = tables.KeyedTable(str(tmp_path / "w"), ["hour_bucket", "icao_id"], ["ingest"], hidden=["ingest"])
+    rows = spark.range(100).selectExpr(
+        "id * 3600 AS hour_bucket", "'Z' AS icao_id", "id * 3600 AS valid_from", "id * 3600 + 7200 AS valid_to", "id AS ingest"
+    )
+    tables.append_changes(table, rows, 0)
+    tables.compact(spark, table)
+    tables.append_changes(table, rows.filter("ingest > 90"), 1)
+    active = serving.active_sigmets(tables.current_view(spark, table), 36000)
+    plan = active._jdf.queryExecution().executedPlan().toString()
+    pushed = [part.split("]")[0] for part in plan.split("PushedFilters: [")[1:]]
+    assert len(pushed) == 2 and all("hour_bucket" in conditions for conditions in pushed)
+    assert active.count() == 3
