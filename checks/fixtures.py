@@ -1,6 +1,6 @@
 """Rows in the shape of the six topics, derived from the given tables.
 
-Each projection is one SQL text for Spark and DuckDB; four tokens differ between them.
+Each projection is one SQL text for Spark and DuckDB; five tokens differ between them.
 The session time zone is UTC. ``seq`` is the ingest order.
 """
 
@@ -13,18 +13,20 @@ from pyspark.sql import functions as F
 
 from skyflow.plans.partitions import spread
 
-# How each engine writes the four tokens.
+# How each engine writes the five tokens.
 SPARK_TOKENS = {
     "HEX": "hex({0})",
     "EPOCH": "unix_timestamp(CAST({0} AS TIMESTAMP))",
     "DIV": "({0}) div ({1})",
     "STR": "CAST({0} AS STRING)",
+    "EACH": "explode(array({0}))",
 }
 DUCKDB_TOKENS = {
     "HEX": "to_hex({0})",
     "EPOCH": "CAST(floor(epoch({0})) AS BIGINT)",
     "DIV": "({0}) // ({1})",
     "STR": "CAST({0} AS VARCHAR)",
+    "EACH": "unnest([{0}])",
 }
 
 PROJECTIONS = {
@@ -106,8 +108,7 @@ SELECT event_id * 4 + g AS seq, concat('K', lpad($STR(user_id % 40), 3, '0')) AS
   CAST((event_id + g) % 60 AS INT) AS wspd,
   CASE WHEN (event_id + g) % 90 < 5 THEN 'LIFR' WHEN (event_id + g) % 90 < 10 THEN 'IFR' WHEN (event_id + g) % 90 <= 30 THEN 'MVFR' ELSE 'VFR' END AS fltcat,
   concat('TAF ', lpad($STR(event_id), 9, '0')) AS raw_taf
-FROM events CROSS JOIN (VALUES (0), (1), (2), (3)) AS p(g)
-WHERE event_type = 'view'
+FROM (SELECT *, $EACH(0, 1, 2, 3) AS g FROM events WHERE event_type = 'view') p
 """,
     "sigmet": """
 SELECT event_id AS seq, CASE WHEN event_id % 41 = 0 THEN NULL ELSE concat('Z', lpad($STR(user_id % 12), 3, '0')) END AS icao_id,
