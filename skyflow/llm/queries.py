@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyflow.llm import bpe, decontaminate
+from skyflow.llm import bpe, decontaminate, langid, licenses, toxicity
 from skyflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def vocabulary_path() -> str:
+    """The piece vocabulary the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 @query("op4_bpe")
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -40,3 +47,18 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_decontaminate")
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_licenses")
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_language")
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(table(spark, sf_dir, "documents"), vocabulary_path())
