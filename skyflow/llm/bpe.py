@@ -26,10 +26,10 @@ from skyflow.llm import common
 # The split that byte-level tokenizers of this kind apply before merging.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Words kept with their tokens in a Python worker; when full, the words are forgotten.
-CACHE_WORDS = 250_000
+#: Words kept with their tokens in a Python worker, and as many that were kept before.
+CACHE_WORDS = 150_000
 #: Transitions kept in a Python worker.
-CACHE_ARCS = 1_000_000
+CACHE_ARCS = 300_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -62,6 +62,12 @@ class MergeAutomaton:
                 self.left[w], self.right[w], self.rank[w] = u, v, rank
                 self.tokens[labels[w]] = w
         self.longest = max(map(len, self.tokens), default=0)
+        self.lengths = list(map(len, labels))
+        #: The longest token that a token starts with.
+        self.shorter = [-1] * size
+        for label, token in self.tokens.items():
+            ends = range(len(label) - 1, 0, -1)
+            self.shorter[token] = next((t for e in ends if (t := self.tokens.get(label[:e])) is not None), -1)
         self.words = _Words(self)
 
     def _removed(self, x: int, y: int, before: int) -> bool:
@@ -89,24 +95,43 @@ class MergeAutomaton:
             found = self._arcs[key] = not self._removed(state, token, len(self.merge_rank))
         return found
 
+    def _longest_at(self, word: bytes, start: int) -> int:
+        """The longest token that stands at ``start``; single bytes are tokens, so there is one."""
+        tokens, end = self.tokens, min(len(word), start + self.longest)
+        while (token := tokens.get(word[start:end])) is None:
+            end -= 1
+        return token
+
     def encode_word(self, word: bytes) -> tuple[int, ...]:
-        """Tokens of a word, by one run over its bytes.
+        """Tokens of a word: a run over its bytes, the longest arcs first.
 
-        ``ends[i]`` is the last token of the only accepted sequence for the first ``i`` bytes.
+        A place is reached by one accepted sequence only, so a place from which no arc goes on is
+        never tried again.
         """
-        tokens, has_arc, longest, size = self.tokens, self.has_arc, self.longest, len(word)
-        ends = [-1] * (size + 1)
-        for end in range(1, size + 1):
-            for start in range(max(0, end - longest), end):
-                token = tokens.get(word[start:end])
-                if token is not None and (not start or has_arc(ends[start], token)):
-                    ends[end] = token
-                    break
-        found, end = [], size
-        while end:
-            found.append(ends[end])
-            end -= len(self.labels[ends[end]])
-        return tuple(reversed(found))
+        arcs, lengths, shorter, names = self._arcs, self.lengths, self.shorter, len(self.labels)
+        size, found, dead, at, state = len(word), [], set(), 0, -1
+        token = self._longest_at(word, 0) if word else -1
+        while at < size:
+            while token >= 0:
+                if at + lengths[token] not in dead:
+                    if state < 0:
+                        break
+                    allowed = arcs.get(state * names + token)
+                    if self.has_arc(state, token) if allowed is None else allowed:
+                        break
+                token = shorter[token]
+            if token >= 0:
+                found.append(token)
+                at += lengths[token]
+                state = token
+                token = self._longest_at(word, at) if at < size else -1
+            else:
+                dead.add(at)
+                token = found.pop()
+                at -= lengths[token]
+                state = found[-1] if found else -1
+                token = shorter[token]
+        return tuple(found)
 
     def encode(self, text: str, split=regex.compile(SPLIT_PATTERN)) -> np.ndarray:
         """Tokens of a whole text; strings of special tokens are those tokens."""
@@ -123,20 +148,28 @@ class MergeAutomaton:
         return np.fromiter(chain.from_iterable(pieces), dtype=np.int32)
 
     def decode(self, ids: list[int]) -> str:
-        """Text of tokens: their arc labels one after another; broken UTF-8 is replaced."""
-        return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
+        """Text of tokens."""
+        return emit(self.labels, ids)
+
+
+def emit(labels: list[bytes], ids: list[int]) -> str:
+    """The arc labels of tokens one after another; broken UTF-8 is replaced."""
+    return b"".join(map(labels.__getitem__, ids)).decode("utf-8", "replace")
 
 
 class _Words(dict):
-    """Tokens of the words seen so far in this worker."""
+    """Tokens of words seen in this worker; of those not used for long, the tokens are forgotten."""
 
     def __init__(self, automaton: MergeAutomaton):
         self.automaton = automaton
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
             self.clear()
-        found = self[word] = self.automaton.encode_word(word.encode())
+        found = self.older.get(word) or self.automaton.encode_word(word.encode())
+        self[word] = found
         return found
 
 
@@ -178,13 +211,16 @@ def _automaton(shared) -> MergeAutomaton:
     return found
 
 
-def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, ids array<int>), one per row of ``docs``.
+def encode(
+    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False
+) -> DataFrame:
+    """Rows (doc_id, ids array<int>), one per row of ``docs``; with ``decoded`` also the text decoded from the ids.
 
     Null and empty texts have no tokens, repeated rows and ids stay as they are, a null id stays
     null, and other columns of ``docs`` are not read.
     """
     shared = _broadcast_tokenizer(docs, tokenizer_path)
+    schema = "doc_id long, ids array<int>" + ", decoded string" * decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(shared)
@@ -192,29 +228,34 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
             found = [automaton.encode(text) for text in common.as_text(batch["text"])]
             offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found), pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], ids], ["doc_id", "ids"])
+            columns = [batch["doc_id"], ids]
+            if decoded:
+                columns.append(pa.array([automaton.decode(x.tolist()) for x in found], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"][: len(columns)])
 
-    return common.id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
+    return common.id_and_text(docs, id_col, text_col).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
-    """``encoded`` with the text of its tokens in column ``to``; null tokens give an empty text."""
+    """``encoded`` with the text of its tokens in column ``to``; null and empty lists give an empty text."""
     shared = _broadcast_tokenizer(encoded, tokenizer_path)
     schema = T.StructType([*encoded.schema.fields, T.StructField(to, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _automaton(shared)
+        labels = shared.value[1]
         for batch in common.slices(batches):
-            texts = [automaton.decode(ids or []) for ids in batch[ids_col].to_pylist()]
+            lists = batch[ids_col]
+            ids = lists.flatten().to_numpy(zero_copy_only=False).tolist()
+            ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
+            texts = [emit(labels, ids[start:end]) for start, end in zip([0, *ends], ends)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
 
     return encoded.mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """One row per document: number of tokens, digest of the tokens, digest of the decoded text."""
-    both = decode(encode(docs, tokenizer_path), tokenizer_path)
-    return both.select(
+    """One row per document: number of tokens, digest of the tokens, digest of the text decoded from them."""
+    return encode(docs, tokenizer_path, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.transform("ids", lambda x: x.cast("string")), ","), 256).alias("ids_sha256"),

@@ -65,6 +65,14 @@ def test_small(spark, monkeypatch):
     assert bpe.digests(docs.limit(0), PATH).count() == 0
 
 
+def test_decode_a_table(spark):
+    docs = spark.createDataFrame([(1, "one two"), (2, ""), (3, None)], "doc_id long, text string")
+    both = bpe.decode(bpe.encode(docs, PATH), PATH)
+    assert sorted((r.doc_id, r.decoded) for r in both.collect()) == [(1, "one two"), (2, ""), (3, "")]
+    none = spark.createDataFrame([(1, None), (2, [31373, 995])], "doc_id long, ids array<int>")
+    assert [r.decoded for r in bpe.decode(none, PATH).orderBy("doc_id").collect()] == ["", "hello world"]
+
+
 def test_query(spark):
     texts = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
     found = QUERIES["op4_bpe"](spark, SF).collect()
