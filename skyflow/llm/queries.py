@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skyflow.llm import bpe, decontaminate, langid, licenses, toxicity
+from skyflow.llm import ann, bpe, chat, decontaminate, langid, licenses, simhash, toxicity
 from skyflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +63,42 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_language")
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+@query("op5_neighbours")
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), marked AS (
+  SELECT *, row_number() OVER w AS n, lag(role) OVER w AS before,
+    length(text) + length(regexp_replace(text, '[^\\<>]', '', 'g')) AS text_chars,
+    length(role) + length(regexp_replace(role, '[^\\<>]', '', 'g')) AS role_chars
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(text_chars + CASE WHEN n > 1 AND before = role THEN length('<next>')
+    ELSE length('<turn ></turn>') + 1 + role_chars END) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+
+@query("op6_chat", CHAT_SQL)
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.report(conversations.union(added))
+
+
+@query("op10_simhash")
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
