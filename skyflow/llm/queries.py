@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyflow.llm import ann, bpe, chat, decontaminate, langid, licenses, pii, simhash, toxicity
+from skyflow.llm import ann, bpe, chat, decontaminate, langid, licenses, pii, simhash, substrings, toxicity
 from skyflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,28 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_pii")
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
+
+
+REPEATS_SQL = r"""
+WITH words AS (
+  SELECT doc_id, coalesce([x FOR x IN string_split_regex(text, '[\x20\x09-\x0D]+') IF x <> ''], []) AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS v
+  FROM words, unnest(generate_series(1, len(w) - 12)) AS s(i) WHERE len(w) >= 13
+), firsts AS (SELECT v, min(doc_id) AS least FROM windows GROUP BY v),
+hits AS (SELECT doc_id, i FROM windows JOIN firsts USING (v) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM hits, unnest(generate_series(0, 12)) AS s(k)),
+places AS (SELECT doc_id, i, w[i] AS word FROM words, unnest(generate_series(1, len(w))) AS s(i)),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t
+  FROM places ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op3_repeats", REPEATS_SQL)
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(table(spark, sf_dir, "documents"))
