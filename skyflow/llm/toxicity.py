@@ -160,12 +160,13 @@ def _sampled_features(docs: DataFrame, ids: DataFrame) -> list[np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
-            sets = [features_of(data) for data in common.as_bytes(batch["text"])]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sets, pa.list_(pa.int32()))], ["doc_id", "found"])
+            # As bytes, a set takes four bytes a feature on the driver.
+            sets = [np.array(features_of(data), "<i4").tobytes() for data in common.as_bytes(batch["text"])]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sets, pa.binary())], ["doc_id", "found"])
 
-    chosen = docs.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(run, "doc_id long, found array<int>")
-    rows = sorted((row["doc_id"], row["found"]) for row in chosen.collect())
-    return [np.array(found, np.int64) for _, found in rows]
+    chosen = docs.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(run, "doc_id long, found binary")
+    rows = sorted((row["doc_id"], bytes(row["found"])) for row in chosen.collect())
+    return [np.frombuffer(found, "<i4") for _, found in rows]
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model | None:
