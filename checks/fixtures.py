@@ -11,8 +11,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyflow.plans.partitions import spread
-
 # How each engine writes the five tokens.
 SPARK_TOKENS = {
     "HEX": "hex({0})",
@@ -29,10 +27,19 @@ DUCKDB_TOKENS = {
     "EACH": "unnest([{0}])",
 }
 
+
+
+def _code(number: str) -> str:
+    """SQL for three characters in base 36, as airline codes have."""
+    digits = "'0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
+    parts = [f"substr({digits}, CAST($DIV({number};{power}) % 36 AS INT) + 1, 1)" for power in (1296, 36, 1)]
+    return f"concat({', '.join(parts)})"
+
+
 PROJECTIONS = {
-    "flight_states": """
+    "flight_states": f"""
 SELECT event_id AS seq, lpad(lower($HEX(user_id)), 6, '0') AS icao24,
-  CASE WHEN event_id % 11 = 0 THEN NULL ELSE concat('CS', $STR(user_id % 97)) END AS callsign,
+  CASE WHEN event_id % 11 = 0 THEN NULL ELSE concat({_code('user_id')}, $STR(user_id % 97)) END AS callsign,
   CASE WHEN event_id % 53 = 0 THEN NULL ELSE $EPOCH(ts) END AS time_position,
   $EPOCH(ts) AS last_contact,
   CASE WHEN event_id % 29 = 0 THEN NULL ELSE CAST((event_id * 7919) % 36000 AS DOUBLE) / CAST(100 AS DOUBLE) - CAST(180 AS DOUBLE) END AS longitude,
@@ -68,9 +75,10 @@ SELECT c_custkey AS seq, c_name AS city_name,
   concat('N', substr('ABCDEFGHIJKL', CAST(n_nationkey % 12 AS INT) + 1, 1)) AS country_iso2, concat('C', $STR(n_regionkey)) AS iata_code
 FROM customer JOIN nation ON c_nationkey = n_nationkey
 """,
-    "airlines": """
-SELECT s_suppkey AS seq, concat('CS', $STR(s_suppkey)) AS icao_code, s_name AS airline_name
-FROM supplier WHERE s_suppkey BETWEEN 0 AND 7
+    "airlines": f"""
+SELECT s_suppkey AS seq, {_code("s_suppkey")} AS icao_code, s_name AS airline_name,
+  concat('Country ', $STR(s_nationkey)) AS country_name, CAST(s_suppkey * 7 % 300 AS INT) AS fleet_size
+FROM supplier
 """,
     "track_waypoints": """
 SELECT l_orderkey AS seq, lpad(lower($HEX(o_custkey)), 6, '0') AS icao24,
@@ -108,7 +116,7 @@ SELECT event_id * 4 + g AS seq, concat('K', lpad($STR(user_id % 40), 3, '0')) AS
   CAST((event_id + g) % 60 AS INT) AS wspd,
   CASE WHEN (event_id + g) % 90 < 5 THEN 'LIFR' WHEN (event_id + g) % 90 < 10 THEN 'IFR' WHEN (event_id + g) % 90 <= 30 THEN 'MVFR' ELSE 'VFR' END AS fltcat,
   concat('TAF ', lpad($STR(event_id), 9, '0')) AS raw_taf
-FROM (SELECT *, $EACH(0, 1, 2, 3) AS g FROM events WHERE event_type = 'view') p
+FROM (SELECT *, $EACH(0, 1, 2, 3) AS g FROM events) p
 """,
     "sigmet": """
 SELECT event_id AS seq, CASE WHEN event_id % 41 = 0 THEN NULL ELSE concat('Z', lpad($STR(user_id % 12), 3, '0')) END AS icao_id,
@@ -120,7 +128,7 @@ SELECT event_id AS seq, CASE WHEN event_id % 41 = 0 THEN NULL ELSE concat('Z', l
     $STR(CAST(event_id % 170 + 1 AS DOUBLE)), ',', $STR(CAST(event_id % 80 AS DOUBLE)), '],[',
     $STR(CAST(event_id % 170 AS DOUBLE)), ',', $STR(CAST(event_id % 80 + 1 AS DOUBLE)), '],[',
     $STR(CAST(event_id % 170 AS DOUBLE)), ',', $STR(CAST(event_id % 80 AS DOUBLE)), ']]]') END AS polygon
-FROM events WHERE event_type = 'error'
+FROM events
 """,
 }
 
@@ -158,7 +166,7 @@ def rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     # One small file is one task; making and parsing messages is worth all cores.
-    return spread(table) if name in ("events", "orders") else table
+    return table.repartition(spark.sparkContext.defaultParallelism) if name in ("events", "orders") else table
 
 
 def _messages(df: DataFrame, topic: str, key, value) -> DataFrame:

@@ -249,10 +249,14 @@ def w8(spark, sf_dir):
     return keyed.retain(rows, "obs_time", TTL, NOW)
 
 
+# Codes repeat where there are more airlines than codes; the first airline counts.
+AIRLINE_BY_CODE = f"(SELECT * FROM {AIRLINES} QUALIFY row_number() OVER (PARTITION BY icao_code ORDER BY seq) = 1)"
+
+
 @query(
     "e1_enrich_airline",
-    f"""SELECT s.seq, s.callsign, a.airline_name FROM {STATES} s
-        LEFT JOIN {AIRLINES} a ON upper(substr(s.callsign, 1, 3)) = a.icao_code""",
+    f"""SELECT s.seq, s.callsign, a.airline_name, a.country_name AS airline_country, a.fleet_size AS airline_fleet_size
+        FROM {STATES} s LEFT JOIN {AIRLINE_BY_CODE} a ON upper(substr(s.callsign, 1, 3)) = a.icao_code""",
 )
 def e1(spark, sf_dir):
     rows = inputs.states(spark, sf_dir).select(offset(), "callsign")

@@ -208,10 +208,10 @@ def s13(spark, sf_dir):
     path = new_folder(spark, "airports")
     text.write.json(path)
     fields = ["id", "icao_code", "country_iso2", "city_iata_code", "airport_name", "latitude"]
-    return read_reference(spark, path, "airports", multi_line=False).select(*fields)
+    return read_reference(spark, path, "airports").select(*fields)
 
 
-@query("s14_flatten_pages", f"SELECT seq, icao_code, airline_name FROM {AIRLINES}")
+@query("s14_flatten_pages", f"SELECT seq, icao_code, airline_name, country_name, fleet_size FROM {AIRLINES}")
 def s14(spark, sf_dir):
     items = fixtures.rows(spark, sf_dir, "airlines")
     pages = items.groupBy(F.floor(F.col("seq") / 5).alias("offset")).agg(F.collect_list(F.struct("*")).alias("data"))

@@ -102,11 +102,7 @@ def q7(spark, sf_dir):
     return serving.metar_range(w3(spark, sf_dir), "K007", NOON - WEEK, NOON)
 
 
-ACTIVE_SIGMETS = f"""(SELECT * FROM {SIGMETS} WHERE hour_bucket BETWEEN {NOON} - 3 * 3600 AND {NOON}
-    AND valid_from <= {NOON} AND valid_to >= {NOON})"""
-
-
-@query("q8_active_sigmets", f"SELECT * FROM {ACTIVE_SIGMETS}")
+@query("q8_active_sigmets", f"SELECT * FROM {SIGMETS} WHERE valid_from <= {NOON} AND valid_to >= {NOON}")
 def q8(spark, sf_dir):
     return serving.active_sigmets(sigmets(spark, sf_dir), NOON)
 
@@ -182,6 +178,6 @@ def q16(spark, sf_dir):
     return serving.table_profile(p2(spark, sf_dir), ["icao24", "starttime", "time"])
 
 
-@query("q16_table_sample")
+@query("q16_table_sample", f"SELECT {WAYPOINT_FIELDS} FROM {WAYPOINTS} ORDER BY {WAYPOINT_FIELDS} LIMIT 5000")
 def q16_sample(spark, sf_dir):
-    return serving.table_sample(p2(spark, sf_dir))
+    return serving.table_sample(p2(spark, sf_dir), WAYPOINT_FIELDS.split(", "), 5000)

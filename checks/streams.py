@@ -10,6 +10,7 @@ from checks import fixtures, inputs
 from checks.flights import (
     ACTIVE,
     AIRCRAFT,
+    AIRLINE_BY_CODE,
     ARRIVALS,
     BY_MINUTE,
     DENSITY,
@@ -23,7 +24,7 @@ from checks.flights import (
     counted,
     with_global,
 )
-from checks.parsing import AIRLINES, AIRPORTS, INFO, METAR, SIGMET, STATES, WAYPOINT_FIELDS, WAYPOINTS
+from checks.parsing import AIRPORTS, INFO, METAR, SIGMET, STATES, WAYPOINT_FIELDS, WAYPOINTS
 from checks.registry import query
 from skyflow.operators import activity, enrich, positions, weather
 from skyflow.plans.staging import new_folder
@@ -191,6 +192,40 @@ def k2(spark, sf_dir):
     return days.select("station_id", "obs_time", "raw_ob", "year", "month", "day")
 
 
+@query("k1_upsert_sink_new_checkpoint", f"SELECT * FROM {METAR_HISTORY}")
+def k1_new_checkpoint(spark, sf_dir):
+    """Halves of the messages fed by two queries with checkpoints of their own, compacted in between."""
+    keys = schemas.TABLE_KEYS["metar_history_by_station"]
+    table = tables.KeyedTable(new_folder(spark, "table"), keys, ["ingest"], ["ingest"], compact_every=2)
+    for half in (0, 1):
+
+        def made(spark, sf_dir, half=half):
+            return fixtures.metar_messages(spark, sf_dir).filter(F.col("offset") % 2 == half)
+
+        metar = parse.parse_metar(stream_of(spark, sf_dir, made, schemas.METAR_TOPIC))
+        rows = with_ingest(weather.metar_history_rows(metar))
+        tables.upsert_sink(rows, table, f"feed_{half}", new_folder(spark, "checkpoint"), ONCE).awaitTermination()
+        if half == 0:
+            tables.compact(spark, table)
+            tables.vacuum(spark, table)
+    return tables.current_view(spark, table)
+
+
+@query("k2_archive_new_checkpoint", f"""SELECT seq AS "offset", station_id, raw_ob FROM {METAR}""")
+def k2_new_checkpoint(spark, sf_dir):
+    """Halves of the messages archived by two queries with checkpoints of their own."""
+    path = new_folder(spark, "archive")
+    for half in (0, 1):
+
+        def made(spark, sf_dir, half=half):
+            return fixtures.metar_messages(spark, sf_dir).filter(F.col("offset") % 2 == half)
+
+        metar = parse.parse_metar(stream_of(spark, sf_dir, made, schemas.METAR_TOPIC))
+        rows = metar.withColumn("offset", F.col("_metadata.offset")).drop("_metadata")
+        sinks.archive_sink(rows, path, "timestamp", "archive", new_folder(spark, "checkpoint"), ONCE).awaitTermination()
+    return spark.read.parquet(path).select("offset", "station_id", "raw_ob")
+
+
 @query(
     "k3_to_messages",
     f"""SELECT concat(icao24, '-', firstSeen) AS key, concat('{{"icao24":"', icao24, '","firstSeen":', firstSeen,
@@ -216,7 +251,7 @@ def k5(spark, sf_dir):
 
 @query(
     "e1_stream_enrich_airline",
-    f"""SELECT s.seq, a.airline_name FROM {STATES} s LEFT JOIN {AIRLINES} a ON substr(s.callsign, 1, 3) = a.icao_code""",
+    f"""SELECT s.seq, a.airline_name, a.country_name AS airline_country, a.fleet_size AS airline_fleet_size FROM {STATES} s LEFT JOIN {AIRLINE_BY_CODE} a ON substr(s.callsign, 1, 3) = a.icao_code""",
 )
 def e1_stream(spark, sf_dir):
     flights = state_stream(spark, sf_dir).select(F.col("_metadata.offset").alias("seq"), "callsign")

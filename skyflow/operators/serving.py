@@ -9,14 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyflow.functions.columns import HOUR, bucket
+from skyflow.functions.columns import HOUR
 from skyflow.plans.ordering import first_per_key
 
-# Fixed value: most rows a table preview returns.
-RESULT_LIMIT = 5000
-# Fixed value: a forecast is valid for 30 hours at most; longer periods are faulty but kept.
-LONGEST_PERIOD = 30 * HOUR
-WIDE_STEP = 10_000 * HOUR
+# Steps under which forecast periods are listed, and for each step the longest period that uses it.
+# Forecasts are valid for 30 hours at most; longer periods are faulty but kept.
+PERIOD_STEPS = {HOUR: 30 * HOUR, 1_000 * HOUR: None}
 
 
 def live_map(positions: DataFrame, minute: int) -> DataFrame:
@@ -58,12 +56,16 @@ def metar_range(history: DataFrame, station: str, start: int, end: int) -> DataF
     return history.filter(inside).orderBy(F.desc("obs_time"))
 
 
-def active_sigmets(sigmets: DataFrame, at: int, lookback_hours: int = 3) -> DataFrame:
-    """Warnings in force at ``at`` that began in the current hour or the ``lookback_hours`` before."""
-    current = at - at % HOUR
-    buckets = [current - HOUR * back for back in range(lookback_hours + 1)]
-    in_force = (F.col("valid_from") <= at) & (F.col("valid_to") >= at)
-    return sigmets.filter(F.col("hour_bucket").isin(buckets) & in_force)
+def active_sigmets(sigmets: DataFrame, at: int, longest_hours: int | None = None) -> DataFrame:
+    """Warnings in force at ``at``, however long ago they began.
+
+    If no stored warning is valid for more than ``longest_hours``, naming that limit leaves older
+    hours unread; warnings that are valid for longer are then missed.
+    """
+    in_force = (F.col("valid_from") <= at) & (F.col("valid_to") >= at) & (F.col("hour_bucket") <= at)
+    if longest_hours is not None:
+        in_force = in_force & (F.col("hour_bucket") >= at - at % HOUR - longest_hours * HOUR)
+    return sigmets.filter(in_force)
 
 
 def at_altitude(sigmets: DataFrame, feet: int) -> DataFrame:
@@ -91,10 +93,16 @@ def compare_forecast(history: DataFrame, taf: DataFrame) -> DataFrame:
     end out), the newest bulletin counts, then the latest period in it. Observations
     without such a period are left out.
 
-    Periods are listed under each hour they touch and meet observations of their hour, so
-    the range condition runs inside a station-hour and not over a station's whole history.
-    The rare period beyond ``LONGEST_PERIOD`` is listed under wider steps in a second join.
+    Periods are listed under each step they touch, and meet observations of that step, so the
+    range condition runs inside a station and step and not over a station's whole history. The
+    step is an hour, and wider for periods that would touch too many; observations are listed
+    under every width, so one join serves all.
     """
+    length = F.col("valid_to") - F.col("valid_from")
+    step = F.lit(None).cast("long")
+    for width, longest in reversed(PERIOD_STEPS.items()):
+        own = F.lit(width).cast("long")
+        step = own if longest is None else F.when(length <= longest, own).otherwise(step)
     periods = taf.filter(F.col("valid_from") < F.col("valid_to")).select(
         "station_id",
         "issue_time",
@@ -102,24 +110,22 @@ def compare_forecast(history: DataFrame, taf: DataFrame) -> DataFrame:
         "valid_from",
         "valid_to",
         F.col("fltcat").alias("forecast_fltcat"),
+        step.alias("_step"),
     )
-    observed = history.select("station_id", "obs_time", F.col("fltcat").alias("observed_fltcat"))
+    touched = F.sequence(F.floor(F.col("valid_from") / F.col("_step")), F.floor((F.col("valid_to") - 1) / F.col("_step")))
+    listed = periods.withColumn("_place", F.explode(touched))
+    observed = history.select(
+        "station_id",
+        "obs_time",
+        F.col("fltcat").alias("observed_fltcat"),
+        F.explode(F.array(*[F.lit(width).cast("long") for width in PERIOD_STEPS])).alias("_step"),
+    ).withColumn("_place", F.floor(F.col("obs_time") / F.col("_step")))
     valid = (
         (F.col("obs_time") >= F.col("valid_from"))
         & (F.col("obs_time") < F.col("valid_to"))
         & (F.col("issue_time") <= F.col("obs_time"))
     )
-
-    def met(some: DataFrame, step: int) -> DataFrame:
-        steps = F.sequence(
-            bucket(F.col("valid_from"), step), bucket(F.col("valid_to") - 1, step), F.lit(step).cast("long")
-        )
-        listed = some.withColumn("_step", F.explode(steps))
-        placed = observed.withColumn("_step", bucket(F.col("obs_time"), step))
-        return placed.join(listed, ["station_id", "_step"]).filter(valid).drop("_step")
-
-    usual = F.col("valid_to") - F.col("valid_from") <= LONGEST_PERIOD
-    pairs = met(periods.filter(usual), HOUR).unionByName(met(periods.filter(~usual), WIDE_STEP))
+    pairs = observed.join(listed, ["station_id", "_step", "_place"]).filter(valid)
     chosen = pairs.groupBy("station_id", "obs_time", "observed_fltcat").agg(
         F.max(F.struct("issue_time", "time_group", "valid_from", "valid_to", "forecast_fltcat")).alias("f")
     )
@@ -163,6 +169,6 @@ def table_profile(df: DataFrame, key: list[str]) -> DataFrame:
     return df.agg(F.count("*").alias("row_count"), F.count_distinct(*key).alias("distinct_keys"))
 
 
-def table_sample(df: DataFrame, limit: int = RESULT_LIMIT) -> DataFrame:
-    """At most ``limit`` rows to look at; which ones is not defined."""
-    return df.limit(limit)
+def table_sample(df: DataFrame, order: list[str], limit: int) -> DataFrame:
+    """The first ``limit`` rows by ``order`` to look at; every task keeps that many, nothing is sorted in full."""
+    return df.orderBy(*order).limit(limit)

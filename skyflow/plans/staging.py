@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_chosen: dict[str, str] = {}
 
-_local_folders: dict[str, str] = {}
 
+def use_folder(spark: SparkSession, folder: str) -> None:
+    """Name the shared folder of a session whose cluster names none, as in local runs."""
+    _chosen[spark.sparkContext.applicationId] = folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only where the cluster names none, as in local tests, a temporary folder stands in.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+def has_folder(spark: SparkSession) -> bool:
+    """Whether ``shared_folder`` has an answer."""
+    return bool(spark.conf.get("spark.checkpoint.dir", None)) or spark.sparkContext.applicationId in _chosen
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder all executors can reach: ``spark.checkpoint.dir`` of the session."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _chosen.get(spark.sparkContext.applicationId)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        application = spark.sparkContext.applicationId
-        if application not in _local_folders:
-            _local_folders[application] = tempfile.mkdtemp(prefix="skyflow-")
-        folder = _local_folders[application]
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return folder.rstrip("/")
 
 
@@ -32,12 +32,19 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, and gives the optimizer the
-    real size of the table instead of an estimate multiplied through its joins.
+    real size of the table instead of an estimate multiplied through its joins. A caller that
+    gives a ``path`` of ``new_folder`` can remove the table when nothing reads it any more.
     """
-    path = new_folder(df.sparkSession, name)
+    path = path or new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a staged table."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -5,7 +5,15 @@ from __future__ import annotations
 import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+
+def _day_folders(spark: SparkSession, path: str, date_from: datetime.date, date_to: datetime.date) -> list[str]:
+    """Folders of the days that are there."""
+    days = [date_from + datetime.timedelta(n) for n in range((date_to - date_from).days + 1)]
+    folders = [f"{path}/year={d.year}/month={d.month}/day={d.day}" for d in days]
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(folder) for folder in folders]
+    configuration = spark._jsc.hadoopConfiguration()
+    return [folder for folder, p in zip(folders, paths, strict=True) if p.getFileSystem(configuration).exists(p)]
 
 
 def read_archive(
@@ -16,8 +24,10 @@ def read_archive(
 ) -> DataFrame:
     """Archived rows of the days ``date_from`` to ``date_to``, both included.
 
-    The condition uses partition columns alone, so Spark lists and opens only the folders
-    of those days. Rows without an event time are in no day and are left out.
+    Only the folders of those days are listed. Rows without an event time are in no day and are
+    left out. Days without a folder have no rows; without any, the archive gives the columns.
     """
-    day = F.make_date("year", "month", "day")
-    return spark.read.parquet(path).filter(day.between(F.lit(date_from), F.lit(date_to))).drop("batch_id")
+    reader = spark.read.option("basePath", path)
+    folders = _day_folders(spark, path, date_from, date_to)
+    rows = reader.parquet(*folders) if folders else reader.parquet(path).limit(0)
+    return rows.drop("writer", "batch_id")

@@ -9,12 +9,11 @@ from skyflow.functions.columns import trim_strings
 from skyflow.sources.schemas import REFERENCE_NUMBERS, REFERENCE_SCHEMAS
 
 
-def read_reference(spark: SparkSession, path: str, kind: str, multi_line: bool = True) -> DataFrame:
-    """Read ``airports``, ``airlines`` or ``cities`` from a JSON array file.
+def read_reference(spark: SparkSession, path: str, kind: str, multi_line: bool = False) -> DataFrame:
+    """Read ``airports``, ``airlines`` or ``cities`` from JSON lines, which Spark splits.
 
     The files hold text only: text is stripped and numbers are cast, bad ones to null.
-    A JSON array is one record to Spark and is read by one task; large lists should be
-    JSON lines with ``multi_line=False``, which Spark splits.
+    With ``multi_line`` a file is one JSON array, which is one record to Spark and is read by one task.
     """
     rows = trim_strings(
         spark.read.schema(REFERENCE_SCHEMAS[kind]).option("multiLine", multi_line).json(path)

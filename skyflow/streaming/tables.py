@@ -2,15 +2,20 @@
 
 Layout below the table path::
 
-    log/batch_id=7/      rows of one micro-batch, newest per key
-    base/through=5/      current rows after batch 5
-
-A folder counts once its ``_SUCCESS`` marker is there, so readers never see half a write
-and a job that dies while compacting leaves the old state in force.
+    log/writer=ab12/batch_id=7/   rows of one micro-batch of one query, newest per key
+    merged/through=3/             for the third base: the last batch of each writer that it holds
+    base/through=3/               the current rows when it was written
+
+A writer is a streaming query with its checkpoint. A query that starts over with a new checkpoint
+counts its batches from 0 again, but as another writer, so it neither overwrites nor hides what was
+there. A batch that runs again replaces its own folder. A folder counts once its ``_SUCCESS`` marker
+is there, so readers never see half a write and a job that dies while compacting leaves the old
+state in force.
 """
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,16 +25,19 @@ from pyspark.sql.streaming import StreamingQuery
 from skyflow.plans.ordering import latest_by_key
 
 WRITTEN_AT = "written_at"
-BATCH = "batch_id"
+WRITER, BATCH = "writer", "batch_id"
+#: Writer of batches that no streaming query wrote.
+NO_QUERY = "none"
 
 
 @dataclass(frozen=True)
 class KeyedTable:
     """Where a table lives, what identifies a row and which row of a key is the newest.
 
-    ``order`` names columns of the rows written; the batch breaks ties. Columns in
+    ``order`` names columns of the rows written; what was written later breaks ties. Columns in
     ``hidden`` only serve the order and do not show in the current view. With
-    ``ttl_seconds`` rows expire that long after they were written.
+    ``ttl_seconds`` rows expire that long after they were written. A sink compacts the table
+    after every ``compact_every`` batches, so that its log stays short.
     """
 
     path: str
@@ -37,18 +45,39 @@ class KeyedTable:
     order: list[str] = field(default_factory=list)
     hidden: list[str] = field(default_factory=list)
     ttl_seconds: int | None = None
+    compact_every: int | None = 50
 
 
-def _committed(spark: SparkSession, folder: str, name: str) -> dict[int, str]:
-    """Numbered folders ``name=N`` below ``folder`` that have a success marker."""
+def _committed(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """Folders that match ``pattern`` and have a success marker, with the marker's time in seconds."""
     jvm = spark._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}=*/_SUCCESS")
-    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = {}
-    for status in system.globStatus(pattern) or []:
-        parent = status.getPath().getParent()
-        found[int(parent.getName().split("=", 1)[1])] = parent.toString()
-    return found
+    path = jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    statuses = system.globStatus(path) or []
+    return [(s.getPath().getParent().toString(), s.getModificationTime() // 1000) for s in statuses]
+
+
+def _part(folder: str, name: str) -> str:
+    """The value of the folder level ``name=value``."""
+    return next(x.split("=", 1)[1] for x in folder.split("/") if x.startswith(f"{name}="))
+
+
+def _bases(spark: SparkSession, table: KeyedTable) -> dict[int, str]:
+    return {int(_part(folder, "through")): folder for folder, _ in _committed(spark, f"{table.path}/base/through=*")}
+
+
+def _log(spark: SparkSession, table: KeyedTable) -> dict[tuple[str, int], tuple[str, int]]:
+    """Folders of the log by writer and batch, with the time each was written."""
+    found = _committed(spark, f"{table.path}/log/{WRITER}=*/{BATCH}=*")
+    return {(_part(folder, WRITER), int(_part(folder, BATCH))): (folder, at) for folder, at in found}
+
+
+def _merged(spark: SparkSession, table: KeyedTable, base: int | None) -> dict[str, int]:
+    """The last batch of each writer in a base; a row per writer that ever fed the table."""
+    if base is None:
+        return {}
+    rows = spark.read.schema(f"{WRITER} STRING, {BATCH} BIGINT").json(f"{table.path}/merged/through={base}")
+    return {row[WRITER]: row[BATCH] for row in rows.collect()}
 
 
 def _remove(spark: SparkSession, folder: str) -> None:
@@ -56,42 +85,61 @@ def _remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def append_changes(table: KeyedTable, batch: DataFrame, batch_id: int) -> None:
+def writer_of(batch: DataFrame) -> str:
+    """The streaming query that a micro-batch belongs to; the id stays the same for a checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or NO_QUERY
+
+
+def append_changes(table: KeyedTable, batch: DataFrame, batch_id: int, writer: str | None = None) -> None:
     """Write one micro-batch to the log; writing it again replaces it."""
+    writer = writer or writer_of(batch)
     newest = latest_by_key(batch, table.keys, table.order) if table.order else batch
     stamped = newest.withColumn(WRITTEN_AT, F.unix_timestamp(F.current_timestamp()))
-    stamped.write.mode("overwrite").parquet(f"{table.path}/log/{BATCH}={batch_id}")
-
-
-def _rows(spark: SparkSession, table: KeyedTable) -> tuple[DataFrame, int]:
-    """Base and later log rows, and the last batch among them."""
-    bases = _committed(spark, f"{table.path}/base", "through")
-    through = max(bases, default=-1)
-    log = {n: folder for n, folder in _committed(spark, f"{table.path}/log", BATCH).items() if n > through}
-    parts = []
-    if bases:
-        parts.append(spark.read.parquet(bases[through]))
-    if log:
-        parts.append(spark.read.option("basePath", f"{table.path}/log").parquet(*log.values()))
-    if not parts:
+    stamped.write.mode("overwrite").parquet(f"{table.path}/log/{WRITER}={writer}/{BATCH}={batch_id}")
+
+
+@dataclass(frozen=True)
+class _State:
+    """What a read of the table consists of."""
+
+    base: int | None
+    rows: DataFrame
+    through: dict[str, int]
+
+
+def _state(spark: SparkSession, table: KeyedTable, now: int | None) -> _State:
+    bases = _bases(spark, table)
+    base = max(bases, default=None)
+    merged = _merged(spark, table, base)
+    log = {key: found for key, found in _log(spark, table).items() if key[1] > merged.get(key[0], -1)}
+    if base is None and not log:
         raise FileNotFoundError(f"no committed rows below {table.path}")
+    through = dict(merged)
+    for writer, batch_id in log:
+        through[writer] = max(batch_id, through.get(writer, -1))
+    folders = [folder for folder, _ in log.values()]
+    if table.ttl_seconds is not None and log:
+        # Rows of a folder were written before its marker; where that has expired nothing is read.
+        oldest = (time.time() if now is None else now) - table.ttl_seconds
+        newest = max(log.values(), key=lambda found: found[1])[0]
+        folders = [folder for folder, at in log.values() if at > oldest or (base is None and folder == newest)]
+    parts = [spark.read.parquet(bases[base])] if base is not None else []
+    if folders:
+        parts.append(spark.read.option("basePath", f"{table.path}/log").parquet(*folders))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return rows.withColumn(BATCH, F.col(BATCH).cast("long")), max([through, *log])
+    return _State(base, rows.withColumns({BATCH: F.col(BATCH).cast("long"), WRITER: F.col(WRITER).cast("string")}), through)
 
 
-def _newest(spark: SparkSession, table: KeyedTable, now: int | None) -> tuple[DataFrame, int]:
-    rows, last = _rows(spark, table)
-    newest = latest_by_key(rows, table.keys, [*table.order, BATCH])
+def _newest(table: KeyedTable, rows: DataFrame, now: int | None) -> DataFrame:
     if table.ttl_seconds is not None:
         clock = F.unix_timestamp(F.current_timestamp()) if now is None else F.lit(now)
-        newest = newest.filter(F.col(WRITTEN_AT) > clock - table.ttl_seconds)
-    return newest, last
+        rows = rows.filter(F.col(WRITTEN_AT) > clock - table.ttl_seconds)
+    return latest_by_key(rows, table.keys, [*table.order, WRITTEN_AT, BATCH])
 
 
 def current_view(spark: SparkSession, table: KeyedTable, now: int | None = None) -> DataFrame:
-    """One row per key: the newest one written so far, without expired rows."""
-    newest, _ = _newest(spark, table, now)
-    return newest.drop(*table.hidden, WRITTEN_AT, BATCH)
+    """One row per key: the newest one written so far; expired rows do not count."""
+    return _newest(table, _state(spark, table, now).rows, now).drop(*table.hidden, WRITTEN_AT, WRITER, BATCH)
 
 
 def compact(spark: SparkSession, table: KeyedTable, now: int | None = None) -> None:
@@ -99,20 +147,39 @@ def compact(spark: SparkSession, table: KeyedTable, now: int | None = None) -> N
 
     Replaced folders stay for readers that have them open; ``vacuum`` removes them.
     """
-    newest, last = _newest(spark, table, now)
-    ordered = newest.repartitionByRange(*table.keys).sortWithinPartitions(*table.keys)
-    ordered.write.mode("overwrite").parquet(f"{table.path}/base/through={last}")
+    state = _state(spark, table, now)
+    number = 0 if state.base is None else state.base + 1
+    through = spark.createDataFrame(sorted(state.through.items()), f"{WRITER} STRING, {BATCH} BIGINT")
+    through.coalesce(1).write.mode("overwrite").json(f"{table.path}/merged/through={number}")
+    ordered = _newest(table, state.rows, now).repartitionByRange(*table.keys).sortWithinPartitions(*table.keys)
+    ordered.write.mode("overwrite").parquet(f"{table.path}/base/through={number}")
+
+
+def vacuum(spark: SparkSession, table: KeyedTable, keep: int = 1) -> None:
+    """Remove what the newest ``keep`` bases do not need: older bases, and log folders that all of these hold."""
+    bases = _bases(spark, table)
+    kept = sorted(bases)[-keep:]
+    if not kept:
+        return
+    merged = _merged(spark, table, kept[0])
+    for (writer, batch_id), (folder, _) in _log(spark, table).items():
+        if batch_id <= merged.get(writer, -1):
+            _remove(spark, folder)
+    for number, folder in bases.items():
+        if number < kept[0]:
+            _remove(spark, folder)
+            _remove(spark, f"{table.path}/merged/through={number}")
 
 
-def vacuum(spark: SparkSession, table: KeyedTable) -> None:
-    """Remove log batches and bases that the newest base replaces."""
-    bases = _committed(spark, f"{table.path}/base", "through")
-    if not bases:
-        return
-    through = max(bases)
-    log = _committed(spark, f"{table.path}/log", BATCH)
-    for folder in [f for n, f in log.items() if n <= through] + [f for n, f in bases.items() if n < through]:
-        _remove(spark, folder)
+def feed(table: KeyedTable, batch: DataFrame, batch_id: int) -> None:
+    """Write one micro-batch, and keep the table's log short.
+
+    The state before the last compaction stays for readers that have it open.
+    """
+    append_changes(table, batch, batch_id)
+    if table.compact_every and batch_id % table.compact_every == table.compact_every - 1:
+        compact(batch.sparkSession, table)
+        vacuum(batch.sparkSession, table, keep=2)
 
 
 def upsert_sink(
@@ -128,6 +195,6 @@ def upsert_sink(
         .option("checkpointLocation", f"{checkpoint}/{name}")
         .outputMode("append")
         .trigger(**(trigger or {"processingTime": "0 seconds"}))
-        .foreachBatch(lambda batch, batch_id: append_changes(table, batch, batch_id))
+        .foreachBatch(lambda batch, batch_id: feed(table, batch, batch_id))
         .start()
     )

@@ -3,6 +3,7 @@ import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from skyflow.operators import activity, positions, serving
 from skyflow.sources import messages, parse, schemas
@@ -100,32 +101,82 @@ def test_transitions_over_batches(spark, states, tmp_path, rows):
     assert rows(view) == [("a", 1000, "departure"), ("a", 20, "departure"), ("a", 60, "arrival")]
 
 
+def batch_of(spark, *tuples):
+    return spark.createDataFrame(list(tuples), "k STRING, t INT, v STRING")
+
+
 def test_keyed_table(spark, tmp_path, rows):
     table = tables.KeyedTable(str(tmp_path / "t"), ["k"], ["t"], hidden=["t"], ttl_seconds=100)
 
-    def batch(*tuples):
-        return spark.createDataFrame(list(tuples), "k STRING, t INT, v STRING")
+    def append(batch_id, *tuples):
+        tables.append_changes(table, batch_of(spark, *tuples), batch_id)
 
-    tables.append_changes(table, batch(("a", 5, "a5"), ("a", 4, "a4"), ("b", 1, "b1")), 0)
-    tables.append_changes(table, batch(("a", 3, "a3"), ("b", 1, "b1 again")), 1)
-    tables.append_changes(table, batch(("a", 3, "a3"), ("b", 1, "b1 again")), 1)
+    append(0, ("a", 5, "a5"), ("a", 4, "a4"), ("b", 1, "b1"))
+    append(1, ("a", 3, "a3"), ("b", 1, "b1 again"))
+    append(1, ("a", 3, "a3"), ("b", 1, "b1 again"))
     expected = [("a", "a5"), ("b", "b1 again")]
     assert rows(tables.current_view(spark, table)) == expected
     tables.compact(spark, table)
     assert rows(tables.current_view(spark, table)) == expected
-    tables.append_changes(table, batch(("c", 1, "c1"), ("a", 4, "a4")), 2)
-    os.makedirs(f"{table.path}/log/batch_id=3")  # a batch that was not finished
+    append(2, ("c", 1, "c1"), ("a", 4, "a4"))
+    log = f"{table.path}/log/writer=none"
+    os.makedirs(f"{log}/batch_id=3")  # a batch that was not finished
     assert rows(tables.current_view(spark, table)) == [*expected, ("c", "c1")]
     tables.vacuum(spark, table)
-    assert sorted(os.listdir(f"{table.path}/log")) == ["batch_id=2", "batch_id=3"]
+    assert sorted(os.listdir(log)) == ["batch_id=2", "batch_id=3"]
     tables.compact(spark, table)
     tables.vacuum(spark, table)
     assert rows(tables.current_view(spark, table)) == [*expected, ("c", "c1")]
-    assert [n for n in os.listdir(f"{table.path}/base")] == ["through=2"]
+    assert os.listdir(f"{table.path}/base") == ["through=1"] == os.listdir(f"{table.path}/merged")
+    append(2, ("c", 1, "c1"), ("a", 4, "a4"))  # the batch runs again after it was merged
+    assert rows(tables.current_view(spark, table)) == [*expected, ("c", "c1")]
     now = int(time.time())
     assert tables.current_view(spark, table, now + 200).count() == 0
 
 
+def test_keyed_table_with_new_checkpoint(spark, tmp_path, rows):
+    table = tables.KeyedTable(str(tmp_path / "t"), ["k"], ["t"], hidden=["t"])
+    for batch_id in range(3):
+        tables.append_changes(table, batch_of(spark, ("a", batch_id, f"a{batch_id}")), batch_id, "one")
+    tables.compact(spark, table)
+    tables.append_changes(table, batch_of(spark, ("new", 0, "new")), 0, "two")
+    tables.append_changes(table, batch_of(spark, ("a", 2, "late")), 1, "two")
+    found = rows(tables.current_view(spark, table))
+    assert [k for k, _ in found] == ["a", "new"]
+    tables.compact(spark, table)
+    tables.vacuum(spark, table)
+    assert rows(tables.current_view(spark, table)) == found
+
+
+def test_expired_folders_are_not_read(spark, tmp_path, rows):
+    table = tables.KeyedTable(str(tmp_path / "t"), ["k"], ["t"], hidden=["t"], ttl_seconds=100)
+    for batch_id in range(2):
+        tables.append_changes(table, batch_of(spark, (f"k{batch_id}", 1, "v")), batch_id)
+    marker = f"{table.path}/log/writer=none/batch_id=0/_SUCCESS"
+    os.utime(marker, (1_000_000, 1_000_000))
+    view = tables.current_view(spark, table)
+    assert len(view.inputFiles()) == 1 and rows(view) == [("k1", "v")]
+
+
+def test_sink_keeps_its_log_short(spark, states, tmp_path, rows):
+    for n in range(9):
+        states.add(state("a", n), state(f"b{n}", n))
+    table = tables.KeyedTable(f"{tmp_path}/t", ["icao24"], ["time_position"], compact_every=2)
+    parsed = parse.parse_flight_states(states.read(spark)).select("icao24", "time_position")
+    tables.upsert_sink(parsed, table, "feed", f"{tmp_path}/c", ONCE).awaitTermination()
+    writer = os.listdir(f"{table.path}/log")
+    assert len(writer) == 1 and writer != ["writer=none"]
+    assert len(os.listdir(f"{table.path}/log/{writer[0]}")) <= 4 and len(os.listdir(f"{table.path}/base")) == 2
+    assert rows(tables.current_view(spark, table)) == [("a", 8), *((f"b{n}", n) for n in range(9))]
+
+
+def test_archive_with_new_checkpoint(spark, tmp_path, rows):
+    rows_of = lambda v: spark.createDataFrame([(v, 1704067200)], "v STRING, t BIGINT")
+    for writer, value in (("one", "x"), ("two", "y"), ("two", "y")):
+        sinks.write_archive(rows_of(value), 0, f"{tmp_path}/a", F.timestamp_seconds("t"), writer)
+    assert rows(spark.read.parquet(f"{tmp_path}/a").select("v")) == [("x",), ("y",)]
+
+
 def test_routes_and_handlers(spark, tmp_path):
     for topic in ("one", "two", "three"):
         t = Topic(tmp_path / "mixed" / topic, topic)

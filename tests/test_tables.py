@@ -127,6 +127,20 @@ def test_active_sigmets_include_both_ends(spark):
     assert [serving.active_sigmets(warnings(spark), at).count() for at in (3600, 7200, 7201)] == [1, 1, 0]
 
 
+def test_active_sigmets_of_any_length(spark):
+    """A warning that is valid for six hours is listed five hours after it began."""
+    row = [(0, "Z", "1", 0, 6 * 3600)]
+    table = spark.createDataFrame(row, "hour_bucket BIGINT, icao_id STRING, series_id STRING, valid_from BIGINT, valid_to BIGINT")
+    assert serving.active_sigmets(table, 5 * 3600).count() == 1
+    assert serving.active_sigmets(table, 5 * 3600, longest_hours=6).count() == 1
+    assert serving.active_sigmets(table, 5 * 3600, longest_hours=3).count() == 0
+
+
+def test_table_sample_is_ordered(spark, rows):
+    table = spark.range(100).selectExpr("100 - id AS id", "id AS other").repartition(5)
+    assert rows(serving.table_sample(table, ["id"], 3)) == [(1, 99), (2, 98), (3, 97)]
+
+
 def test_altitude_includes_both_ends(spark):
     assert [serving.at_altitude(warnings(spark), feet).count() for feet in (99, 100, 200, 201)] == [0, 1, 1, 0]
 
