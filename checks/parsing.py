@@ -12,7 +12,7 @@ from checks.registry import query
 from skyflow.functions import columns as c
 from skyflow.operators import places, positions
 from skyflow.plans.staging import new_folder
-from skyflow.sources import messages, parse
+from skyflow.sources import messages, parse, schemas
 from skyflow.sources.archive import read_archive
 from skyflow.sources.reference import read_reference
 from skyflow.streaming.sinks import write_archive
@@ -158,6 +158,20 @@ def s10_counts(spark, sf_dir):
     return messages.decoding_counts(_cut(spark, sf_dir))
 
 
+@query(
+    "s10_split_malformed_types",
+    f"""SELECT seq AS "offset", icao24 AS key, seq % 101 = 0 OR seq % 7 = 0 AS malformed FROM {STATES}""",
+)
+def s10_types(spark, sf_dir):
+    """Cut messages, and messages with text where a number belongs."""
+    text = F.regexp_replace("value", '"last_contact":([0-9]+)', '"last_contact":"at $1"')
+    raw = _cut(spark, sf_dir)
+    raw = raw.withColumn("value", F.when(F.col("offset") % 7 == 0, text).otherwise(F.col("value")))
+    valid, malformed = messages.split_malformed(raw, schemas.FLIGHT_STATE)
+    sides = [side.select("offset", "key", F.lit(bad).alias("malformed")) for side, bad in ((valid, False), (malformed, True))]
+    return sides[0].unionByName(sides[1])
+
+
 SNAPSHOT_FIELDS = (
     "icao24 callsign origin_country time_position last_contact longitude latitude baro_altitude on_ground velocity "
     "true_track vertical_rate sensors geo_altitude squawk spi position_source"

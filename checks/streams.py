@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import time
 
 from pyspark.sql import functions as F
 
@@ -26,11 +27,11 @@ from checks.flights import (
 )
 from checks.parsing import AIRPORTS, INFO, METAR, SIGMET, STATES, WAYPOINT_FIELDS, WAYPOINTS
 from checks.registry import query
-from skyflow.operators import activity, enrich, positions, weather
+from skyflow.operators import activity, enrich, positions, serving, weather
 from skyflow.plans.staging import new_folder
 from skyflow.sources import messages, parse, schemas
 from skyflow.sources.archive import read_archive
-from skyflow.streaming import sinks, tables, transitions
+from skyflow.streaming import jobs, monitor, sinks, tables, transitions
 
 ONCE = {"availableNow": True}
 
@@ -269,3 +270,156 @@ def e2_stream(spark, sf_dir):
     flights = info_stream(spark, sf_dir).withColumn("seq", F.col("_metadata.offset")).drop("_metadata")
     detailed = enrich.enrich_airports(flights, inputs.airports(spark, sf_dir))
     return stored(spark, detailed.select("seq", "dep_airport_name", "arr_country_iso2"), ["seq"])
+
+
+# --- The two jobs, and what watches them.
+
+
+def written(spark, sf_dir, folder, made, cut=False):
+    """Messages written to a folder of files; with ``cut`` some of them broken."""
+    rows = made(spark, sf_dir)
+    if cut:
+        value = F.when(F.col("offset") % 101 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
+        rows = rows.withColumn("value", value)
+    rows.write.mode("append").parquet(folder)
+    return folder
+
+
+def job_config(spark, folder):
+    path = new_folder(spark, "job")
+    return jobs.JobConfig(
+        f"{folder}/*", f"{path}/tables", f"{path}/archive", f"{path}/checkpoints", "parquet", "earliest",
+        table_trigger=ONCE, archive_trigger=ONCE,
+    )
+
+
+def run_job(spark, config, queries, names):
+    """Wait for the queries of a job, then a row per stored table: rows and distinct keys."""
+    for query_ in queries:
+        query_.awaitTermination()
+    found = None
+    for name in names:
+        view = tables.current_view(spark, jobs.table_of(config, name))
+        profile = serving.table_profile(view, schemas.TABLE_KEYS[name])
+        row = profile.select(F.lit(name).alias("table"), "row_count", "distinct_keys")
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
+def profiles(sources: dict[str, str]) -> str:
+    """SQL for the rows of ``run_job``; the tables have one row per key."""
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS "table", count(*) AS row_count, count(*) AS distinct_keys FROM ({source})"""
+        for name, source in sources.items()
+    )
+
+
+TRACK_KEYS = f"SELECT DISTINCT icao24, starttime, time FROM {WAYPOINTS}"
+
+
+@query(
+    "k6_run_flight_job",
+    profiles(
+        {
+            "aircrafts_by_icao24": f"SELECT * FROM {AIRCRAFT}",
+            "aircraftstates_by_icao24": TRACK_KEYS,
+            "aircrafts_by_cell_minute": closed(BY_MINUTE, "minute_bucket", 60, 10, "time_position").format(STATES),
+            "departures_by_country_hour": closed(
+                counted(with_global(LEAVING), "firstSeen", "departures_cnt"), "hour_bucket", 3600, 86400, "firstSeen"
+            ).format(INFO),
+        }
+    ),
+)
+def k6(spark, sf_dir):
+    folder = new_folder(spark, "topics")
+    written(spark, sf_dir, f"{folder}/a", fixtures.flight_state_messages)
+    written(spark, sf_dir, f"{folder}/b", fixtures.flight_info_messages)
+    written(spark, sf_dir, f"{folder}/c", fixtures.flight_track_messages)
+    config = job_config(spark, folder)
+    queries = jobs.run_flight_job(spark, config, inputs.airports(spark, sf_dir), inputs.places(spark, sf_dir))
+    names = ["aircrafts_by_icao24", "aircraftstates_by_icao24", "aircrafts_by_cell_minute", "departures_by_country_hour"]
+    return run_job(spark, config, queries, names)
+
+
+@query(
+    "k7_run_weather_job",
+    profiles(
+        {
+            "metar_latest_by_station": f"SELECT * FROM {METAR_LATEST}",
+            "metar_history_by_station": f"SELECT * FROM {METAR_HISTORY}",
+            "sigmet_by_validtime": f"SELECT * FROM {SIGMETS}",
+            "taf_by_station": f"SELECT * FROM {TAFS}",
+        }
+    ),
+)
+def k7(spark, sf_dir):
+    folder = new_folder(spark, "topics")
+    written(spark, sf_dir, f"{folder}/a", fixtures.metar_messages)
+    written(spark, sf_dir, f"{folder}/b", fixtures.taf_messages)
+    written(spark, sf_dir, f"{folder}/c", fixtures.sigmet_messages)
+    config = job_config(spark, folder)
+    names = ["metar_latest_by_station", "metar_history_by_station", "sigmet_by_validtime", "taf_by_station"]
+    return run_job(spark, config, jobs.run_weather_job(spark, config), names)
+
+
+@query("k4_console_sink", f"SELECT count(*) AS row_count FROM {SIGMET}")
+def k4(spark, sf_dir):
+    stream = stream_of(spark, sf_dir, fixtures.sigmet_messages, schemas.SIGMET_TOPIC).select("key", "offset")
+    query_ = sinks.console_sink(stream, 1, "shown", new_folder(spark, "checkpoint"), ONCE)
+    query_.awaitTermination()
+    return monitor.batch_stats(query_).agg(F.sum("consumed").alias("row_count"))
+
+
+@query(
+    "k8_stream_lag",
+    f"""SELECT 'flights_raw' AS topic, CAST(0 AS INTEGER) AS partition, max(seq) FILTER (seq % 3 = 0) AS current_offset,
+        max(seq) AS high_offset, max(seq) - max(seq) FILTER (seq % 3 = 0) AS lag,
+        max(seq) - max(seq) FILTER (seq % 3 = 0) < 10000 AS ok FROM {STATES}""",
+)
+def k8(spark, sf_dir):
+    """Lag of a reader that has come to the last offset that three divides; progress as Kafka reports it."""
+    offsets = fixtures.flight_state_messages(spark, sf_dir).groupBy("topic", "partition").agg(
+        F.max(F.when(F.col("offset") % 3 == 0, F.col("offset"))).alias("reached"), F.max("offset").alias("newest")
+    )
+    row = offsets.first()
+    part = lambda offset: {row["topic"]: {str(row["partition"]): offset}}
+    source = {"endOffset": part(row["reached"]), "latestOffset": part(row["newest"])}
+    return monitor.stream_lag(spark, {"sources": [source]})
+
+
+@query(
+    "k9_batch_stats",
+    f"""SELECT count(*)::BIGINT AS consumed, (count(*) FILTER (seq % 101 <> 0))::BIGINT AS processed,
+        (count(*) FILTER (seq % 101 = 0))::BIGINT AS failed FROM {STATES}""",
+)
+def k9(spark, sf_dir):
+    folder = written(spark, sf_dir, new_folder(spark, "cut"), fixtures.flight_state_messages, cut=True)
+    raw = messages.read_stream(spark, "parquet", schemas.FLIGHT_STATES_TOPIC, location=folder, position="earliest")
+    counted_ = monitor.with_message_counters(raw, schemas.FLIGHT_STATE)
+    handle = lambda batch, batch_id: batch.write.format("noop").mode("overwrite").save()
+    query_ = sinks.for_each_message_batch(counted_, handle, "counted", new_folder(spark, "checkpoint"), ONCE)
+    query_.awaitTermination()
+    sums = [F.sum(c).alias(c) for c in ("consumed", "processed", "failed")]
+    return monitor.batch_stats(query_).agg(*sums)
+
+
+@query(
+    "k10_start_position",
+    f"""SELECT 'earliest' AS position, count(*) AS row_count FROM {STATES}
+        UNION ALL SELECT 'later', count(*) FROM {STATES} WHERE seq % 2 = 1""",
+)
+def k10(spark, sf_dir):
+    """Rows read from the start, and from a time between two writes."""
+    folder, parts = new_folder(spark, "twice"), {}
+    for half in (0, 1):
+        if half:
+            time.sleep(1.1)
+            between = datetime.datetime.now(datetime.UTC).isoformat()
+            time.sleep(1.1)
+        half_of = lambda s, d, half=half: fixtures.flight_state_messages(s, d).filter(F.col("offset") % 2 == half)
+        written(spark, sf_dir, folder, half_of)
+    for name, position in (("earliest", "earliest"), ("later", between)):
+        stream = messages.read_stream(spark, "parquet", schemas.FLIGHT_STATES_TOPIC, location=folder, position=position)
+        rows = stored(spark, stream.select("offset"), ["offset"])
+        parts[name] = rows.agg(F.lit(name).alias("position"), F.count("*").alias("row_count"))
+    return parts["earliest"].unionByName(parts["later"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,17 @@ def starting_offsets(position: str) -> str:
     raise ValueError(f"start position must be one of {START_POSITIONS} or offsets as JSON: {position!r}")
 
 
+def _modified_from(position: str) -> datetime.datetime | None:
+    """The time from which a file stream takes files; None for all of them."""
+    if position == "earliest":
+        return None
+    try:
+        at = datetime.datetime.fromisoformat(position)
+    except ValueError:
+        raise ValueError(f"a file stream starts at earliest or at a time in ISO format, not at {position!r}") from None
+    return at if at.tzinfo else at.replace(tzinfo=datetime.UTC)
+
+
 def read_topics(
     spark: SparkSession,
     source: str,
@@ -32,7 +45,8 @@ def read_topics(
 
     ``source`` is a streaming format. For ``kafka``, ``location`` holds the bootstrap
     servers. For a file format (``json`` or ``parquet``) it is a folder with rows of
-    ``RAW_MESSAGE``; a file stream starts with the files already there.
+    ``RAW_MESSAGE``; there the position is ``earliest`` or a time in ISO format, from which
+    on a file must have been written. A time holds over restarts, which ``latest`` could not.
     """
     reader = spark.readStream.format(source).options(**(options or {}))
     if source == "kafka":
@@ -44,8 +58,10 @@ def read_topics(
             .load()
         )
     else:
-        starting_offsets(position)
+        start = _modified_from(position)
         messages = reader.schema(RAW_MESSAGE).load(location).filter(F.col("topic").isin(*topics))
+        if start is not None:
+            messages = messages.filter(F.col("_metadata.file_modification_time") >= F.lit(start))
     return messages.select(
         F.col("key").cast("string"),
         F.col("value").cast("string"),
@@ -80,25 +96,22 @@ def with_message_metadata(raw: DataFrame) -> DataFrame:
     )
 
 
-def is_malformed() -> Column:
-    """True for a message whose ``value`` is not a JSON object."""
-    # A schema of the corrupt column alone checks the syntax and builds no fields.
-    parsed = F.from_json(
-        "value",
-        "_corrupt STRING",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
-    )
+def is_malformed(schema: str | None = None) -> Column:
+    """True for a message whose ``value`` is not a JSON object, or has a field of another type than ``schema`` says."""
+    # Without fields, the corrupt column alone checks the syntax and builds nothing.
+    fields = f"{schema}, _corrupt STRING" if schema else "_corrupt STRING"
+    parsed = F.from_json("value", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     return F.col("value").isNull() | parsed["_corrupt"].isNotNull()
 
 
-def split_malformed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Messages that are JSON objects, and messages that cannot be decoded."""
-    return raw.filter(~is_malformed()), raw.filter(is_malformed())
+def split_malformed(raw: DataFrame, schema: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Messages that are JSON objects with fields as in ``schema``, and messages that cannot be decoded."""
+    return raw.filter(~is_malformed(schema)), raw.filter(is_malformed(schema))
 
 
-def decoding_counts(raw: DataFrame) -> DataFrame:
+def decoding_counts(raw: DataFrame, schema: str | None = None) -> DataFrame:
     """One row with the messages consumed, processed and failed."""
-    return raw.withColumn("_fault", is_malformed()).agg(
+    return raw.withColumn("_fault", is_malformed(schema)).agg(
         F.count("*").alias("consumed"),
         F.count_if(~F.col("_fault")).alias("processed"),
         F.count_if("_fault").alias("failed"),

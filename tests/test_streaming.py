@@ -216,6 +216,8 @@ def test_message_counters(spark, states, tmp_path):
                 break
             time.sleep(0.1)
         assert log.table(spark).first().failed == 1
+        log.store(spark, f"{tmp_path}/log")
+        assert not log.lines and spark.read.parquet(f"{tmp_path}/log").first().failed == 1
     finally:
         spark.streams.removeListener(log)
 
@@ -227,7 +229,7 @@ def test_lag(spark, rows):
 
 def test_flight_and_weather_jobs(spark, tmp_path, rows):
     source = tmp_path / "topics"
-    Topic(source / "a", schemas.FLIGHT_STATES_TOPIC).add(state("a", 100), state("a", 90, lat=5.0), state("b", 90_000), "{broken")
+    Topic(source / "a", schemas.FLIGHT_STATES_TOPIC).add(state("a", 100), state("a", 90, lat=5.0), state("b", 90_000), "{broken", '{"time_position": "abc"}')
     Topic(source / "b", schemas.FLIGHT_INFO_TOPIC).add(
         {"icao24": "a", "firstSeen": 10, "lastSeen": 20, "estDepartureAirport": "A", "estArrivalAirport": "B"},
         {"icao24": "b", "firstSeen": 10**6, "lastSeen": 10**6},
@@ -257,7 +259,7 @@ def test_flight_and_weather_jobs(spark, tmp_path, rows):
     places = spark.createDataFrame([(1, 0.0, 0.0, "GH"), (2, 50.0, 100.0, "MN")], "id BIGINT, lat DOUBLE, lon DOUBLE, country STRING")
     queries = jobs.run_flight_job(spark, config, airports, places) + jobs.run_weather_job(spark, config)
     jobs.await_all(spark)
-    assert len(queries) == 19 and len({q.name for q in queries}) == 19 and not any(q.exception() for q in queries)
+    assert len(queries) == 16 and len({q.name for q in queries}) == 16 and not any(q.exception() for q in queries)
 
     def table(name):
         return tables.current_view(spark, jobs.table_of(config, name))
@@ -274,8 +276,12 @@ def test_flight_and_weather_jobs(spark, tmp_path, rows):
     archive = spark.read.parquet(f"{tmp_path}/archive/weather_metar")
     assert rows(archive.select("year", "month", "day", "temp")) == [(2024, 1, 1, 1), (2024, 1, 1, 2)]
     assert spark.read.parquet(f"{tmp_path}/archive/flight_tracks").count() == 1
-    dead = spark.read.parquet(f"{tmp_path}/dead/dead_letters_flights_raw")
-    assert [r.value for r in dead.collect()] == ["{broken"]
+    assert spark.read.parquet(f"{tmp_path}/archive/flight_raw").count() == 3
+    dead = spark.read.parquet(f"{tmp_path}/dead/{schemas.FLIGHT_STATES_TOPIC}")
+    assert sorted(r.value for r in dead.collect()) == ['{"time_position": "abc"}', "{broken"]
+    states_archive = next(q for q in queries if q.name == "archive_flight_raw")
+    line = monitor.batch_stats(states_archive).first()
+    assert (line.consumed, line.processed, line.failed) == (5, 3, 2)
 
 
 def test_key_conditions_reach_the_files(spark, tmp_path):
