@@ -384,15 +384,24 @@ def p13(spark, sf_dir):
 
 
 # Nearest place by brute force, with the haversine formula.
-LOCATED = f"""(SELECT s.*, coalesce(n.country, 'Unknown') AS country_code FROM {STATES} s LEFT JOIN (
+
+def located(cities: str) -> str:
+    """SQL for the states with the country of the nearest city, by trying all of them."""
+    return f"""(SELECT s.*, coalesce(n.country, 'Unknown') AS country_code FROM {STATES} s LEFT JOIN (
     SELECT seq, arg_min(country, ROW(h, id)) AS country FROM (
         SELECT s.seq, c.seq AS id, c.country_iso2 AS country,
             pow(sin(radians(s.latitude - c.latitude) / 2), 2) + cos(radians(s.latitude)) * cos(radians(c.latitude))
                 * pow(sin(radians(s.longitude - c.longitude) / 2), 2) AS h
-        FROM {STATES} s, {CITIES} c WHERE s.latitude IS NOT NULL)
+        FROM {STATES} s, {cities} c WHERE s.latitude IS NOT NULL)
     GROUP BY seq) n ON s.seq = n.seq)"""
 
 
+LOCATED = located(CITIES)
+# The same cities inside one degree.
+CLOSE_CITIES = f"""(SELECT seq, country_iso2, latitude / 170 + 48.5::DOUBLE AS latitude, longitude / 360 + 2.5::DOUBLE AS longitude
+    FROM {CITIES})"""
+
+
 @query("p14_country_from_position", f"SELECT seq, country_code FROM {LOCATED}")
 def p14(spark, sf_dir):
     rows = inputs.states(spark, sf_dir).select(offset(), "latitude", "longitude")
@@ -400,6 +409,14 @@ def p14(spark, sf_dir):
     return places.country_from_position(rows, "latitude", "longitude", index).select("seq", "country_code")
 
 
+@query("p14_country_from_position_clustered", f"SELECT seq, country_code FROM {located(CLOSE_CITIES)}")
+def p14_clustered(spark, sf_dir):
+    rows = inputs.states(spark, sf_dir).select(offset(), "latitude", "longitude")
+    cities = inputs.places(spark, sf_dir).withColumns({"lat": F.col("lat") / 170 + 48.5, "lon": F.col("lon") / 360 + 2.5})
+    index = places.build_place_index(cities)
+    return places.country_from_position(rows, "latitude", "longitude", index).select("seq", "country_code")
+
+
 @query(
     "p15_country_name",
     f"""SELECT c.seq, coalesce(n.country_name, 'Unknown') AS country_name

@@ -28,7 +28,7 @@ from checks.flights import (
 from checks.parsing import AIRPORTS, INFO, METAR, SIGMET, STATES, WAYPOINT_FIELDS, WAYPOINTS
 from checks.registry import query
 from skyflow.operators import activity, enrich, positions, serving, weather
-from skyflow.plans.staging import new_folder
+from skyflow.plans.staging import new_folder, staged
 from skyflow.sources import messages, parse, schemas
 from skyflow.sources.archive import read_archive
 from skyflow.streaming import jobs, monitor, sinks, tables, transitions
@@ -36,11 +36,46 @@ from skyflow.streaming import jobs, monitor, sinks, tables, transitions
 ONCE = {"availableNow": True}
 
 
-def stream_of(spark, sf_dir, made, topic):
-    """Messages of one topic, written as files and read back as a stream."""
+#: Files a stream reads one after another, each in a micro-batch of its own.
+FILES = 4
+
+
+def in_order(df, by):
+    """``df`` with the file its rows go to, by the place of ``by`` between its least and greatest value."""
+    low, high = df.agg(F.min(by), F.max(by)).first()
+    return df.withColumn("_file", F.floor((by - F.lit(low)) * FILES / F.lit((high or 0) - (low or 0) + 1)))
+
+
+def stream_of(spark, sf_dir, made, topic, by=None):
+    """Messages of one topic, written as files in the order of ``by``, by default the offset, and read back as a stream."""
     path = new_folder(spark, topic)
-    made(spark, sf_dir).write.parquet(path)
-    return messages.with_message_metadata(messages.read_stream(spark, "parquet", topic, location=path, position="earliest"))
+    rows = staged(made(spark, sf_dir), "messages")
+    rows = in_order(rows, F.col("offset") if by is None else by)
+    for number in range(FILES):
+        part = rows.filter(F.col("_file") == number).drop("_file")
+        part.coalesce(1).write.parquet(f"{path}/{number}")
+    stream = messages.read_stream(
+        spark, "parquet", topic, location=f"{path}/*", position="earliest", options={"maxFilesPerTrigger": "1"}
+    )
+    return messages.with_message_metadata(stream)
+
+
+def first_seen():
+    return F.get_json_object("value", "$.firstSeen").cast("long")
+
+
+def in_time(source: str, clock: str, end: str, delay: int, by: str = "seq", where: str = "true") -> str:
+    """SQL for the rows of ``source`` that are not too late for the window that ends at ``end``.
+
+    Rows come in the files that ``in_order`` makes of ``by``. A micro-batch drops rows whose window
+    had ended by the watermark of the micro-batch before, which had seen all files before its own.
+    """
+    return f"""(SELECT * EXCLUDE (_file, _seen) FROM (
+        SELECT *, max(_newest) OVER (ORDER BY _file RANGE BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) AS _seen FROM (
+            SELECT *, max({clock}) OVER (PARTITION BY _file) AS _newest FROM (
+                SELECT *, ({by} - min({by}) OVER ()) * {FILES} // (max({by}) OVER () - min({by}) OVER () + 1) AS _file
+                FROM {source}) f WHERE {where}) n) m
+        WHERE _seen IS NULL OR {clock} IS NULL OR {end} > _seen - {delay})"""
 
 
 def stored(spark, stream, keys, order=(), hidden=()):
@@ -63,16 +98,24 @@ def state_stream(spark, sf_dir):
 
 
 def info_stream(spark, sf_dir):
-    return parse.parse_flight_info(stream_of(spark, sf_dir, fixtures.flight_info_messages, schemas.FLIGHT_INFO_TOPIC))
+    """Flights in the order they were first seen; their offsets have nothing to do with time."""
+    return parse.parse_flight_info(
+        stream_of(spark, sf_dir, fixtures.flight_info_messages, schemas.FLIGHT_INFO_TOPIC, first_seen())
+    )
 
 
 def with_ingest(df):
     return df.withColumn("ingest", F.col("_metadata.offset")).drop("_metadata")
 
 
-def closed(source: str, bucket: str, width: int, delay: int, clock: str) -> str:
-    """SQL for the windows a watermark has passed."""
-    return f"SELECT * FROM {source} WHERE {bucket} + {width} <= (SELECT max({clock}) FROM {{}}) - {delay}"
+def closed(result: str, rows: str, bucket: str, width: int, delay: int, clock: str, by: str = "seq", where: str = "true") -> str:
+    """SQL for the windows of ``result``, made of ``rows``, that a watermark has passed, without late rows."""
+    end = f"{clock} // {width} * {width} + {width}" if width > 1 else f"{clock} + 1"
+    kept = in_time(rows, clock, end, delay, by, where)
+    return (
+        f"SELECT * FROM {result.replace(rows, kept)} "
+        f"WHERE {bucket} + {width} <= (SELECT max({clock}) FROM {rows} WHERE {where}) - {delay}"
+    )
 
 
 @query("s7_read_stream", f"""SELECT icao24 AS key, seq AS "offset" FROM {STATES}""")
@@ -81,12 +124,12 @@ def s7(spark, sf_dir):
     return stored(spark, stream.select("key", "offset"), ["offset"])
 
 
-@query("a1_stream_latest_by_minute", closed(BY_MINUTE, "minute_bucket", 60, 10, "time_position").format(STATES))
+@query("a1_stream_latest_by_minute", closed(BY_MINUTE, STATES, "minute_bucket", 60, 10, "time_position"))
 def a1_stream(spark, sf_dir):
     return stored(spark, positions.latest_by_minute(state_stream(spark, sf_dir)), ["minute_bucket", "icao24"])
 
 
-@query("a2_stream_active_by_country_hour", closed(ACTIVE, "hour_bucket", 3600, 600, "time_position").format(STATES))
+@query("a2_stream_active_by_country_hour", closed(ACTIVE, STATES, "hour_bucket", 3600, 600, "time_position"))
 def a2_stream(spark, sf_dir):
     counts = activity.active_by_country_hour(state_stream(spark, sf_dir), inputs.place_index(spark, sf_dir))
     return stored(spark, counts, ["country_code", "hour_bucket"])
@@ -94,7 +137,7 @@ def a2_stream(spark, sf_dir):
 
 @query(
     "a5_stream_departures_with_global",
-    closed(counted(with_global(LEAVING), "firstSeen", "departures_cnt"), "hour_bucket", 3600, 600, "firstSeen").format(INFO),
+    closed(counted(with_global(LEAVING), "firstSeen", "departures_cnt"), INFO, "hour_bucket", 3600, 600, "firstSeen", "firstSeen"),
 )
 def a5_stream(spark, sf_dir):
     counts = activity.departures_by_country_hour(
@@ -105,7 +148,7 @@ def a5_stream(spark, sf_dir):
 
 @query(
     "a3_stream_departures_by_country_hour",
-    closed(DEPARTURES, "hour_bucket", 3600, 86400, "firstSeen").format(INFO),
+    closed(DEPARTURES, INFO, "hour_bucket", 3600, 86400, "firstSeen", "firstSeen"),
 )
 def a3_stream(spark, sf_dir):
     counts = activity.departures_by_country_hour(
@@ -114,7 +157,7 @@ def a3_stream(spark, sf_dir):
     return stored(spark, counts, ["country_code", "hour_bucket"])
 
 
-@query("a4_stream_arrivals_by_country_hour", closed(ARRIVALS, "hour_bucket", 3600, 600, "lastSeen").format(INFO))
+@query("a4_stream_arrivals_by_country_hour", closed(ARRIVALS, INFO, "hour_bucket", 3600, 600, "lastSeen", "firstSeen"))
 def a4_stream(spark, sf_dir):
     counts = activity.arrivals_by_country_hour(info_stream(spark, sf_dir), inputs.airports(spark, sf_dir))
     return stored(spark, counts, ["country_code", "hour_bucket"])
@@ -122,14 +165,14 @@ def a4_stream(spark, sf_dir):
 
 @query(
     "a6_stream_traffic_density",
-    closed(DENSITY, "minute_bucket", 60, 10, "time_position").format(f"{STATES} WHERE latitude IS NOT NULL"),
+    closed(DENSITY, STATES, "minute_bucket", 60, 10, "time_position", where="latitude IS NOT NULL"),
 )
 def a6_stream(spark, sf_dir):
     density = activity.traffic_density_by_cell_minute(state_stream(spark, sf_dir), 5.0)
     return stored(spark, density, ["cell_lat", "cell_lon", "minute_bucket"])
 
 
-@query("a9_stream_ground_transitions", closed(TRANSITIONS, "time", 1, 10, "time_position").format(STATES))
+@query("a9_stream_ground_transitions", closed(TRANSITIONS, STATES, "time", 1, 10, "time_position"))
 def a9_stream(spark, sf_dir):
     return stored(spark, transitions.ground_transitions_stream(state_stream(spark, sf_dir)), ["icao24", "time"])
 
@@ -314,6 +357,11 @@ def profiles(sources: dict[str, str]) -> str:
     )
 
 
+def at_once(result: str, rows: str, bucket: str, width: int, delay: int, clock: str) -> str:
+    """SQL for the windows that a watermark has passed, where all rows came in one micro-batch."""
+    return f"SELECT * FROM {result} WHERE {bucket} + {width} <= (SELECT max({clock}) FROM {rows}) - {delay}"
+
+
 TRACK_KEYS = f"SELECT DISTINCT icao24, starttime, time FROM {WAYPOINTS}"
 
 
@@ -323,10 +371,10 @@ TRACK_KEYS = f"SELECT DISTINCT icao24, starttime, time FROM {WAYPOINTS}"
         {
             "aircrafts_by_icao24": f"SELECT * FROM {AIRCRAFT}",
             "aircraftstates_by_icao24": TRACK_KEYS,
-            "aircrafts_by_cell_minute": closed(BY_MINUTE, "minute_bucket", 60, 10, "time_position").format(STATES),
-            "departures_by_country_hour": closed(
-                counted(with_global(LEAVING), "firstSeen", "departures_cnt"), "hour_bucket", 3600, 86400, "firstSeen"
-            ).format(INFO),
+            "aircrafts_by_cell_minute": at_once(BY_MINUTE, STATES, "minute_bucket", 60, 10, "time_position"),
+            "departures_by_country_hour": at_once(
+                counted(with_global(LEAVING), "firstSeen", "departures_cnt"), INFO, "hour_bucket", 3600, 86400, "firstSeen"
+            ),
         }
     ),
 )

@@ -5,15 +5,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyflow.functions.geo import (
-    angle_of_chord,
-    cell_centre,
     cell_id,
-    cell_radius,
-    cell_row_column,
     grid_column,
     grid_row,
     is_position,
@@ -26,12 +22,19 @@ from skyflow.plans.staging import staged
 UNKNOWN_AIRPORT = "Unknown Code"
 UNKNOWN = "Unknown"
 
-# Grid sizes of the place search in degrees. Each is a quarter of the one before, and all
-# are exact in binary, so a cell always lies inside one cell of the coarser grid.
+# Cells of the place search in degrees, from coarse to fine. Each is a quarter of the one before, and
+# all are exact in binary, so a cell always lies inside one cell of the coarser grid.
 COARSEST = 45.0
 FACTOR = 4
-# Room for rounding when distance bounds are compared, in radians (about 6 m).
-SLACK = 1e-6
+#: A cell with more candidates of different countries is split, until it measures a few metres.
+MOST_CANDIDATES = 8
+FINEST_LEVEL = 10
+#: Splits of a cell without places that may leave it more than this share of its candidates.
+MOST_STALLED, STALLED_SHARE = 3, 0.75
+#: Room for rounding when a place is compared with a nearer one, in squared chords.
+SLACK = 1e-14
+#: Part of a lookup key for each level; above every cell number.
+KEY_STEP = 10**16
 
 
 def country_from_airport(df: DataFrame, column: str, airports: DataFrame, order: str = "id") -> DataFrame:
@@ -64,51 +67,13 @@ def _cell(lat, lon, size: float):
     return cell_id(grid_row(lat, size), grid_column(lon, size), size)
 
 
-def _parent(cell, size: float):
-    row, column = cell_row_column(cell, size)
-    return cell_id(F.floor(row / FACTOR), F.floor(column / FACTOR), size * FACTOR)
+def _size(level: int) -> float:
+    return COARSEST / FACTOR**level
 
 
-def _occupied(places: DataFrame, size: float) -> DataFrame:
-    """Cells that hold places, with the largest distance of a place from the middle."""
-    lat, lon = cell_centre(F.col("p"), size)
-    spots = _with_vector(places.withColumn("p", _cell(F.col("lat"), F.col("lon"), size)), lat, lon, "p")
-    reach = angle_of_chord(squared_chord(_vector("p"), _vector("v")))
-    return spots.groupBy("p").agg(
-        F.max(reach).alias("pr"), *[F.first(f"p{axis}").alias(f"p{axis}") for axis in "xyz"]
-    )
-
-
-def _search_cells(spark: SparkSession, size: float) -> DataFrame:
-    """All cells ``q`` of a grid with middle, reach ``qr`` and the cell ``above`` they split."""
-    count = int(180 / size) * int(360 / size)
-    q = F.col("q")
-    lat, lon = cell_centre(q, size)
-    axes = [value.alias(f"q{axis}") for axis, value in zip("xyz", unit_vector(lat, lon))]
-    cells = spark.range(count).select(F.col("id").alias("q"))
-    return cells.select("q", *axes, cell_radius(lat, size).alias("qr"), _parent(q, size).alias("above"))
-
-
-def _within_reach(pairs: DataFrame, target_radius) -> DataFrame:
-    """Pairs of a search cell ``q`` and a target that may hold the nearest place of some point in ``q``.
-
-    With ``d`` between the middles, a point of ``q`` has a place at ``d + qr + pr`` at most,
-    and none of this target nearer than ``d - qr - pr``. ``best`` is the least upper bound;
-    the one of the coarser cell, if there, already discards most pairs before the shuffle.
-    """
-    angle = angle_of_chord(squared_chord(_vector("q"), _vector("p")))
-    # Generated, so that a filter pushed down does not compute the angle once more.
-    measured = pairs.withColumn("d", F.explode(F.array(angle)))
-    nearest = F.col("d") - F.col("qr") - target_radius - F.lit(SLACK)
-    if "best" in pairs.columns:
-        measured = measured.filter(nearest <= F.col("best"))
-    best = F.min(F.col("d") + F.col("qr") + target_radius).over(Window.partitionBy("q"))
-    return measured.withColumn("best", best).filter(nearest <= F.col("best"))
-
-
-def _split(pairs: DataFrame, cells: DataFrame) -> DataFrame:
-    """Each pair once for every finer search cell inside its search cell."""
-    return pairs.withColumnRenamed("q", "above").join(cells, "above").drop("above")
+def _key(cell, level: int):
+    """Lookup key of a cell; cells of different levels have different keys."""
+    return cell + F.lit(level * KEY_STEP).cast("long")
 
 
 def distinct_places(places: DataFrame) -> DataFrame:
@@ -121,98 +86,162 @@ def distinct_places(places: DataFrame) -> DataFrame:
     return _with_vector(spots.select("lat", "lon", "s.*"), F.col("lat"), F.col("lon"), "v")
 
 
-@dataclass(frozen=True)
-class PlaceIndex:
-    """Per grid cell (``lookup_key``) the places that are nearest to some point of it.
+def _winners(pairs: DataFrame) -> DataFrame:
+    """Per cell its bounds and the places nearest to its middle, corners and edges.
 
-    ``candidates`` is an array of ``id, x, y, z, country``. A cell whose candidates share
-    a country keeps one of them, as every point of it gets the same answer. ``size`` is
-    the grid size in degrees.
+    The size of the cells is a column, so the code made for one level serves all.
     """
+    bounds = {
+        "south": F.radians(F.col("row") * F.col("size") - 90),
+        "north": F.radians((F.col("row") + 1) * F.col("size") - 90),
+        "west": F.radians(F.col("column") * F.col("size") - 180),
+        "east": F.radians((F.col("column") + 1) * F.col("size") - 180),
+    }
+    cells = pairs.withColumns(bounds)
+    lats = [F.col("south"), (F.col("south") + F.col("north")) / 2, F.col("north")]
+    lons = [F.col("west"), (F.col("west") + F.col("east")) / 2, F.col("east")]
+    place = F.struct("id", "px", "py", "pz")
+    # The place whose direction is closest to a point's has the largest product with it.
+    nearest = [
+        F.max_by(place, F.cos(lat) * (F.cos(lon) * F.col("px") + F.sin(lon) * F.col("py")) + F.sin(lat) * F.col("pz"))
+        for lat in lats
+        for lon in lons
+    ]
+    first = [F.first(name).alias(name) for name in bounds]
+    return cells.groupBy("row", "column").agg(F.array_distinct(F.array(*nearest)).alias("winners"), *first)
+
+
+def _everywhere_nearer(winner):
+    """Whether every point of the cell is nearer to ``winner`` than to the place of the row.
+
+    That is the case if the product of the point with the difference ``d`` of the two vectors is
+    positive. Along a parallel the product is least at an end, or opposite to the direction of
+    ``d`` if that meridian crosses the cell; along a meridian of a cell it is least at an end.
+    """
+    dx, dy, dz = (winner[f"p{axis}"] - F.col(f"p{axis}") for axis in "xyz")
+    towards, length = F.atan2(dy, dx), F.sqrt(dx * dx + dy * dy)
+    turn = F.lit(2 * math.pi)
+    away = F.pmod(towards + F.lit(math.pi) - F.col("west"), turn) <= F.col("east") - F.col("west")
+    ends = F.least(F.cos(F.col("west") - towards), F.cos(F.col("east") - towards))
+    least = F.when(away, F.lit(-1.0)).otherwise(ends) * length
+    side = lambda lat: F.cos(lat) * least + F.sin(lat) * dz
+    return (side(F.col("south")) > SLACK) & (side(F.col("north")) > SLACK)
 
-    table: DataFrame
-    size: float
 
+def _pruned(pairs: DataFrame) -> DataFrame:
+    """Candidates without those that one of the cell's winners beats everywhere in the cell."""
+    bounded = pairs.join(_winners(pairs), ["row", "column"])
+    return bounded.filter(~F.exists("winners", _everywhere_nearer)).select(*pairs.columns)
 
-def place_index(spots: DataFrame, paired_levels: int = 1, levels: int = 3) -> PlaceIndex:
-    """Index of places on a world grid of ``45 / 4 ** (levels - 1)`` degrees.
 
-    ``spots`` comes from ``distinct_places``.
+@dataclass(frozen=True)
+class PlaceIndex:
+    """Per cell (``lookup_key``) the places that are nearest to some point of it.
 
-    The search walks down the grids. First both sides are cells: a pair of a search cell
-    and an occupied cell is kept only while the distance bounds allow a nearest place
-    there, and what is kept is split by equi-joins on the coarser cells. After
-    ``paired_levels`` the occupied cells are replaced by their places, and only the search
-    cells are split further. The work follows the cells and the places around each, never
-    cells times places.
+    ``candidates`` is an array of ``id, x, y, z, country``. A cell whose candidates share
+    a country keeps one of them, as every point of it gets the same answer. The cells of
+    ``levels`` cover every position once.
     """
-    spark, size = spots.sparkSession, COARSEST
-    # Every cell of the first grid is tried for every search cell: 32 times 32 pairs at most.
-    everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(31).cast("long")))
-    pairs = _occupied(spots, size).withColumn("q", everywhere).join(_search_cells(spark, size), "q").drop("above")
-    pairs = _within_reach(pairs, F.col("pr"))
-    for _ in range(paired_levels - 1):
-        size = size / FACTOR
-        finer = _occupied(spots, size).withColumn("parent", _parent(F.col("p"), size))
-        kept = pairs.select("q", F.col("p").alias("parent"), "best").join(finer, "parent").drop("parent")
-        pairs = _within_reach(_split(kept, _search_cells(spark, size)), F.col("pr"))
-
-    vector = [F.col(f"v{axis}").alias(f"p{axis}") for axis in "xyz"]
-    located = spots.select(_cell(F.col("lat"), F.col("lon"), size).alias("p"), "id", "country", *vector)
-    pairs = pairs.select("q", "qx", "qy", "qz", "qr", "p", "best").join(located, "p").drop("p")
-    pairs = _within_reach(pairs, F.lit(0.0))
-    for _ in range(levels - paired_levels):
-        size = size / FACTOR
-        kept = pairs.select("q", "best", "id", "country", "px", "py", "pz")
-        pairs = _within_reach(_split(kept, _search_cells(spark, size)), F.lit(0.0))
 
-    entry = F.struct("id", *[F.col(f"p{axis}").alias(axis) for axis in "xyz"], "country")
-    grouped = pairs.groupBy(F.col("q").alias("lookup_key")).agg(
-        F.collect_list(entry).alias("candidates"),
-        F.min("country").alias("_first"),
-        F.max("country").alias("_last"),
-        F.count_if(F.col("country").isNull()).alias("_nameless"),
-    )
-    one = (F.col("_first") == F.col("_last")) & (F.col("_nameless") == 0)
-    candidates = F.when(one, F.slice("candidates", 1, 1)).otherwise(F.col("candidates"))
-    return PlaceIndex(grouped.select("lookup_key", candidates.alias("candidates")), size)
+    table: DataFrame
+    levels: tuple[int, ...]
 
 
-def index_levels(place_count: int) -> tuple[int, int]:
-    """Levels of the search: few places per cell when they replace cells, several cells per place at the end.
+def place_index(spots: DataFrame, most: int = MOST_CANDIDATES) -> DataFrame:
+    """Leaf cells (level, lookup_key, candidates) of the places from ``distinct_places``.
 
-    The grid stops at 0.7 degrees, 131,072 cells, which keeps the index small enough to broadcast.
+    The search starts with all places as candidates of a few coarse cells. In every cell it drops
+    the places that cannot be nearest anywhere in the cell, however far away and however close
+    together they are. A cell that still has more than ``most`` candidates of different countries
+    is split, and its candidates go on to the finer cells; others are done. So dense regions get
+    small cells, empty ones keep large ones, and no cell keeps all places. A cell is done too if
+    it has no place inside and a few splits rid it of few candidates: it lies on the border
+    of places so close together that finer cells far from them would not tell them apart.
     """
-
-    def depth(cells: float) -> int:
-        return max(0, math.ceil(math.log(max(cells / 32, 1), FACTOR * FACTOR)))
-
-    levels = min(depth(place_count * 4) + 1, 4)
-    return min(depth(place_count / 128) + 1, levels), levels
+    vector = [F.col(f"v{axis}").alias(f"p{axis}") for axis in "xyz"]
+    place = ["id", "country", "lat", "lon", "px", "py", "pz"]
+    rows, columns = int(180 / COARSEST), int(360 / COARSEST)
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    first = spots.select("id", "country", "lat", "lon", *vector).withColumn("row", numbers(rows))
+    first = first.withColumn("column", numbers(columns)).withColumns(
+        {
+            "level": F.lit(0),
+            "size": F.lit(COARSEST),
+            "before": F.lit(None).cast("long"),
+            "stalled": F.lit(0),
+        }
+    )
+    pairs, leaves = first.select("level", "size", "row", "column", "before", "stalled", *place), []
+    entry = F.struct("id", *[F.col(f"p{axis}").alias(axis) for axis in "xyz"], "country")
+    own_row = F.least(F.floor((F.col("lat") + 90) / F.col("size")), F.floor(180 / F.col("size")) - 1)
+    own_column = F.pmod(F.floor((F.col("lon") + 180) / F.col("size")), F.floor(360 / F.col("size")))
+    inside = (own_row == F.col("row")) & (own_column == F.col("column"))
+    single = (F.col("least") == F.col("greatest")) & (F.col("nameless") == 0)
+    much_left = F.col("n") > F.col("before") * STALLED_SHARE
+    stalled = F.when(much_left & (F.col("inside") == 0), F.col("stalled") + 1).otherwise(0)
+    done = single | (F.col("n") <= F.lit(most)) | (F.col("now_stalled") >= MOST_STALLED) | (F.col("level") == FINEST_LEVEL)
+    key = F.col("row") * F.floor(360 / F.col("size")) + F.col("column") + F.col("level") * F.lit(KEY_STEP).cast("long")
+    while True:
+        kept = staged(_pruned(pairs), "places")
+        stats = kept.groupBy("row", "column").agg(
+            F.count("*").alias("n"),
+            F.min("country").alias("least"),
+            F.max("country").alias("greatest"),
+            F.count_if(F.col("country").isNull()).alias("nameless"),
+            F.first("before").alias("before"),
+            F.first("stalled").alias("stalled"),
+            F.first("level").alias("level"),
+            F.count_if(inside).alias("inside"),
+        ).withColumn("now_stalled", stalled)
+        judged = stats.select(
+            "row", "column", "n", "now_stalled", F.coalesce(single, F.lit(False)).alias("single"), F.coalesce(done, F.lit(False)).alias("done")
+        )
+        parts = kept.join(judged, ["row", "column"]).withColumn("lookup_key", key)
+        ended = parts.filter("done")
+        one = ended.filter("single").groupBy("level", "lookup_key").agg(F.array(F.min_by(entry, "id")).alias("candidates"))
+        several = ended.filter("NOT single").groupBy("level", "lookup_key").agg(F.collect_list(entry).alias("candidates"))
+        leaves += [one, several]
+        split = parts.filter("NOT done").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(FACTOR * FACTOR - 1))))
+        pairs = split.select(
+            (F.col("level") + 1).alias("level"),
+            (F.col("size") / FACTOR).alias("size"),
+            (F.col("row") * FACTOR + F.floor(F.col("part") / FACTOR)).alias("row"),
+            (F.col("column") * FACTOR + F.col("part") % FACTOR).alias("column"),
+            F.col("n").alias("before"),
+            F.col("now_stalled").alias("stalled"),
+            *place,
+        )
+        if judged.filter("NOT done").isEmpty():
+            break
+    found = leaves[0]
+    for leaf in leaves[1:]:
+        found = found.unionByName(leaf)
+    return found
 
 
 def build_place_index(places: DataFrame) -> PlaceIndex:
-    """Index of ``places`` (``id, lat, lon, country``) on a grid that fits their number.
-
-    Both the places and the index are staged: the search reads the places once per level,
-    and the size of the index decides how positions are joined with it.
-    """
-    spots = staged(distinct_places(places), "places")
-    index = place_index(spots, *index_levels(spots.count()))
-    return PlaceIndex(staged(index.table, "place-index"), index.size)
+    """Index of ``places`` (``id, lat, lon, country``), stored in the shared folder for every later use."""
+    table = staged(place_index(distinct_places(places)), "place-index")
+    # At most one row per level.
+    levels = sorted(row["level"] for row in table.select("level").distinct().collect())
+    return PlaceIndex(table.drop("level"), tuple(levels))
 
 
 def country_from_position(df: DataFrame, lat: str, lon: str, index: PlaceIndex) -> DataFrame:
     """``country_code`` of the place nearest to each position, ties to the smallest place id.
 
     Null, NaN or infinite coordinates give ``Unknown``, as does a place without a country.
-    One lookup of the cell and a minimum over its few candidates; no aggregation, so it is
-    the same on a stream.
+    A position is looked up under its cell of every level, of which one is in the index, and
+    compared with that cell's few candidates; no aggregation, so it is the same on a stream.
     """
     y, x = F.col(lat), F.col(lon)
     usable = is_position(y, x)
-    cell = F.when(usable, _cell(y, x, index.size))
-    found = lookup_join(df, cell, index.table, {"candidates": "_candidates"})
+    nowhere = F.array(F.lit(None).cast("long"))
+    cells = [_key(_cell(y, x, _size(level)), level) for level in index.levels]
+    keys = F.when(usable, F.array(*cells)).otherwise(nowhere) if cells else nowhere
+    keyed = df.withColumn("_cell", F.explode(keys))
+    found = lookup_join(keyed, F.col("_cell"), index.table, {"candidates": "_candidates"})
+    found = found.filter(F.col("_candidates").isNotNull() | F.col("_cell").isNull())
     found = _with_vector(found, F.when(usable, y), F.when(usable, x), "_v")
     here = _vector("_v")
     nearest = F.array_min(

@@ -42,7 +42,9 @@ def ground_transitions_stream(flights: DataFrame, delay: str = "10 seconds") ->
     before the shuffle and gives seconds out only when they are closed, so each aircraft's
     flags reach the stateful step in time order over all micro-batches, whatever the order
     of arrival within ``delay``. That step keeps one flag per aircraft, and a 24-bit
-    address bounds the number of aircraft. It needs the RocksDB state store.
+    address bounds the number of aircraft. It sorts the seconds an aircraft has in one
+    micro-batch, so bound those with the source's ``maxOffsetsPerTrigger`` or
+    ``maxFilesPerTrigger``, as the jobs do. It needs the RocksDB state store.
     """
     known = flights.filter(F.col("icao24").isNotNull() & F.col("on_ground").isNotNull())
     order = ingest_order(known)

@@ -16,17 +16,15 @@ def brute_force(lat, lon, spots):
     return min(spots, key=lambda spot: (haversine(spot), spot[0]))[3]
 
 
-def countries(spark, spots, points, levels=(1, 3)):
+def countries(spark, spots, points):
     places = spark.createDataFrame(spots, "id BIGINT, lat DOUBLE, lon DOUBLE, country STRING")
-    index = p.place_index(p.distinct_places(places), *levels)
+    index = p.build_place_index(places)
     df = spark.createDataFrame([(i, *point) for i, point in enumerate(points)], "i INT, lat DOUBLE, lon DOUBLE")
-    index = p.PlaceIndex(index.table.checkpoint(), index.size)
     found = p.country_from_position(df, "lat", "lon", index)
     return [r.country_code for r in found.orderBy("i").collect()]
 
 
-@pytest.mark.parametrize("levels", [(1, 2), (2, 3), (1, 4)])
-def test_nearest_place_is_exact(spark, levels):
+def test_nearest_place_is_exact(spark):
     rng = random.Random(7)
     spots = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180), f"N{i % 40}") for i in range(150)]
     # A third of the places within one cell.
@@ -34,7 +32,29 @@ def test_nearest_place_is_exact(spark, levels):
     points = [(math.degrees(math.asin(rng.uniform(-1, 1))), rng.uniform(-180, 180)) for _ in range(600)]
     points += [(rng.uniform(47, 50), rng.uniform(1, 4)) for _ in range(200)]
     points += [(90.0, 0.0), (-90.0, 77.0), (10.0, 180.0), (10.0, -180.0), (45.0, 45.0), (0.0, 0.0)]
-    assert countries(spark, spots, points, levels) == [brute_force(*point, spots) for point in points]
+    assert countries(spark, spots, points) == [brute_force(*point, spots) for point in points]
+
+
+def test_clustered_places(spark):
+    """All places in one small box: cells far away keep few of them, and the answers stay exact."""
+    rng = random.Random(8)
+    spots = [(i, rng.uniform(48, 49), rng.uniform(2, 3), f"N{i % 40}") for i in range(1000)]
+    points = [(math.degrees(math.asin(rng.uniform(-1, 1))), rng.uniform(-180, 180)) for _ in range(300)]
+    points += [(rng.uniform(47, 50), rng.uniform(1, 4)) for _ in range(300)]
+    assert countries(spark, spots, points) == [brute_force(*point, spots) for point in points]
+    index = p.build_place_index(spark.createDataFrame(spots, "id BIGINT, lat DOUBLE, lon DOUBLE, country STRING"))
+    sizes = [r.n for r in index.table.select(F.size("candidates").alias("n")).collect()]
+    print(len(sizes), index.levels, max(sizes), sum(sizes))
+    assert sum(sizes) < 100 * len(spots) and sum(sizes) < 4 * len(sizes)
+
+
+def test_no_places(spark):
+    assert countries(spark, [(1, None, None, "A")], [(0.0, 0.0), (None, 1.0)]) == ["Unknown", "Unknown"]
+
+
+def test_places_close_together(spark):
+    spots = [(i, 10.0 + i * 1e-9, 20.0, f"N{i}") for i in range(12)]
+    assert countries(spark, spots, [(9.0, 20.0), (11.0, 20.0)]) == ["N0", "N11"]
 
 
 def test_date_line(spark):
