@@ -26,9 +26,9 @@ from skyflow.llm import common
 # The split that byte-level tokenizers of this kind apply before merging.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Words kept with their tokens in a Python worker, and as many that were kept before.
+#: Words kept with their tokens in a task, and as many that were kept before.
 CACHE_WORDS = 150_000
-#: Transitions kept in a Python worker.
+#: Transitions kept in a task.
 CACHE_ARCS = 300_000
 
 
@@ -158,7 +158,7 @@ def emit(labels: list[bytes], ids: list[int]) -> str:
 
 
 class _Words(dict):
-    """Tokens of words seen in this worker; of those not used for long, the tokens are forgotten."""
+    """Tokens of words seen in this task; of those not used for long, the tokens are forgotten."""
 
     def __init__(self, automaton: MergeAutomaton):
         self.automaton = automaton
@@ -195,20 +195,7 @@ def read_tokenizer(path: str) -> tuple[list[bytes], list[tuple[int, int, int]],
 
 def _broadcast_tokenizer(df: DataFrame, path: str):
     # Its size is that of the vocabulary, whatever the input.
-    return df.sparkSession.sparkContext.broadcast((path, *read_tokenizer(path)))
-
-
-_automata: dict[str, MergeAutomaton] = {}
-
-
-def _automaton(shared) -> MergeAutomaton:
-    """The automaton of a Python worker, compiled once and kept for its later tasks."""
-    path, labels, merges, special = shared.value
-    found = _automata.get(path)
-    if found is None or found.labels != labels:
-        _automata.clear()
-        found = _automata[path] = MergeAutomaton(labels, merges, special)
-    return found
+    return df.sparkSession.sparkContext.broadcast(read_tokenizer(path))
 
 
 def encode(
@@ -223,7 +210,7 @@ def encode(
     schema = "doc_id long, ids array<int>" + ", decoded string" * decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _automaton(shared)
+        automaton = MergeAutomaton(*shared.value)
         for batch in common.slices(batches):
             found = [automaton.encode(text) for text in common.as_text(batch["text"])]
             offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
@@ -233,7 +220,7 @@ def encode(
                 columns.append(pa.array([automaton.decode(x.tolist()) for x in found], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"][: len(columns)])
 
-    return common.id_and_text(docs, id_col, text_col).mapInArrow(run, schema)
+    return common.id_and_text(docs, id_col, text_col).mapInArrow(common.releasing(run), schema)
 
 
 def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
@@ -242,7 +229,7 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", to: st
     schema = T.StructType([*encoded.schema.fields, T.StructField(to, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels = shared.value[1]
+        labels = shared.value[0]
         for batch in common.slices(batches):
             lists = batch[ids_col]
             ids = lists.flatten().to_numpy(zero_copy_only=False).tolist()
@@ -250,7 +237,7 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", to: st
             texts = [emit(labels, ids[start:end]) for start, end in zip([0, *ends], ends)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(common.releasing(run), schema)
 
 
 def digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:

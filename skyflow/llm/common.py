@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -43,6 +44,22 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
             yield batch.slice(start, rows)
 
 
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for a task's batches, handing memory back when it ends.
+
+    Python workers wait for further tasks, also of other operators, and would keep what they have.
+    """
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+
+    return wrapped
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """A string column as UTF-8 bytes; nulls are empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -267,7 +267,7 @@ def _search_pass(df: DataFrame, text_at: int, names: list[str], shared, window:
                 waiting, size = [], 0
         yield from flush()
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(common.releasing(run), df.schema)
 
 
 def find_passages(
@@ -330,7 +330,7 @@ def remove_passages(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "t
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return found.drop(names[0], names[2]).mapInArrow(run, schema)
+    return found.drop(names[0], names[2]).mapInArrow(common.releasing(run), schema)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -150,6 +150,10 @@ class Model:
         self.languages, self.vocabulary, self.probability, self.prior = state
         self._cache = {}
 
+    def forget(self) -> None:
+        """Drop what was kept of words seen."""
+        self._cache.clear()
+
     def log_probabilities(self, words: list[str]) -> np.ndarray:
         """Of each word in each language."""
         if "pieces" not in self._cache:
@@ -254,7 +258,7 @@ def fit(docs: DataFrame, vocabulary: list[str], *, id_col: str = "doc_id", text_
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(flat, pa.string())], ["lang", "word"])
 
     sample = known.join(F.broadcast(ids), "doc_id", "left_semi").select("lang", "text")
-    tallies = sample.mapInArrow(run, "lang string, word string").groupBy("lang", "word").count()
+    tallies = sample.mapInArrow(common.releasing(run), "lang string, word string").groupBy("lang", "word").count()
     counts: dict[str, dict[str, int]] = {}
     for language in sorted(documents):
         top = tallies.filter(F.col("lang") == language).orderBy(F.desc("count"), "word").limit(SAMPLE_WORDS)
@@ -272,14 +276,16 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in common.slices(batches):
-            found = shared.value.predict(common.as_text(batch["text"]))
+            found = model.predict(common.as_text(batch["text"]))
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())],
                 ["doc_id", "lang_pred", "score"],
             )
+        model.forget()
 
-    return common.id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return common.id_and_text(docs, id_col, text_col).mapInArrow(common.releasing(run), "doc_id long, lang_pred string, score double")
 
 
 def report(docs: DataFrame, vocabulary_path: str) -> DataFrame:

@@ -241,7 +241,7 @@ def scan(
             )
 
     return common.id_and_text(docs, id_col, text_col).mapInArrow(
-        run, f"doc_id long, n_words long, phrases {MATCH}, templates {MATCH}"
+        common.releasing(run), f"doc_id long, n_words long, phrases {MATCH}, templates {MATCH}"
     )
 
 

@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             found = np.array([fingerprint(data, shingle) for data in common.as_bytes(batch["text"])], np.uint64)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found.view(np.int64))], ["doc_id", "bits"])
 
-    return common.id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, bits long")
+    return common.id_and_text(docs, id_col, text_col).mapInArrow(common.releasing(run), "doc_id long, bits long")
 
 
 def _popcount(bits: Column, segment: int) -> Column:

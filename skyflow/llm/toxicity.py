@@ -40,7 +40,7 @@ WEIGHT_DECAY = 1e-3
 THRESHOLD = 0.3
 
 HELD_OUT_FOLDS, HELD_OUT = 4, 2
-CACHE_WORDS = 250_000
+CACHE_WORDS = 100_000
 
 
 def hashes_of(word: bytes) -> tuple[int, ...]:
@@ -84,6 +84,10 @@ class Model:
             found = self._words[word] = tuple(h for h in hashes_of(word) if h in self._hashes)
         return found
 
+    def forget(self) -> None:
+        """Drop what was kept of words seen."""
+        self._words.clear()
+
     def score(self, data: bytes) -> float:
         """Probability that a text is toxic."""
         weight = self._weight
@@ -164,7 +168,7 @@ def _sampled_features(docs: DataFrame, ids: DataFrame) -> list[np.ndarray]:
             sets = [np.array(features_of(data), "<i4").tobytes() for data in common.as_bytes(batch["text"])]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sets, pa.binary())], ["doc_id", "found"])
 
-    chosen = docs.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(run, "doc_id long, found binary")
+    chosen = docs.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(common.releasing(run), "doc_id long, found binary")
     rows = sorted((row["doc_id"], bytes(row["found"])) for row in chosen.collect())
     return [np.frombuffer(found, "<i4") for _, found in rows]
 
@@ -201,8 +205,10 @@ def _scored(df: DataFrame, model: Model | None, text_at: int, name: str) -> Data
         for batch in common.slices(batches):
             scores = [scorer.score(data) if scorer else 0.0 for data in common.as_bytes(batch.column(text_at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names)
+        if scorer:
+            scorer.forget()
 
-    return df.mapInArrow(run, df.withColumn(name, F.lit(0.0)).schema)
+    return df.mapInArrow(common.releasing(run), df.withColumn(name, F.lit(0.0)).schema)
 
 
 def score(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
