@@ -39,6 +39,15 @@ def test_random_texts(automaton):
         assert automaton.decode(ids) == TOKENIZER.decode(ids, skip_special_tokens=False) == text
 
 
+def test_latin_split_is_the_same():
+    rng = random.Random(6)
+    plain = [chr(c) for c in range(0x250) if not bpe.NOT_LATIN.search(chr(c))]
+    full = bpe.regex.compile(bpe.SPLIT_PATTERN)
+    texts = [c + a + b for a in plain for b in " a1_'\n" for c in ("", b)]
+    texts += ["".join(rng.choices([*plain, *("  'aabstdlvrem11__\n\n" * 20)], k=rng.randint(1, 30))) for _ in range(20000)]
+    assert all(bpe.LATIN_PATTERN.findall(t) == full.findall(t) for t in texts)
+
+
 def test_broken_tokens_decode_alike(automaton):
     rng = random.Random(4)
     for _ in range(500):
