@@ -50,7 +50,12 @@ SELECT event_id AS seq, lpad(lower($HEX(user_id)), 6, '0') AS icao24,
   CAST((event_id * 37) % 360 AS DOUBLE) AS true_track,
   CAST(event_id % 21 - 10 AS DOUBLE) AS vertical_rate,
   value * CAST(100 AS DOUBLE) AS geo_altitude,
-  CAST(event_id % 4 AS INT) AS position_source
+  CAST(event_id % 4 AS INT) AS position_source,
+  concat('Land ', $STR(user_id % 12)) AS origin_country,
+  CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id % 9 AS INT) END AS sensor,
+  CASE WHEN event_id % 10 = 0 THEN NULL ELSE lpad($STR(event_id % 7777), 4, '0') END AS squawk,
+  event_id % 5 = 0 AS spi,
+  $EPOCH(ts) + 5 AS fetch_timestamp, $EPOCH(ts) + 6 AS ingestion_timestamp
 FROM events
 """,
     "flight_info": """
@@ -59,7 +64,13 @@ SELECT o_orderkey AS seq, lpad(lower($HEX(o_custkey)), 6, '0') AS icao24,
   $EPOCH(o_orderdate) + 3600 * (o_orderkey % 24) + o_orderkey % 3600 + 1800 + (o_orderkey * 61) % 36000 AS lastSeen,
   CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE concat('A', lpad($STR(o_custkey % 27), 3, '0')) END AS estDepartureAirport,
   CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE concat('A', lpad($STR(o_orderkey % 27), 3, '0')) END AS estArrivalAirport,
-  concat('CS', $STR(o_custkey % 97)) AS callsign
+  concat('CS', $STR(o_custkey % 97)) AS callsign,
+  CAST(o_orderkey % 5000 AS INT) AS estDepartureAirportHorizDistance,
+  CAST(o_orderkey % 300 AS INT) AS estDepartureAirportVertDistance,
+  CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE CAST(o_orderkey % 4000 AS INT) END AS estArrivalAirportHorizDistance,
+  CAST(o_orderkey % 200 AS INT) AS estArrivalAirportVertDistance,
+  CAST(o_orderkey % 7 AS INT) AS departureAirportCandidatesCount,
+  CAST(o_orderkey % 5 AS INT) AS arrivalAirportCandidatesCount
 FROM orders
 """,
     "airports": """
@@ -104,6 +115,10 @@ SELECT event_id AS seq, concat('K', lpad($STR(user_id % 40), 3, '0')) AS station
   CAST(event_id % 90 AS INT) AS ceil, $STR(event_id % 10) AS visib,
   CASE WHEN event_id % 90 < 5 THEN 'LIFR' WHEN event_id % 90 < 10 THEN 'IFR' WHEN event_id % 90 <= 30 THEN 'MVFR' ELSE 'VFR' END AS fltcat,
   CASE WHEN event_id % 4 = 0 THEN NULL ELSE concat('[{"base":', $STR(event_id % 90), ',"cover":"BKN"}]') END AS clouds,
+  CASE WHEN event_id % 6 = 0 THEN NULL ELSE CAST(event_id % 30 - 15 AS INT) END AS dewp,
+  CAST(event_id % 36 * 10 AS INT) AS wdir, CASE WHEN event_id % 2 = 0 THEN NULL ELSE CAST(event_id % 70 AS INT) END AS wgst,
+  CASE WHEN event_id % 5 = 0 THEN NULL ELSE 'OVC' END AS cover, CASE WHEN event_id % 8 < 5 THEN NULL ELSE 'RA BR' END AS wx,
+  CAST(1000 + event_id % 40 AS INT) AS altim, CAST(990 + event_id % 50 AS INT) AS slp,
   concat('METAR ', lpad($STR(event_id), 9, '0')) AS raw_ob
 FROM events
 """,
@@ -115,6 +130,10 @@ SELECT event_id * 4 + g AS seq, concat('K', lpad($STR(user_id % 40), 3, '0')) AS
   CASE WHEN g = 0 THEN 'PREVAIL' WHEN g % 2 = 1 THEN 'FM' ELSE 'TEMPO' END AS fcst_type,
   CAST((event_id + g) % 60 AS INT) AS wspd,
   CASE WHEN (event_id + g) % 90 < 5 THEN 'LIFR' WHEN (event_id + g) % 90 < 10 THEN 'IFR' WHEN (event_id + g) % 90 <= 30 THEN 'MVFR' ELSE 'VFR' END AS fltcat,
+  concat('Site ', $STR(user_id % 40)) AS site, CAST((event_id + g) % 36 * 10 AS INT) AS wdir,
+  CASE WHEN event_id % 2 = 0 THEN NULL ELSE CAST((event_id + g) % 70 AS INT) END AS wgst,
+  $STR(event_id % 10) AS visib, CAST((event_id + g) % 90 AS INT) AS ceil, CASE WHEN g = 0 THEN NULL ELSE 'SCT' END AS cover,
+  CASE WHEN event_id % 4 = 0 THEN NULL ELSE concat('[{"base":', $STR(event_id % 90), ',"cover":"BKN"}]') END AS clouds,
   concat('TAF ', lpad($STR(event_id), 9, '0')) AS raw_taf
 FROM (SELECT *, $EACH(0, 1, 2, 3) AS g FROM events) p
 """,
@@ -123,6 +142,10 @@ SELECT event_id AS seq, CASE WHEN event_id % 41 = 0 THEN NULL ELSE concat('Z', l
   $STR(event_id % 2) AS series_id, $DIV($EPOCH(ts);3600) * 3600 AS valid_from, $DIV($EPOCH(ts);3600) * 3600 + 14400 AS valid_to,
   $DIV($EPOCH(ts);3600) * 3600 AS hour_bucket,
   CASE event_id % 3 WHEN 0 THEN 'TS' WHEN 1 THEN 'ICE' ELSE 'TURB' END AS hazard,
+  concat('F', $STR(event_id % 30)) AS fir_id, concat('FIR ', $STR(event_id % 30)) AS fir_name,
+  CASE WHEN event_id % 2 = 0 THEN 'SEV' ELSE 'EMBD' END AS qualifier, CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'NE' END AS dir,
+  $STR(event_id % 25) AS spd, CASE WHEN event_id % 2 = 0 THEN 'NC' ELSE 'WKN' END AS chng,
+  concat('SIGMET ', lpad($STR(event_id), 9, '0')) AS raw_sigmet,
   CAST((event_id * 100) % 20000 AS INT) AS base, CAST((event_id * 100) % 20000 + 10000 AS INT) AS top,
   CASE WHEN event_id % 13 = 0 THEN NULL ELSE concat('[[[', $STR(CAST(event_id % 170 AS DOUBLE)), ',', $STR(CAST(event_id % 80 AS DOUBLE)), '],[',
     $STR(CAST(event_id % 170 + 1 AS DOUBLE)), ',', $STR(CAST(event_id % 80 AS DOUBLE)), '],[',
@@ -199,8 +222,9 @@ def _plain(names: str) -> dict:
 
 def flight_state_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = rows(spark, sf_dir, "flight_states")
-    fields = [c for c in df.columns if c != "seq"]
-    return _messages(df, "flights_raw", F.col("icao24"), F.struct(*fields))
+    sensors = F.when(F.col("sensor").isNotNull(), F.array("sensor", F.col("sensor") + 1)).alias("sensors")
+    fields = [c for c in df.columns if c not in ("seq", "sensor")]
+    return _messages(df, "flights_raw", F.col("icao24"), F.struct(*fields, sensors))
 
 
 def flight_info_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,7 +260,7 @@ def metar_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id": F.col("station_id"),
         **_plain("site"),
         "obsTime": _iso("obs_time"),
-        **_plain("temp wspd ceil fltcat visib"),
+        **_plain("temp dewp wdir wspd wgst ceil cover fltcat visib wx altim slp"),
         "rawOb": F.col("raw_ob"),
         "clouds": F.from_json("clouds", "ARRAY<STRUCT<base: INT, cover: STRING>>"),
     }
@@ -252,7 +276,8 @@ def taf_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "validTimeTo": _iso("valid_to"),
         "timeGroup": F.col("time_group"),
         "fcstType": F.col("fcst_type"),
-        **_plain("wspd fltcat"),
+        **_plain("site wdir wspd wgst visib ceil cover fltcat"),
+        "clouds": F.from_json("clouds", "ARRAY<STRUCT<base: INT, cover: STRING>>"),
         "rawTAF": F.col("raw_taf"),
     }
     geometry = F.struct(F.lit("Point").alias("type"), F.array(F.lit(-75.5), F.lit(40.25)).alias("coordinates"))
@@ -267,7 +292,10 @@ def sigmet_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "hazard": F.col("hazard"),
         "validTimeFrom": _iso("valid_from"),
         "validTimeTo": _iso("valid_to"),
-        **_plain("base top"),
+        **_plain("base top qualifier dir spd chng"),
+        "firId": F.col("fir_id"),
+        "firName": F.col("fir_name"),
+        "rawSigmet": F.col("raw_sigmet"),
     }
     geometry = F.struct(
         F.lit("Polygon").alias("type"),

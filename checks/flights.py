@@ -169,19 +169,15 @@ def w1(spark, sf_dir):
 
 
 _LATEST = latest_of(f"(SELECT * FROM {METAR} WHERE lat IS NOT NULL)", "station_id", "obs_time DESC, seq DESC")
-_NONE = "CAST(NULL AS INTEGER)"
-METAR_LATEST = f"""(SELECT station_id, obs_time, lat, lon, site, temp, {_NONE} AS dewp, {_NONE} AS wdir, wspd,
-    {_NONE} AS wgst, visib, ceil, CAST(NULL AS VARCHAR) AS cover, fltcat, CAST(NULL AS VARCHAR) AS wx,
-    {_NONE} AS altim, {_NONE} AS slp, clouds, raw_ob FROM {_LATEST})"""
-METAR_HISTORY = f"""(SELECT station_id, obs_time, fltcat, temp, wspd, visib, ceil, CAST(NULL AS VARCHAR) AS wx, raw_ob
-    FROM {latest_of(METAR, 'station_id, obs_time')})"""
+METAR_LATEST = f"(SELECT {', '.join(weather.METAR_LATEST)} FROM {_LATEST})"
+METAR_HISTORY = f"(SELECT {', '.join(weather.METAR_HISTORY)} FROM {latest_of(METAR, 'station_id, obs_time')})"
 _WARNINGS = latest_of(
     f"(SELECT * FROM {SIGMET} WHERE icao_id IS NOT NULL AND polygon IS NOT NULL)",
     "hour_bucket, icao_id, series_id, valid_from",
 )
-SIGMETS = f"(SELECT hour_bucket, icao_id, series_id, valid_from, valid_to, hazard, base, top, polygon FROM {_WARNINGS})"
-TAFS = f"""(SELECT station_id, issue_time, time_group, valid_from, valid_to, fcst_type, wspd, fltcat, raw_taf
-    FROM {latest_of(TAF, 'station_id, issue_time, time_group, valid_from')})"""
+SIGMETS = f"(SELECT {', '.join(weather.SIGMET)} FROM {_WARNINGS})"
+TAFS = f"""(SELECT * FROM (SELECT {', '.join(c for c in weather.TAF if c not in ('lat', 'lon'))},
+    40.25::DOUBLE AS lat, (-75.5)::DOUBLE AS lon FROM {latest_of(TAF, 'station_id, issue_time, time_group, valid_from')}))"""
 
 
 @query("w2_metar_latest", f"SELECT * FROM {METAR_LATEST}")
@@ -195,8 +191,7 @@ def w3(spark, sf_dir):
 
 
 def sigmets(spark, sf_dir):
-    table = weather.sigmet_by_validtime(inputs.sigmet(spark, sf_dir))
-    return table.select("hour_bucket", "icao_id", "series_id", "valid_from", "valid_to", "hazard", "base", "top", "polygon")
+    return weather.sigmet_by_validtime(inputs.sigmet(spark, sf_dir))
 
 
 @query("w4_sigmet_by_validtime", f"SELECT * FROM {SIGMETS}")
@@ -205,10 +200,7 @@ def w4(spark, sf_dir):
 
 
 def tafs(spark, sf_dir):
-    table = weather.taf_by_station(inputs.taf(spark, sf_dir))
-    return table.select(
-        "station_id", "issue_time", "time_group", "valid_from", "valid_to", "fcst_type", "wspd", "fltcat", "raw_taf"
-    )
+    return weather.taf_by_station(inputs.taf(spark, sf_dir))
 
 
 @query("w5_taf_by_station", f"SELECT * FROM {TAFS}")
@@ -310,6 +302,7 @@ _CHECKS = " UNION ALL ".join(
             ("rows", "count(*)"),
             ("country_present", "count(*) FILTER (country_code = 'NA')"),
         ),
+        _check("aircrafts_by_cell_minute", BY_MINUTE, ("rows", "count(*)")),
     ]
 )
 
@@ -322,5 +315,6 @@ def e4(spark, sf_dir):
         "departures_by_country_hour": _departures(spark, sf_dir),
         "arrivals_by_country_hour": _arrivals(spark, sf_dir),
         "activeaircraft_by_country_hour": _active(spark, sf_dir),
+        "aircrafts_by_cell_minute": a1(spark, sf_dir),
     }
     return quality.quality_report(tables, "NA")

@@ -22,7 +22,6 @@ METAR, TAF, SIGMET = oracle("metar"), oracle("taf"), oracle("sigmet")
 AIRPORTS, AIRLINES, CITIES = oracle("airports"), oracle("airlines"), oracle("cities")
 
 
-
 def offset():
     """Message offset, which is ``seq`` of the row a message was made from."""
     return F.col("_metadata.offset").alias("seq")
@@ -30,17 +29,20 @@ def offset():
 
 STATE_FIELDS = (
     "icao24, callsign, time_position, last_contact, longitude, latitude, baro_altitude, on_ground, velocity, "
-    "true_track, vertical_rate, geo_altitude, position_source"
+    "true_track, vertical_rate, geo_altitude, position_source, origin_country, squawk, spi, fetch_timestamp, "
+    "ingestion_timestamp"
 )
 
 
 @query(
     "s1_parse_flight_states",
-    f"SELECT seq, {STATE_FIELDS}, time_position AS event_time FROM {STATES}",
+    f"""SELECT seq, {STATE_FIELDS}, time_position AS event_time,
+        CASE WHEN sensor IS NOT NULL THEN concat('[', sensor, ',', sensor + 1, ']') END AS sensors FROM {STATES}""",
 )
 def s1(spark, sf_dir):
     rows = inputs.states(spark, sf_dir)
-    return rows.select(offset(), *STATE_FIELDS.split(", "), F.unix_seconds("timestamp").alias("event_time"))
+    sensors = F.to_json("sensors").alias("sensors")
+    return rows.select(offset(), *STATE_FIELDS.split(", "), sensors, F.unix_seconds("timestamp").alias("event_time"))
 
 
 @query(
@@ -70,43 +72,48 @@ def s2(spark, sf_dir):
     )
 
 
-@query(
-    "s3_parse_flight_info",
-    f"""SELECT seq, icao24, firstSeen AS "firstSeen", lastSeen AS "lastSeen",
-        estDepartureAirport AS "estDepartureAirport", estArrivalAirport AS "estArrivalAirport", callsign FROM {INFO}""",
-)
+INFO_FIELDS = (
+    "icao24 firstSeen lastSeen estDepartureAirport estArrivalAirport callsign estDepartureAirportHorizDistance "
+    "estDepartureAirportVertDistance estArrivalAirportHorizDistance estArrivalAirportVertDistance "
+    "departureAirportCandidatesCount arrivalAirportCandidatesCount"
+).split()
+
+
+@query("s3_parse_flight_info", f"""SELECT seq, {", ".join(f'{name} AS "{name}"' for name in INFO_FIELDS)} FROM {INFO}""")
 def s3(spark, sf_dir):
-    fields = "icao24 firstSeen lastSeen estDepartureAirport estArrivalAirport callsign".split()
-    return inputs.info(spark, sf_dir).select(offset(), *fields)
+    return inputs.info(spark, sf_dir).select(offset(), *INFO_FIELDS)
 
 
 @query(
     "s4_parse_metar",
-    f"""SELECT seq, station_id, site, obs_time, lat, lon, temp, wspd, ceil, visib, fltcat, clouds, raw_ob,
-        obs_time AS event_time FROM {METAR}""",
+    f"""SELECT seq, station_id, site, obs_time, lat, lon, temp, dewp, wdir, wspd, wgst, ceil, cover, visib, wx, altim, slp,
+        fltcat, clouds, raw_ob, obs_time AS event_time FROM {METAR}""",
 )
 def s4(spark, sf_dir):
-    fields = "station_id site obs_time lat lon temp wspd ceil visib fltcat raw_ob".split()
+    fields = "station_id site obs_time lat lon temp dewp wdir wspd wgst ceil cover visib wx altim slp fltcat raw_ob".split()
     clouds = c.json_text(F.col("clouds_array")).alias("clouds")
     return inputs.metar(spark, sf_dir).select(offset(), *fields, clouds, F.unix_seconds("timestamp").alias("event_time"))
 
 
 @query(
     "s5_parse_taf",
-    f"""SELECT seq, station_id, issue_time, time_group, valid_from, valid_to, fcst_type, wspd, fltcat, raw_taf,
-        40.25::DOUBLE AS lat, (-75.5)::DOUBLE AS lon FROM {TAF}""",
+    f"""SELECT seq, station_id, issue_time, time_group, valid_from, valid_to, fcst_type, site, wdir, wspd, wgst, visib, ceil,
+        cover, fltcat, raw_taf, clouds, 40.25::DOUBLE AS lat, (-75.5)::DOUBLE AS lon FROM {TAF}""",
 )
 def s5(spark, sf_dir):
-    fields = "station_id issue_time time_group valid_from valid_to fcst_type wspd fltcat raw_taf lat lon".split()
-    return inputs.taf(spark, sf_dir).select(offset(), *fields)
+    fields = (
+        "station_id issue_time time_group valid_from valid_to fcst_type site wdir wspd wgst visib ceil cover fltcat raw_taf lat lon"
+    ).split()
+    return inputs.taf(spark, sf_dir).select(offset(), *fields, c.json_text(F.col("clouds_array")).alias("clouds"))
 
 
 @query(
     "s6_parse_sigmet",
-    f"SELECT seq, icao_id, series_id, valid_from, valid_to, hazard, base, top, polygon FROM {SIGMET}",
+    f"""SELECT seq, icao_id, series_id, valid_from, valid_to, hazard, base, top, polygon, fir_id, fir_name, qualifier, dir, spd,
+        chng, raw_sigmet FROM {SIGMET}""",
 )
 def s6(spark, sf_dir):
-    fields = "icao_id series_id valid_from valid_to hazard base top".split()
+    fields = "icao_id series_id valid_from valid_to hazard base top fir_id fir_name qualifier dir spd chng raw_sigmet".split()
     polygon = c.json_text(F.col("polygon_coords")).alias("polygon")
     return inputs.sigmet(spark, sf_dir).select(offset(), *fields, polygon)
 
@@ -181,7 +188,7 @@ SNAPSHOT_FIELDS = (
 @query(
     "s11_states_from_snapshot",
     f"""SELECT icao24, nullif(trim(callsign), '') AS callsign, time_position, last_contact, longitude, latitude,
-        baro_altitude, on_ground, velocity, true_track, vertical_rate, geo_altitude, position_source,
+        baro_altitude, on_ground, velocity, true_track, vertical_rate, geo_altitude, position_source, origin_country, squawk, spi,
         max(last_contact) OVER (PARTITION BY seq // 50) AS fetch_timestamp,
         CAST(1800000000 AS BIGINT) AS ingestion_timestamp FROM {STATES}
         QUALIFY longitude IS NOT NULL AND latitude IS NOT NULL AND seq % 43 <> 0""",
@@ -196,7 +203,7 @@ def s11(spark, sf_dir):
     )
     value = F.to_json(F.struct("time", "states"), {"ignoreNullFields": "false"}).alias("value")
     states = parse.states_from_snapshot(snapshots.select(value), F.lit(1800000000))
-    return states.drop("origin_country", "sensors", "squawk", "spi")
+    return states.drop("sensors")
 
 
 @query(
