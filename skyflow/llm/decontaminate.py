@@ -213,8 +213,8 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return found
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[str, bytes]]]:
-    """The items in blocks of about ``BLOCK_BYTES``; one block at least."""
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[bool, list[tuple[str, bytes]]]]:
+    """The items in blocks of about ``BLOCK_BYTES``, one at least, and whether a block is the last."""
     items = benchmark.select(
         F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("item"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
@@ -223,11 +223,15 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[t
     parts = 1 + total // BLOCK_BYTES
     for part in range(parts):
         rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part)
-        yield [(row["item"], row["text"].encode()) for row in rows.toLocalIterator()]
+        yield part == parts - 1, [(row["item"], row["text"].encode()) for row in rows.toLocalIterator()]
 
 
-def _search_pass(df: DataFrame, text_at: int, names: list[str], shared, window: int) -> DataFrame:
-    """``df`` with its last three columns (words, spans, items) extended by one block."""
+def _search_pass(df: DataFrame, text_at: int, shared, window: int, cutting: bool) -> DataFrame:
+    """``df`` with its last three columns (words, spans, items) extended by one block.
+
+    With ``cutting`` those columns go, and the spans are cut out of the texts.
+    """
+    names = df.columns[:-3] if cutting else df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(shared.value, window)
@@ -244,6 +248,11 @@ def _search_pass(df: DataFrame, text_at: int, names: list[str], shared, window:
                     [{"start": a, "end": b} for a, b in merged(new + [(x["start"], x["end"]) for x in old or ()])]
                     for (new, _), old, _ in both
                 ]
+                if cutting:
+                    texts = batch.column(text_at).to_pylist()
+                    kept[text_at] = pa.array([cut(t, x) if x else t for t, x in zip(texts, spans, strict=True)], pa.string())
+                    yield pa.RecordBatch.from_arrays(kept, names)
+                    continue
                 items = [sorted({*new, *(old or ())}) for (_, new), _, old in both]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -267,7 +276,7 @@ def _search_pass(df: DataFrame, text_at: int, names: list[str], shared, window:
                 waiting, size = [], 0
         yield from flush()
 
-    return df.mapInArrow(common.releasing(run), df.schema)
+    return df.mapInArrow(common.releasing(run), df.select(*names).schema)
 
 
 def find_passages(
@@ -288,15 +297,23 @@ def find_passages(
     Null and empty texts have no words; repeated rows are searched like any other. Columns of
     ``docs`` are passed on; none may be called as one of ``names``.
     """
+    return _passes(docs, benchmark, text_col, item_col, item_text_col, window, names, cutting=False)
+
+
+def _passes(
+    docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str, window: int, names: tuple, cutting: bool
+) -> DataFrame:
+    """A search pass over ``docs`` for each block of the benchmark; with ``cutting`` the last cuts."""
     if clash := {*names} & {*docs.columns}:
         raise ValueError(f"choose other names: {sorted(clash)}")
     context = docs.sparkSession.sparkContext
     found = docs.withColumns(
         {names[0]: F.lit(0).cast("long"), names[1]: F.lit(None).cast(SPANS), names[2]: F.lit(None).cast("array<string>")}
     )
-    for block in _blocks(benchmark, item_col, item_text_col):
+    text_at = docs.columns.index(text_col)
+    for last, block in _blocks(benchmark, item_col, item_text_col):
         # A block's size is bounded by BLOCK_BYTES and one item.
-        found = _search_pass(found, docs.columns.index(text_col), found.columns, context.broadcast(block), window)
+        found = _search_pass(found, text_at, context.broadcast(block), window, cutting and last)
     return found
 
 
@@ -314,23 +331,18 @@ def cut(text: str, spans: list[dict]) -> str:
     return b"".join([*kept, data[at:]]).decode()
 
 
-def remove_passages(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", **options) -> DataFrame:
+def remove_passages(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = WINDOW,
+) -> DataFrame:
     """``docs`` with benchmark passages cut out of the texts; rows and columns stay as they are."""
     names = tuple(f"_passages_{len(docs.columns)}_{x}" for x in ("words", "spans", "items"))
-    found = find_passages(docs, benchmark, text_col=text_col, names=names, **options)
-    at, schema = docs.columns.index(text_col), docs.schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches):
-            columns = batch.columns[:-1]
-            texts = [
-                cut(text, spans) if spans else text
-                for text, spans in zip(columns[at].to_pylist(), batch.column(len(columns)).to_pylist(), strict=True)
-            ]
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
-
-    return found.drop(names[0], names[2]).mapInArrow(common.releasing(run), schema)
+    return _passes(docs, benchmark, text_col, item_col, item_text_col, window, names, cutting=True)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

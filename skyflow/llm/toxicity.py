@@ -105,10 +105,13 @@ def _matrix(rows: list[np.ndarray], features: np.ndarray) -> tuple[np.ndarray, n
 
 def choose_features(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
     """Features whose share of the positive documents exceeds that of the unlabelled ones most, for its variance."""
-    names, inverse = np.unique(np.concatenate([*positive, *unlabelled]), return_inverse=True)
-    size = sum(map(len, positive))
-    p = np.bincount(inverse[:size], minlength=len(names))
-    u = np.bincount(inverse[size:], minlength=len(names))
+    names, p = np.unique(np.concatenate(positive), return_counts=True)
+    u = np.zeros(len(names), np.int64)
+    # Features no positive document has can't be chosen; some documents at a time, to save memory.
+    for start in range(0, len(unlabelled), 500):
+        found = np.concatenate(unlabelled[start : start + 500])
+        at = np.minimum(np.searchsorted(names, found), max(0, len(names) - 1))
+        u += np.bincount(at[names[at] == found], minlength=len(names)) if len(names) else 0
     a, b = len(positive), len(unlabelled)
     share = (p + u) / (a + b)
     z = (p / a - u / b) / np.sqrt(share * (1 - share) * (1 / a + 1 / b) + 1e-9)

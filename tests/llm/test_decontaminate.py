@@ -87,7 +87,9 @@ def test_blocks_and_shards(spark, rows, monkeypatch):
     assert rows(decontaminate.report(docs, bench)) == brute(DOCS, ITEMS)
 
 
-def test_remove(spark):
+@pytest.mark.parametrize("block_bytes", [10, 1 << 24])
+def test_remove(spark, monkeypatch, block_bytes):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block_bytes)
     docs = spark.createDataFrame([(*d, 5) for d in DOCS], "doc_id long, text string, words int")
     bench = spark.createDataFrame(ITEMS[:3], "item_id long, text string")
     kept = decontaminate.remove_passages(docs, bench)
