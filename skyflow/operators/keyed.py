@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyflow.plans.ordering import first_per_key, ingest_order, latest_by_key
+from skyflow.plans.ordering import ingest_order, latest_by_key
 
-__all__ = ["assign_time_group", "first_per_partition", "latest_by_key", "newest_rows", "retain"]
+__all__ = ["assign_time_group", "latest_by_key", "newest_rows", "retain"]
 
 
 def newest_rows(df: DataFrame, keys: list[str], time: str) -> DataFrame:
@@ -16,11 +16,6 @@ def newest_rows(df: DataFrame, keys: list[str], time: str) -> DataFrame:
     return latest_by_key(df, keys, [time] if tie is None else [time, tie])
 
 
-def first_per_partition(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
-    """The first ``n`` rows of every key in the given order."""
-    return first_per_key(df, keys, order, n)
-
-
 def assign_time_group(taf: DataFrame, order: list[str | Column]) -> DataFrame:
     """Number the periods of each bulletin 0, 1, 2 ... in ``time_group``.
 

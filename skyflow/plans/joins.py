@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 DEFAULT_SPREAD = 32
 LOOKUP_BYTES = 32 * 1024 * 1024
+# Fixed value: Spark's own threshold where none is set.
+SPARK_DEFAULT_BYTES = 10 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -17,12 +19,13 @@ def estimated_bytes(df: DataFrame) -> int:
 def broadcast_limit(df: DataFrame) -> int:
     """Largest stored size, in bytes, of a table that is sent to every executor.
 
-    The session's threshold, but at least ``LOOKUP_BYTES``: lookups are joined with fact
-    tables that cost far more to shuffle. A negative threshold switches broadcasts off.
+    A threshold that was set for the session holds, a negative one switches broadcasts off. Spark's
+    default gives way to ``LOOKUP_BYTES``: lookups are joined with fact tables that cost far more
+    to shuffle.
     """
     text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
     session = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
-    return session if session < 0 else max(session, LOOKUP_BYTES)
+    return LOOKUP_BYTES if session == SPARK_DEFAULT_BYTES else session
 
 
 def unique_lookup(df: DataFrame, key: Column, columns: list[str], order: str) -> DataFrame:
