@@ -2,8 +2,8 @@
 
 Vectors are dealt to blocks of bounded size. A block keeps, for each of several random projections,
 its vectors in order of their projection. Around a query's projection a window is opened in every
-order; a vector collides where it lies inside. Windows widen by a constant factor, and only what
-they newly cover is counted. Vectors with enough collisions are verified on the original vectors.
+order; a vector collides where its rank lies inside. Windows widen by a constant factor until enough
+vectors collide in most of them; these are verified on the original vectors.
 """
 
 from __future__ import annotations
@@ -18,46 +18,49 @@ from pyspark.sql import functions as F
 NEAREST = 5
 #: Vectors of a block, on average.
 BLOCK_ROWS = 16_384
-PROJECTIONS = 64
+PROJECTIONS = 96
 #: Share of the projections in which a vector must collide to be verified.
-THRESHOLD = 0.75
+THRESHOLD = 0.85
 #: Half-width of the first windows on unit vectors, and the factor by which windows widen.
-FIRST_WIDTH, WIDER = 0.02, 1.3
+FIRST_WIDTH, WIDER = 0.7, 1.15
 #: Windows stop to widen when so many vectors, and so large a share of the block, are verified.
-LEAST_VERIFIED, SHARE_VERIFIED = 200, 0.02
+LEAST_VERIFIED, SHARE_VERIFIED = 200, 0.08
 SEED = 20
 
 
 class CollisionIndex:
-    """The sorted projections of a block of vectors."""
+    """The sorted projections of a block of vectors, and the rank each vector has in them."""
+
+    #: Between the projections in the one array that holds all of them in order.
+    GAP = 1e4
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
         self.norms = np.sqrt((vectors * vectors).sum(axis=1))
         rng = np.random.default_rng(SEED)
         self.directions = rng.standard_normal((vectors.shape[1], PROJECTIONS))
-        projected = (vectors / self.norms[:, None]) @ self.directions
-        self.order = np.argsort(projected, axis=0, kind="stable").T.copy()
-        self.sorted = np.take_along_axis(projected.T, self.order, axis=1)
+        projected = ((vectors / self.norms[:, None]) @ self.directions).T
+        order = np.argsort(projected, axis=1, kind="stable")
+        self.offsets = np.arange(PROJECTIONS) * self.GAP
+        self.sorted = (np.take_along_axis(projected, order, axis=1) + self.offsets[:, None]).ravel()
+        self.ranks = np.empty(projected.shape, np.uint16 if len(ids) < 1 << 16 else np.uint32)
+        np.put_along_axis(self.ranks, order, np.arange(len(ids), dtype=self.ranks.dtype)[None, :], axis=1)
 
     def candidates(self, query: np.ndarray) -> np.ndarray:
         """Rows that collide with a unit vector in enough windows."""
         size, needed = len(self.ids), int(np.ceil(THRESHOLD * PROJECTIONS))
-        enough = max(LEAST_VERIFIED, int(SHARE_VERIFIED * size))
-        at = query @ self.directions
-        low = np.array([np.searchsorted(row, x) for row, x in zip(self.sorted, at, strict=True)])
-        high, width = low.copy(), FIRST_WIDTH
-        counts = np.zeros(size, np.int64)
+        enough = min(size, max(LEAST_VERIFIED, int(SHARE_VERIFIED * size)))
+        at, starts = query @ self.directions + self.offsets, np.arange(PROJECTIONS) * size
+        width = FIRST_WIDTH
         while True:
-            new_low = [int(np.searchsorted(row, x - width)) for row, x in zip(self.sorted, at, strict=True)]
-            new_high = [int(np.searchsorted(row, x + width, side="right")) for row, x in zip(self.sorted, at, strict=True)]
-            fresh = [self.order[j, new_low[j] : low[j]] for j in range(PROJECTIONS)]
-            fresh += [self.order[j, high[j] : new_high[j]] for j in range(PROJECTIONS)]
-            counts += np.bincount(np.concatenate(fresh), minlength=size)
-            low, high, width = new_low, new_high, width * WIDER
-            found = np.flatnonzero(counts >= needed)
-            if len(found) >= min(enough, size):
+            low = np.searchsorted(self.sorted, at - width) - starts
+            high = np.searchsorted(self.sorted, at + width, side="right") - starts
+            # A rank is in the window exactly if its distance to the window's start is under the length.
+            inside = self.ranks - low.astype(self.ranks.dtype)[:, None] < (high - low).astype(self.ranks.dtype)[:, None]
+            found = np.flatnonzero(inside.view(np.uint8).sum(axis=0, dtype=np.uint16) >= needed)
+            if len(found) >= enough:
                 return found
+            width *= WIDER
 
     def search(self, query_id: int, query: np.ndarray, nearest: int) -> list[tuple[int, float]]:
         """(id, cosine) of the nearest vectors verified, without rows of the query's own id."""

@@ -48,8 +48,8 @@ def test_small(spark, rows, monkeypatch):
 
 def test_windows_count_collisions():
     rng = np.random.default_rng(1)
-    vectors = rng.standard_normal((500, 16))
-    index = ann.CollisionIndex(np.arange(500), vectors)
+    vectors = rng.standard_normal((1000, 16))
+    index = ann.CollisionIndex(np.arange(1000), vectors)
     query = vectors[7] / np.linalg.norm(vectors[7])
     rows = index.candidates(query)
     assert 7 in rows and len(rows) >= ann.LEAST_VERIFIED
