@@ -28,6 +28,8 @@ WINDOW = 13
 ANCHOR = 7
 #: Bytes of text of a shard, on average.
 SHARD_BYTES = 8 * 1024 * 1024
+#: Bytes of text whose suffixes, or anchors, make up a group on average; few of them get past the filters.
+GROUP_BYTES = 64 * 1024 * 1024
 #: Documents whose suffixes show where to split; bounds the work on the driver, decides nothing else.
 SAMPLE_DOCS = 300
 #: Words of a prefix at most.
@@ -239,7 +241,7 @@ def deep_nodes(symbols: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.n
     order = np.lexsort((marks, tail.view(">u8").reshape(-1), _prefix_keys(symbols)))
     symbols, marks = symbols[order], marks[order]
     # Symbols are a byte of a word's hash; the window's hash tells apart words that share it.
-    common_words = np.cumprod(symbols[1:] == symbols[:-1], axis=1).sum(axis=1)
+    common_words = np.cumprod(symbols[1:] == symbols[:-1], axis=1, dtype=np.uint8).sum(axis=1)
     deep = (common_words >= WINDOW) & (marks[1:] == marks[:-1])
     return order, np.flatnonzero(np.concatenate([[True], ~deep]))
 
@@ -310,7 +312,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """
     base = common.id_and_text(docs, id_col, text_col)
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = 12 + total // SHARD_BYTES
+    shards, groups = 12 + total // SHARD_BYTES, 12 + total // GROUP_BYTES
     shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard")
     texts = base.select("doc_id", "text", F.unhex(F.md5("text")).alias("digest"), shard)
     # One exchange of the texts, which the three passes over them share.
@@ -327,16 +329,16 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         right = known.select(*[F.col(c).alias(c) for c in known.columns]).repartition(shards, "shard")
         return dealt.groupBy("shard").cogroup(right.groupBy("shard")).applyInArrow(function, schema)
 
-    anchors = passed(copies, lambda a, b: _anchor_rows(a, b, shards), "bucket int, shard int, anchors binary, several binary")
-    repeated = _by_group(anchors, "bucket", shards, _repeated_anchors, ANSWER)
+    anchors = passed(copies, lambda a, b: _anchor_rows(a, b, groups), "bucket int, shard int, anchors binary, several binary")
+    repeated = _by_group(anchors, "bucket", groups, _repeated_anchors, ANSWER)
 
-    begins = _sampled_prefixes(texts, shards)
+    begins = _sampled_prefixes(texts, groups)
     suffixes = passed(
         repeated.union(copies),
         lambda a, b: _suffix_rows(a, b, begins),
         "group int, shard int, symbols binary, marks binary, ids binary, several binary",
     )
-    repeats = _by_group(suffixes, "group", shards, _repeats, ANSWER)
+    repeats = _by_group(suffixes, "group", groups, _repeats, ANSWER)
     return passed(repeats.union(copies), _clean_rows, "doc_id long, n_words long, n_removed long, kept string")
 
 
