@@ -45,7 +45,33 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-@query("op8_decontaminate")
+_SPLIT = r"""[x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> '']"""
+PASSAGES_SQL = f"""
+WITH docs AS (SELECT doc_id, {_SPLIT} AS w FROM documents),
+items AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_SPLIT} AS w FROM benchmark),
+wanted AS (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS v
+  FROM (SELECT *, least(len(w), 10) AS n FROM items WHERE len(w) > 0) b, unnest(generate_series(1, len(w) - n + 1)) AS s(i)
+), windows AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS v
+  FROM docs, (SELECT DISTINCT n FROM wanted) l, unnest(generate_series(1, len(w) - n + 1)) AS s(i) WHERE len(w) >= n
+), found AS (SELECT doc_id, n, i, item FROM windows JOIN wanted USING (n, v)),
+hits AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_hit
+  FROM (SELECT DISTINCT doc_id, n, i FROM found) f, unnest(generate_series(0, n - 1)) AS s(k) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, item FROM found) f GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query("op8_decontaminate", PASSAGES_SQL)
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

@@ -5,9 +5,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from checks.compare import differences
 from skyflow.llm import decontaminate
 from skyflow.llm.common import table
-from skyflow.llm.queries import QUERIES
+from skyflow.llm.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -77,6 +78,7 @@ def test_query(spark, rows):
     found = rows(QUERIES["op8_decontaminate"](spark, SF))
     assert found == brute(docs, items)
     assert any(r[-1] for r in found)
+    assert differences(QUERIES["op8_decontaminate"](spark, SF), ORACLE["op8_decontaminate"], SF) is None
 
 
 def test_blocks_and_shards(spark, rows, monkeypatch):
