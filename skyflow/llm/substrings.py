@@ -299,7 +299,16 @@ def _clean_rows(texts: pa.Table, known: pa.Table) -> pa.Table:
 
 
 def _by_group(df: DataFrame, column: str, parts: int, function, schema: str) -> DataFrame:
-    return df.repartition(parts, column).groupBy(column).applyInArrow(function, schema)
+    """``function`` of the rows of each group; groups are numbered from 0 to ``parts`` and dealt one to a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [batch for batch in batches if batch.num_rows]
+        if found:
+            rows = pa.Table.from_batches(found)
+            for group in pc.unique(rows[column]).to_pylist():
+                yield from function(rows.filter(pc.equal(rows[column], group))).to_batches()
+
+    return df.repartitionById(parts, F.col(column)).mapInArrow(common.releasing(run), schema)
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -338,7 +347,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         lambda a, b: _suffix_rows(a, b, begins),
         "group int, shard int, symbols binary, marks binary, ids binary, several binary",
     )
-    repeats = _by_group(suffixes, "group", groups, _repeats, ANSWER)
+    repeats = _by_group(suffixes, "group", len(begins), _repeats, ANSWER)
     return passed(repeats.union(copies), _clean_rows, "doc_id long, n_words long, n_removed long, kept string")
 
 
