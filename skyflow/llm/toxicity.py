@@ -159,7 +159,9 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
         first = 0.9 * first + 0.1 * step
         second = 0.999 * second + 0.001 * step * step
         w -= LEARNING_RATE * (first / (1 - 0.9**epoch)) / (np.sqrt(second / (1 - 0.999**epoch)) + 1e-8)
-    return Model(features, w[:-1], float(w[-1]))
+    # A text without any feature is no likelier toxic than any text is, though few examples may leave
+    # the corrected risk negative and the bias undetermined.
+    return Model(features, w[:-1], float(min(w[-1], np.log(prior / (1 - prior)))))
 
 
 def _sampled_features(docs: DataFrame, ids: DataFrame) -> list[np.ndarray]:

@@ -53,3 +53,9 @@ def test_positives_among_unlabelled(prior):
 def test_nothing_tells_them_apart():
     model = toxicity.train([np.array([1])], [np.array([1])], 0.2)
     assert len(model.features) == 0 and 0 <= model.score(b"word") < 0.3
+
+
+def test_few_examples_leave_other_text_alone():
+    positive = [np.array([1, 2, 3, 100 + i]) for i in range(9)]
+    unlabelled = [np.array([1, 2, 3, 200 + i]) for i in range(9)] + [np.array([300 + i]) for i in range(141)]
+    assert toxicity.train(positive, unlabelled, 0.14).score(b"") < 0.3
