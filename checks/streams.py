@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import time
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
@@ -78,18 +79,24 @@ def in_time(source: str, clock: str, end: str, delay: int, by: str = "seq", wher
         WHERE _seen IS NULL OR {clock} IS NULL OR {end} > _seen - {delay})"""
 
 
-def stored(spark, stream, keys, order=(), hidden=()):
-    """Run a stream into a keyed table until its input ends, and return the table."""
-    table = tables.KeyedTable(new_folder(spark, "table"), list(keys), list(order), list(hidden))
-    # A stream keeps the number of state partitions it started with; on one machine, one per core.
+@contextmanager
+def few_partitions(spark):
+    """A stream keeps the number of state partitions it started with; on one machine, one per core."""
     setting = "spark.sql.shuffle.partitions"
     before = spark.conf.get(setting)
     if spark.sparkContext.master.startswith("local"):
         spark.conf.set(setting, spark.sparkContext.defaultParallelism)
     try:
-        tables.upsert_sink(stream, table, "feed", new_folder(spark, "checkpoint"), ONCE).awaitTermination()
+        yield
     finally:
         spark.conf.set(setting, before)
+
+
+def stored(spark, stream, keys, order=(), hidden=()):
+    """Run a stream into a keyed table until its input ends, and return the table."""
+    table = tables.KeyedTable(new_folder(spark, "table"), list(keys), list(order), list(hidden))
+    with few_partitions(spark):
+        tables.upsert_sink(stream, table, "feed", new_folder(spark, "checkpoint"), ONCE).awaitTermination()
     return tables.current_view(spark, table)
 
 
@@ -334,10 +341,11 @@ def job_config(spark, folder):
     )
 
 
-def run_job(spark, config, queries, names):
-    """Wait for the queries of a job, then a row per stored table: rows and distinct keys."""
-    for query_ in queries:
-        query_.awaitTermination()
+def run_job(spark, config, start, names):
+    """Run the queries of a job to the end, then a row per stored table: rows and distinct keys."""
+    with few_partitions(spark):
+        for query_ in start():
+            query_.awaitTermination()
     found = None
     for name in names:
         view = tables.current_view(spark, jobs.table_of(config, name))
@@ -382,9 +390,9 @@ def k6(spark, sf_dir):
     written(spark, sf_dir, f"{folder}/b", fixtures.flight_info_messages)
     written(spark, sf_dir, f"{folder}/c", fixtures.flight_track_messages)
     config = job_config(spark, folder)
-    queries = jobs.run_flight_job(spark, config, inputs.airports(spark, sf_dir), inputs.places(spark, sf_dir))
+    airports, places = inputs.airports(spark, sf_dir), inputs.places(spark, sf_dir)
     names = ["aircrafts_by_icao24", "aircraftstates_by_icao24", "aircrafts_by_cell_minute", "departures_by_country_hour"]
-    return run_job(spark, config, queries, names)
+    return run_job(spark, config, lambda: jobs.run_flight_job(spark, config, airports, places), names)
 
 
 @query(
@@ -405,7 +413,7 @@ def k7(spark, sf_dir):
     written(spark, sf_dir, f"{folder}/c", fixtures.sigmet_messages)
     config = job_config(spark, folder)
     names = ["metar_latest_by_station", "metar_history_by_station", "sigmet_by_validtime", "taf_by_station"]
-    return run_job(spark, config, jobs.run_weather_job(spark, config), names)
+    return run_job(spark, config, lambda: jobs.run_weather_job(spark, config), names)
 
 
 @query("k4_console_sink", f"SELECT count(*) AS row_count FROM {SIGMET}")
