@@ -181,8 +181,10 @@ def place_index(spots: DataFrame, most: int = MOST_CANDIDATES) -> DataFrame:
     stalled = F.when(much_left & (F.col("inside") == 0), F.col("stalled") + 1).otherwise(0)
     done = single | (F.col("n") <= F.lit(most)) | (F.col("now_stalled") >= MOST_STALLED) | (F.col("level") == FINEST_LEVEL)
     key = F.col("row") * F.floor(360 / F.col("size")) + F.col("column") + F.col("level") * F.lit(KEY_STEP).cast("long")
+    tasks = spots.sparkSession.sparkContext.defaultParallelism
     while True:
-        kept = staged(_pruned(pairs), "places")
+        # Few rows, much work for each: without this a small file would be one task.
+        kept = staged(_pruned(pairs.repartition(tasks)), "places")
         stats = kept.groupBy("row", "column").agg(
             F.count("*").alias("n"),
             F.min("country").alias("least"),
