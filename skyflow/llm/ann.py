@@ -23,7 +23,7 @@ PROJECTIONS = 96
 THRESHOLD = 0.85
 #: Half-width of the first windows on unit vectors, and the factor by which windows widen.
 FIRST_WIDTH, WIDER = 0.7, 1.15
-#: Windows stop to widen when so many vectors, and so large a share of the block, are verified.
+#: Windows stop to widen when so many ids, and so large a share of the block's ids, are verified.
 LEAST_VERIFIED, SHARE_VERIFIED = 200, 0.08
 SEED = 20
 
@@ -36,6 +36,7 @@ class CollisionIndex:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
+        self.different_ids, self.id_numbers = np.unique(ids, return_inverse=True)
         self.norms = np.sqrt((vectors * vectors).sum(axis=1))
         rng = np.random.default_rng(SEED)
         self.directions = rng.standard_normal((vectors.shape[1], PROJECTIONS))
@@ -49,7 +50,6 @@ class CollisionIndex:
     def candidates(self, query: np.ndarray) -> np.ndarray:
         """Rows that collide with a unit vector in enough windows."""
         size, needed = len(self.ids), int(np.ceil(THRESHOLD * PROJECTIONS))
-        enough = min(size, max(LEAST_VERIFIED, int(SHARE_VERIFIED * size)))
         at, starts = query @ self.directions + self.offsets, np.arange(PROJECTIONS) * size
         width = FIRST_WIDTH
         while True:
@@ -58,18 +58,31 @@ class CollisionIndex:
             # A rank is in the window exactly if its distance to the window's start is under the length.
             inside = self.ranks - low.astype(self.ranks.dtype)[:, None] < (high - low).astype(self.ranks.dtype)[:, None]
             found = np.flatnonzero(inside.view(np.uint8).sum(axis=0, dtype=np.uint16) >= needed)
-            if len(found) >= enough:
+            if self._enough(found, self.id_numbers, len(self.different_ids)):
                 return found
             width *= WIDER
 
+    @staticmethod
+    def _enough(found: np.ndarray, numbers: np.ndarray, different: int) -> bool:
+        """Whether rows have enough of the ``different`` values that ``numbers`` tells apart."""
+        wanted = min(different, max(LEAST_VERIFIED, int(SHARE_VERIFIED * different)))
+        if len(found) < wanted:
+            return False
+        seen = np.zeros(different, bool)
+        seen[numbers[found]] = True
+        return np.count_nonzero(seen) >= wanted
+
     def search(self, query_id: int, query: np.ndarray, nearest: int) -> list[tuple[int, float]]:
-        """(id, cosine) of the nearest vectors verified, without rows of the query's own id."""
+        """(id, cosine) of the nearest ids verified, each by its best row, without the query's own id."""
         norm = np.sqrt((query * query).sum())
         rows = self.candidates(query / norm)
         rows = rows[self.ids[rows] != query_id]
         # Summed row by row, so equal vectors have equal scores.
         scores = (self.vectors[rows] * query).sum(axis=1) / (self.norms[rows] * norm)
-        best = np.lexsort((self.ids[rows], -scores))[:nearest]
+        order = np.lexsort((self.ids[rows], -scores))
+        # The first row of each id is its best.
+        first = np.unique(self.ids[rows[order]], return_index=True)[1]
+        best = order[np.sort(first)[:nearest]]
         return list(zip(self.ids[rows[best]].tolist(), scores[best].tolist(), strict=True))
 
 

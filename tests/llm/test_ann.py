@@ -61,3 +61,21 @@ def test_windows_count_collisions():
     while ((distance <= width).sum(axis=1) >= needed).sum() < ann.LEAST_VERIFIED:
         width *= ann.WIDER
     assert rows.tolist() == np.flatnonzero((distance <= width).sum(axis=1) >= needed).tolist()
+
+
+def test_repeated_rows_take_one_place(spark, rows):
+    data = [(0, [1.0, 0.0]), *[(1, [1.0, 0.0])] * 10, *[(i, [1.0, 0.1 * i]) for i in range(2, 8)]]
+    vectors = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    found = rows(ann.nearest_neighbours(vectors, F.col("vec_id") == 0))
+    assert [r[:3] for r in found] == [(0, n, n) for n in range(1, 6)]
+    twice = rows(ann.nearest_neighbours(vectors.union(vectors), F.col("vec_id") == 0))
+    assert twice == found
+
+
+def test_copies_of_a_row_do_not_end_the_search():
+    rng = np.random.default_rng(2)
+    vectors = rng.standard_normal((1000, 16))
+    hot = vectors[0] + 0.01 * rng.standard_normal((400, 16))
+    index = ann.CollisionIndex(np.concatenate([np.arange(1000), np.full(400, 1000)]), np.concatenate([vectors, hot]))
+    found = index.search(0, vectors[0], 5)
+    assert found[0][0] == 1000 and len({i for i, _ in found}) == 5
