@@ -1,12 +1,14 @@
 """Removal of repeated passages with suffix trees of prefix groups.
 
-Documents are dealt to shards. A suffix of a document matters only down to ``WINDOW`` words, and only
-if some other document has the same window there; two filters, both exact, keep other suffixes out:
-copies of a whole text are settled by its digest, and a window is passed on only if the smallest hash
-among its shorter runs of words, its anchor, occurs in another document too. What is left is split by
-prefixes of different lengths into groups of like size. A group's suffixes in order, with the lengths
-of their common prefixes, are its suffix tree: runs of neighbours that share ``WINDOW`` words or more
-are its deep internal nodes, the repeats. Each node's smallest document goes back to the shards.
+Documents are dealt to shards, by id and text; many copies of a row go there as a few that stand
+for them, and rows without id need no shard. A suffix of a document matters only down to ``WINDOW``
+words, and only if some other document has the same window there; two filters, both exact, keep
+other suffixes out: copies of a whole text are settled by its digest, and a window is passed on
+only if the smallest hash among its shorter runs of words, its anchor, occurs in another document
+too. What is left is split by prefixes of different lengths into groups of like size. A group's
+suffixes in order, with the lengths of their common prefixes, are its suffix tree: runs of
+neighbours that share ``WINDOW`` words or more are its deep internal nodes, the repeats. Each
+node's smallest document goes back to the shards.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ WINDOW = 13
 ANCHOR = 7
 #: Bytes of text of a shard, on average.
 SHARD_BYTES = 8 * 1024 * 1024
+#: Bytes a row has besides its text, when copies of a row are weighed.
+ROW_BYTES = 64
 #: Bytes of text whose suffixes, or anchors, make up a group on average; few of them get past the filters.
 GROUP_BYTES = 64 * 1024 * 1024
 #: Documents whose suffixes show where to split; bounds the work on the driver, decides nothing else.
@@ -295,7 +299,48 @@ def _clean_rows(texts: pa.Table, known: pa.Table) -> pa.Table:
             words = [words[j] for j in np.flatnonzero(~gone).tolist()]
         kept.append(b" ".join(words).decode())
     counts = pa.array([len(words) for words in shard.words], pa.int64())
-    return pa.table([texts["doc_id"], counts, pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+    columns = [texts["doc_id"], counts, pa.array(removed, pa.int64()), pa.array(kept, pa.string()), texts["times"]]
+    return pa.table(columns, ["doc_id", "n_words", "n_removed", "kept", "times"])
+
+
+def _untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Result rows of documents that lose nothing."""
+    for batch in common.slices(batches):
+        words = [data.split() for data in common.as_bytes(batch["text"])]
+        counts, kept = [len(ws) for ws in words], [b" ".join(ws).decode() for ws in words]
+        columns = [batch["doc_id"], pa.array(counts, pa.int64()), pa.array([0] * len(words), pa.int64()), pa.array(kept, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept"])
+
+
+def _merged_copies(texts: DataFrame) -> tuple[DataFrame, bool]:
+    """``texts`` with columns times and part, and whether rows were merged.
+
+    Copies of a row, of one id and text, that would weigh more than a shard become as many rows as
+    they would fill shards; each has a part number and stands for ``times`` copies.
+    """
+    weight = F.count("*") * (F.max(F.octet_length("text")) + ROW_BYTES)
+    sizes = texts.groupBy("doc_id", "digest").agg(F.count("*").alias("n"), weight.alias("weight"))
+    # Bounded: each weighs more than a shard.
+    hot = sizes.filter((F.col("n") > 1) & (F.col("weight") > SHARD_BYTES)).collect()
+    alone = texts.select("doc_id", "text", "digest", F.lit(1).cast("long").alias("times"), F.lit(0).cast("long").alias("part"))
+    if not hot:
+        return alone, False
+    parts = [(r["doc_id"], bytes(r["digest"]), r["n"], min(r["n"], 1 + r["weight"] // SHARD_BYTES)) for r in hot]
+    known = F.broadcast(texts.sparkSession.createDataFrame(parts, "doc_id long, digest binary, n long, parts long"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            keys = [*zip(batch["doc_id"].to_pylist(), batch["digest"].to_pylist(), strict=True)]
+            fresh = [i for i, key in enumerate(keys) if not (key in seen or seen.add(key))]
+            yield batch.take(pa.array(fresh, pa.int64()))
+
+    copies = texts.join(known, ["doc_id", "digest"], "left_semi").select("doc_id", "text", "digest")
+    once = copies.mapInArrow(run, "doc_id long, text string, digest binary").groupBy("doc_id", "digest").agg(F.min("text").alias("text"))
+    dealt = once.join(known, ["doc_id", "digest"]).withColumn("part", F.explode(F.sequence(F.lit(1).cast("long"), "parts")))
+    times = F.expr("n div parts + if(part <= n % parts, 1, 0)").alias("times")
+    rest = alone.join(known, ["doc_id", "digest"], "left_anti").select(*alone.columns)
+    return rest.union(dealt.select("doc_id", "text", "digest", times, "part")), True
 
 
 def _by_group(df: DataFrame, column: str, parts: int, function, schema: str) -> DataFrame:
@@ -322,12 +367,17 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     base = common.id_and_text(docs, id_col, text_col)
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards, groups = 12 + total // SHARD_BYTES, 12 + total // GROUP_BYTES
-    shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard")
-    texts = base.select("doc_id", "text", F.unhex(F.md5("text")).alias("digest"), shard)
+    # Rows without id take no part in windows.
+    nameless = base.filter("doc_id IS NULL").mapInArrow(common.releasing(_untouched), "doc_id long, n_words long, n_removed long, kept string")
+    named = base.filter("doc_id IS NOT NULL").select("doc_id", "text", F.unhex(F.md5("text")).alias("digest"))
+    texts, merged = _merged_copies(named)
+    # Neither the rows of one id nor those of one text make a shard.
+    shard = F.pmod(F.xxhash64("doc_id", "digest", "part"), F.lit(shards)).cast("int").alias("shard")
+    texts = texts.select("doc_id", "text", "digest", "times", "part", shard)
     # One exchange of the texts, which the three passes over them share.
     dealt = texts.repartition(shards, "shard")
 
-    firsts = texts.filter("doc_id IS NOT NULL").groupBy("digest", "shard").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+    firsts = texts.groupBy("digest", "shard").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     copied = firsts.groupBy("digest").agg(F.min("least").alias("first"), F.sum("n").alias("n")).filter("n > 1")
     copies = firsts.drop("n").join(copied, "digest").select(
         "shard", F.lit(0).alias("kind"), F.col("digest").alias("keys"), F.lit(None).cast("binary").alias("ids"), "first"
@@ -348,12 +398,16 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         "group int, shard int, symbols binary, marks binary, ids binary, several binary",
     )
     repeats = _by_group(suffixes, "group", len(begins), _repeats, ANSWER)
-    return passed(repeats.union(copies), _clean_rows, "doc_id long, n_words long, n_removed long, kept string")
+    cleaned = passed(repeats.union(copies), _clean_rows, "doc_id long, n_words long, n_removed long, kept string, times long")
+    if merged:
+        cleaned = cleaned.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("copy")
+    return cleaned.drop("times").union(nameless)
 
 
 def _sampled_prefixes(texts: DataFrame, groups: int) -> np.ndarray:
     """Where prefix groups begin, from the suffixes of ``SAMPLE_DOCS`` documents."""
-    ids = texts.select("doc_id").filter("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    texts = texts.filter("part <= 1")
+    ids = texts.select("doc_id", "digest").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "digest").limit(SAMPLE_DOCS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
@@ -363,7 +417,7 @@ def _sampled_prefixes(texts: DataFrame, groups: int) -> np.ndarray:
             keys = _prefix_keys(_symbols(shard.hashes, starts[:: 1 + len(starts) // 1000]))
             yield pa.RecordBatch.from_arrays([pa.array([keys.astype("<u8").tobytes()], pa.binary())], ["keys"])
 
-    rows = texts.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(run, "keys binary").collect()
+    rows = texts.join(F.broadcast(ids), ["doc_id", "digest"], "left_semi").mapInArrow(run, "keys binary").collect()
     keys = [np.frombuffer(row["keys"], "<u8") for row in rows]
     return split_prefixes(np.concatenate(keys) if keys else np.zeros(0, np.uint64), groups)
 

@@ -84,3 +84,21 @@ def test_deep_nodes_are_runs_of_equal_windows():
     order, begins = substrings.deep_nodes(symbols, marks)
     groups = np.split(order, begins[1:])
     assert sorted(sorted(g.tolist()) for g in groups if len(g) > 1) == [[i, 100 + i] for i in range(50)]
+
+
+def test_hot_ids_do_not_fill_a_shard(spark, rows, monkeypatch):
+    monkeypatch.setattr(substrings, "SHARD_BYTES", 10_000)
+    clean = substrings._clean_rows
+
+    def bounded(texts, known):
+        assert texts.num_rows <= 60, texts.num_rows
+        return clean(texts, known)
+
+    monkeypatch.setattr(substrings, "_clean_rows", bounded)
+    rng = random.Random(5)
+    text = lambda n: " ".join(rng.choice("abcdefgh") * 3 for _ in range(n))
+    shared, same = text(20), text(60)
+    data = [(None, shared + " " + text(40)) for _ in range(300)] + [(7, shared + " " + text(40)) for _ in range(300)]
+    data += [(8, same)] * 307 + [(9, same + " " + shared), (5, shared)] + [(None, "x  y")] * 200
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    assert rows(substrings.report(docs)) == brute(data)
