@@ -23,7 +23,7 @@ PROJECTIONS = 96
 THRESHOLD = 0.85
 #: Half-width of the first windows on unit vectors, and the factor by which windows widen.
 FIRST_WIDTH, WIDER = 0.7, 1.15
-#: Windows stop to widen when so many ids, and so large a share of the block's ids, are verified.
+#: Windows stop to widen when so many ids and different vectors, and so large a share of the block's, are verified.
 LEAST_VERIFIED, SHARE_VERIFIED = 200, 0.08
 SEED = 20
 
@@ -41,6 +41,11 @@ class CollisionIndex:
         rng = np.random.default_rng(SEED)
         self.directions = rng.standard_normal((vectors.shape[1], PROJECTIONS))
         projected = ((vectors / self.norms[:, None]) @ self.directions).T
+        # Copies of a vector, scaled or not, collide together; a few projections tell vectors apart.
+        apart = np.round(projected[:4], 9) + 0.0
+        _, numbers = np.unique(apart, axis=1, return_inverse=True)
+        self.vector_numbers = numbers.reshape(-1)
+        self.different_vectors = int(self.vector_numbers.max()) + 1
         order = np.argsort(projected, axis=1, kind="stable")
         self.offsets = np.arange(PROJECTIONS) * self.GAP
         self.sorted = (np.take_along_axis(projected, order, axis=1) + self.offsets[:, None]).ravel()
@@ -58,7 +63,9 @@ class CollisionIndex:
             # A rank is in the window exactly if its distance to the window's start is under the length.
             inside = self.ranks - low.astype(self.ranks.dtype)[:, None] < (high - low).astype(self.ranks.dtype)[:, None]
             found = np.flatnonzero(inside.view(np.uint8).sum(axis=0, dtype=np.uint16) >= needed)
-            if self._enough(found, self.id_numbers, len(self.different_ids)):
+            if self._enough(found, self.id_numbers, len(self.different_ids)) and self._enough(
+                found, self.vector_numbers, self.different_vectors
+            ):
                 return found
             width *= WIDER
 

@@ -79,3 +79,21 @@ def test_copies_of_a_row_do_not_end_the_search():
     index = ann.CollisionIndex(np.concatenate([np.arange(1000), np.full(400, 1000)]), np.concatenate([vectors, hot]))
     found = index.search(0, vectors[0], 5)
     assert found[0][0] == 1000 and len({i for i, _ in found}) == 5
+
+
+def hot_recall():
+    """Recall of queries near a vector that a third of the rows have, with vectors a little nearer than it."""
+    rng, recalls = np.random.default_rng(3), []
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    for _ in range(20):
+        query, noise = unit(rng.standard_normal(64)), rng.standard_normal((21, 64))
+        around = unit(noise - np.outer(noise @ query, query))
+        hot, near = unit(query + 0.5 * around[0]), unit(query + 0.49 * around[1:])
+        vectors = np.concatenate([unit(rng.standard_normal((2980, 64))), near, np.tile(hot, (1500, 1))])
+        found = ann.CollisionIndex(np.arange(len(vectors)), vectors).search(-1, query, len(near))
+        recalls.append(len({i for i, _ in found} & {*range(2980, 3000)}) / len(near))
+    return float(np.mean(recalls))
+
+
+def test_recall_near_a_hot_vector():
+    assert hot_recall() >= 0.95
