@@ -28,6 +28,15 @@ LEAST_VERIFIED, SHARE_VERIFIED = 200, 0.08
 SEED = 20
 
 
+def scaled(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors divided by powers of two so that their largest components are near 1, and the exponents.
+
+    No square is lost then. Cosines stay the same to the last bit where they could be computed before.
+    """
+    _, exponents = np.frexp(np.abs(vectors).max(axis=-1))
+    return np.ldexp(vectors, -exponents[..., None]), exponents
+
+
 class CollisionIndex:
     """The sorted projections of a block of vectors, and the rank each vector has in them."""
 
@@ -35,12 +44,15 @@ class CollisionIndex:
     GAP = 1e4
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        vectors, exponents = scaled(vectors)
         self.ids, self.vectors = ids, vectors
         self.different_ids, self.id_numbers = np.unique(ids, return_inverse=True)
-        self.norms = np.sqrt((vectors * vectors).sum(axis=1))
+        self.lengths = np.sqrt((vectors * vectors).sum(axis=1))
+        #: Of the vectors as they were given; infinite or zero where a double cannot hold it.
+        self.norms = np.ldexp(self.lengths, exponents)
         rng = np.random.default_rng(SEED)
         self.directions = rng.standard_normal((vectors.shape[1], PROJECTIONS))
-        projected = ((vectors / self.norms[:, None]) @ self.directions).T
+        projected = ((vectors / self.lengths[:, None]) @ self.directions).T
         # Copies of a vector, scaled or not, collide together; a few projections tell vectors apart.
         apart = np.round(projected[:4], 9) + 0.0
         _, numbers = np.unique(apart, axis=1, return_inverse=True)
@@ -81,11 +93,12 @@ class CollisionIndex:
 
     def search(self, query_id: int, query: np.ndarray, nearest: int) -> list[tuple[int, float]]:
         """(id, cosine) of the nearest ids verified, each by its best row, without the query's own id."""
+        query, _ = scaled(query)
         norm = np.sqrt((query * query).sum())
         rows = self.candidates(query / norm)
         rows = rows[self.ids[rows] != query_id]
         # Summed row by row, so equal vectors have equal scores.
-        scores = (self.vectors[rows] * query).sum(axis=1) / (self.norms[rows] * norm)
+        scores = (self.vectors[rows] * query).sum(axis=1) / (self.lengths[rows] * norm)
         order = np.lexsort((self.ids[rows], -scores))
         # The first row of each id is its best.
         first = np.unique(self.ids[rows[order]], return_index=True)[1]

@@ -97,3 +97,14 @@ def hot_recall():
 
 def test_recall_near_a_hot_vector():
     assert hot_recall() >= 0.95
+
+
+def test_tiny_and_huge_vectors(spark, rows):
+    data = [(i, [np.cos(i / 10), np.sin(i / 10)]) for i in range(12)]
+    scale = {0: 1e300, 2: 1e-300, 3: 5e-324, 5: 1e200, 7: 1e-170}
+    sized = [(i, [float(x * scale.get(i, 1.0)) for x in v]) for i, v in data if i != 3] + [(3, [5e-324, 0.0])]
+    vectors = spark.createDataFrame(sized, "vec_id long, embedding array<double>")
+    found = rows(ann.nearest_neighbours(vectors, F.col("vec_id").isin(0, 7)))
+    assert [r[2] for r in found] == [3, 1, 2, 4, 5, 6, 8, 5, 9, 4]
+    wanted = [1.0, *np.cos([0.1, 0.2, 0.4, 0.5, 0.1, 0.1, 0.2, 0.2, 0.3])]
+    assert np.allclose([r[3] for r in found], wanted, atol=1e-12)
