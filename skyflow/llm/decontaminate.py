@@ -25,6 +25,8 @@ from skyflow.llm import common
 WINDOW = 10
 SHARD_WORDS = 2_000_000
 SAMPLE_STEP = 16
+#: Pairs of a document and an item made at a time, with the items of one window more.
+EXPANDED = 2_000_000
 #: Benchmark text, in bytes, that is searched for in one pass; a larger benchmark takes several.
 BLOCK_BYTES = 16 * 1024 * 1024
 
@@ -175,6 +177,22 @@ def _expand(which: np.ndarray, bounds: np.ndarray, owners: np.ndarray) -> tuple[
     return at, owners[bounds[which][at] + offset]
 
 
+def _owned(docs: np.ndarray, which: np.ndarray, bounds: np.ndarray, owners: np.ndarray, names: int) -> list[np.ndarray]:
+    """Documents and the items of their windows, as ``document * names + item``.
+
+    A document counts once for a window, however often it has it; equal pairs are dropped part by part.
+    """
+    patterns = len(bounds) - 1
+    docs, which = np.divmod(np.unique(docs * patterns + which), patterns)
+    sums = np.cumsum(bounds[which + 1] - bounds[which])
+    cuts = [0, *(np.flatnonzero(np.diff(sums // EXPANDED)) + 1).tolist(), len(which)]
+    found = []
+    for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+        at, owner = _expand(which[i:j], bounds, owners)
+        found.append(np.unique(docs[i:j][at] * names + owner))
+    return found
+
+
 def search_shard(windows: Windows, docs: list[np.ndarray]) -> list[tuple[list[tuple[int, int]], list[str]]]:
     """Per document the merged spans of hit words and the items found."""
     # A separator after each document, so that no window crosses documents.
@@ -188,8 +206,7 @@ def search_shard(windows: Windows, docs: list[np.ndarray]) -> list[tuple[list[tu
     for length, words, which, (bounds, owners) in windows.occurrences(ids):
         np.add.at(cover, words, 1)
         np.add.at(cover, words + length, -1)
-        at, owner = _expand(which, bounds, owners)
-        found.append(np.unique(np.searchsorted(ends, words[at], side="right") * len(windows.names) + owner))
+        found += _owned(np.searchsorted(ends, words, side="right"), which, bounds, owners, len(windows.names))
     hit = np.concatenate([[0], (np.cumsum(cover)[:-1] > 0).astype(np.int8), [0]])
     edges = np.flatnonzero(hit[1:] != hit[:-1])
     spans: list[list[tuple[int, int]]] = [[] for _ in docs]

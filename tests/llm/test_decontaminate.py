@@ -114,3 +114,23 @@ def test_index_counts_and_places():
         for p, a, b in zip(patterns, low, high, strict=True):
             wanted = [i for i in range(len(symbols) - length + 1) if (symbols[i : i + length] == p).all()]
             assert sorted(index.locate(np.arange(a, b)).tolist()) == wanted
+
+
+def test_occurrences_in_a_document_are_not_multiplied_by_items(monkeypatch):
+    expand, sizes = decontaminate._expand, []
+
+    def counted(*args):
+        at, owner = expand(*args)
+        sizes.append(len(at))
+        return at, owner
+
+    monkeypatch.setattr(decontaminate, "_expand", counted)
+    template = " ".join(f"w{i}" for i in range(10))
+    windows = decontaminate.Windows([(f"i{n:03}", f"{template} own{n}".encode()) for n in range(100)], 10)
+    ids = np.array([windows.symbols[w] for w in template.encode().split()], np.int32)
+    found = decontaminate.search_shard(windows, [np.tile(ids, 200), ids[:9], ids])
+    names = [f"i{n:03}" for n in range(100)]
+    assert found == [([(0, 2000)], names), ([], []), ([(0, 10)], names)]
+    assert sum(sizes) == 200
+    monkeypatch.setattr(decontaminate, "EXPANDED", 50)
+    assert decontaminate.search_shard(windows, [np.tile(ids, 200), ids[:9], ids]) == found
