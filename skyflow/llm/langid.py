@@ -28,8 +28,8 @@ ROUNDS = 4
 SMOOTHING = 0.01
 #: Probability of a character that is no piece.
 UNKNOWN = 1e-7
-#: Letters of a piece or word; longer words are taken in parts.
-LONGEST_PIECE, LONGEST_WORD = 10, 24
+#: Letters of a word; longer ones are taken in parts, so no longer piece is ever used.
+LONGEST_WORD = 24
 
 FOLDS, HELD_OUT = 5, 0
 UNDETERMINED = "und"
@@ -57,6 +57,7 @@ class Pieces:
 
     def __init__(self, pieces: list[str]):
         self.size = len(pieces)
+        self.longest = max(map(len, pieces), default=1)
         hashes = np.array([self._hash(p) for p in pieces], np.uint64)
         order = np.argsort(hashes, kind="stable")
         self.hashes, self.numbers = hashes[order], order.astype(np.int32)
@@ -91,7 +92,7 @@ class Pieces:
             which = np.flatnonzero(lengths == length)
             codes = np.array([marked[i] for i in which.tolist()], f"<U{length}").view(np.uint32).reshape(len(which), length)
             codes = codes.astype(np.uint64) + np.uint64(1)
-            longest = min(length, LONGEST_PIECE)
+            longest = min(length, self.longest)
             pieces = np.full((len(which), length, longest), self.size, np.int32)
             for start in range(length):
                 value = np.zeros(len(which), np.uint64)
@@ -230,7 +231,7 @@ def read_vocabulary(path: str) -> list[str]:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = (model.id_to_piece(i).lower() for i in range(model.get_piece_size()))
     fits = lambda p: p.removeprefix(START) == "" or p.removeprefix(START).isalpha()
-    return sorted({p for p in pieces if p and len(p) <= LONGEST_PIECE and fits(p)})
+    return sorted({p for p in pieces if p and len(p.removeprefix(START)) <= LONGEST_WORD and fits(p)})
 
 
 def fit(docs: DataFrame, vocabulary: list[str], *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:

@@ -68,3 +68,18 @@ def test_held_out(spark):
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= r.score <= 1 for i, r in found.items())
     right = [r.lang_pred == lang[i] for i, r in found.items() if r.held_out]
     assert np.mean(right) >= 0.9
+
+
+def test_long_pieces_are_used():
+    import public_tokenizers
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
+    vocabulary = langid.read_vocabulary(path)
+    assert {p for p in pieces if p.removeprefix(langid.START).isalpha()} <= {*vocabulary}
+    number = max(range(len(vocabulary)), key=lambda i: len(vocabulary[i]))
+    longest = vocabulary[number]
+    (_, lattice), = langid.Pieces(vocabulary).lattices([longest.removeprefix(langid.START)])
+    assert lattice[0, int(not longest.startswith(langid.START)), len(longest) - 1] == number
