@@ -71,6 +71,33 @@ def as_text(column: pa.Array) -> list[str]:
     return pc.fill_null(column, "").to_pylist()
 
 
+#: A key with more than one in so many of all rows is hot; there are no more such keys.
+HOT_SHARE = 1000
+#: Values that stand in for the keys of rows already looked up.
+SPREAD = 4096
+
+
+def hot_lookup(rows: DataFrame, lookup: DataFrame, key: str, columns: dict[str, str], count: str) -> DataFrame:
+    """Left join of ``rows`` with ``lookup``, which is unique on the string ``key`` and has in ``count`` how many rows a key has.
+
+    Keys with more than one in ``HOT_SHARE`` of the counted rows, at most ``HOT_SHARE`` of them, are sent to every task;
+    their rows then go to the shuffle of all others under stand-in keys, spread evenly. ``columns`` maps columns of
+    ``lookup`` to their names in the result.
+    """
+    total = lookup.agg(F.coalesce(F.sum(count), F.lit(0)).alias("total")).first()["total"]
+    found = F.struct(*[F.col(source).alias(name) for source, name in columns.items()])
+    is_hot = F.col(count) * HOT_SHARE > F.lit(total)
+    hot = lookup.filter(is_hot).select(F.col(key).alias("_hot_key"), found.alias("_hot"))
+    rest = lookup.filter(~is_hot).select(F.col(key).alias("_rest_key"), found.alias("_rest"))
+    marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+    # The stand-in hangs on the row's place, so that equal rows are spread too.
+    stand_in = F.concat(F.lit("#"), F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)))
+    keyed = marked.withColumn("_key", F.when(F.col("_hot_key").isNull(), F.col(key)).otherwise(stand_in))
+    joined = keyed.join(rest, F.col("_key") == F.col("_rest_key"), "left")
+    values = [F.coalesce(f"_hot.{name}", f"_rest.{name}").alias(name) for name in columns.values()]
+    return joined.select(*[F.col(f"`{name}`") for name in rows.columns], *values)
+
+
 def fold(column, parts: int):
     """CRC32 of a number's decimal text modulo ``parts``, which assigns rows to folds."""
     return F.pmod(F.crc32(column.cast("string")), F.lit(parts))

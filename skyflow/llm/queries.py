@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyflow.llm import ann, bpe, chat, decontaminate, langid, licenses, pii, simhash, substrings, toxicity
+from skyflow.llm import ann, bpe, chat, decontaminate, langid, licenses, pii, resampling, simhash, substrings, toxicity, warc, whitening
 from skyflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,3 +158,68 @@ FROM words LEFT JOIN kept USING (doc_id)
 @query("op3_repeats", REPEATS_SQL)
 def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(table(spark, sf_dir, "documents"))
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+ARCHIVES_SQL = """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), firsts AS (SELECT payload_digest, min(page_id) AS least FROM p WHERE payload_bytes >= 100 GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN least IS NOT NULL AND page_id IS DISTINCT FROM least THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM least THEN least END AS refers_to
+FROM p LEFT JOIN firsts USING (payload_digest)
+"""
+
+
+@query("op12_warc", ARCHIVES_SQL)
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
+# The table of the checksum is made from its polynomial, and applied to the bytes of every distinct word.
+RESAMPLE_SQL = rf"""
+WITH codes AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS codes
+), texts AS (
+  SELECT doc_id, row_number() OVER () AS r, {_SPLIT} AS w FROM documents
+), doc_words AS (SELECT r, unnest(w) AS word FROM texts),
+target_words AS (SELECT unnest({_SPLIT}) AS word FROM benchmark),
+vocabulary AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM doc_words UNION SELECT word FROM target_words) v),
+buckets AS (
+  SELECT word, xor(4294967295, list_reduce(
+    [4294967295] || list_transform(range(length(h) // 2), lambda i:
+      instr('0123456789ABCDEF', h[2 * i + 1]) * 16 + instr('0123456789ABCDEF', h[2 * i + 2]) - 17),
+    lambda c, b: xor(c // 256, codes[xor(c, b) % 256 + 1]))) % 10000 AS bucket
+  FROM vocabulary, codes
+), s AS (SELECT bucket, count(*) AS s FROM doc_words JOIN buckets USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM target_words JOIN buckets USING (word) GROUP BY bucket),
+sums AS (SELECT (SELECT coalesce(sum(s), 0) FROM s) AS all_s, (SELECT coalesce(sum(t), 0) FROM t) AS all_t),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000)::DOUBLE)
+    / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket), sums
+), weighed AS (
+  SELECT r, count(*) AS n, sum(gain) AS weight FROM doc_words JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY r
+), scored AS (
+  SELECT doc_id, r, CAST(coalesce(n, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((
+      ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5)::DOUBLE / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM texts LEFT JOIN weighed USING (r)
+), ranks AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, count(*) OVER () * 10 // 100 AS wanted
+  FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= wanted THEN rank END AS rank FROM scored LEFT JOIN ranks USING (r)
+"""
+
+
+@query("op13_resampling", RESAMPLE_SQL)
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
