@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyflow.functions.geo import (
-    cell_id,
     grid_column,
     grid_row,
+    interleaved,
     is_position,
     squared_chord,
     unit_vector,
 )
+from skyflow.plans import staging
 from skyflow.plans.joins import lookup_join, unique_lookup
 from skyflow.plans.staging import staged
 
@@ -29,12 +33,18 @@ FACTOR = 4
 #: A cell with more candidates of different countries is split, until it measures a few metres.
 MOST_CANDIDATES = 8
 FINEST_LEVEL = 10
+FINEST = COARSEST / FACTOR**FINEST_LEVEL
 #: Splits of a cell without places that may leave it more than this share of its candidates.
 MOST_STALLED, STALLED_SHARE = 3, 0.75
+#: Candidates up to which such a cell is done; with more it is split as often again.
+STALLED_CANDIDATES = 64
 #: Room for rounding when a place is compared with a nearer one, in squared chords.
 SLACK = 1e-14
+#: Levels of the cells whose numbers are keys, and leaves up to which a key is not cut further.
+KEY_LEVELS = (2, 4, 6, 8)
+LEAVES_PER_KEY = 64
 #: Part of a lookup key for each level; above every cell number.
-KEY_STEP = 10**16
+KEY_STEP = 1 << 50
 
 
 def country_from_airport(df: DataFrame, column: str, airports: DataFrame, order: str = "id") -> DataFrame:
@@ -63,17 +73,9 @@ def _with_vector(df: DataFrame, lat, lon, prefix: str) -> DataFrame:
     return df.withColumns({f"{prefix}{axis}": value for axis, value in zip("xyz", unit_vector(lat, lon))})
 
 
-def _cell(lat, lon, size: float):
-    return cell_id(grid_row(lat, size), grid_column(lon, size), size)
-
-
-def _size(level: int) -> float:
-    return COARSEST / FACTOR**level
-
-
-def _key(cell, level: int):
-    """Lookup key of a cell; cells of different levels have different keys."""
-    return cell + F.lit(level * KEY_STEP).cast("long")
+def _key(code, level: int):
+    """Lookup key of a finest cell: the number of the cell of ``level`` around it, told apart from other levels."""
+    return F.shiftright(code, 4 * (FINEST_LEVEL - level)) + F.lit(level * KEY_STEP).cast("long")
 
 
 def distinct_places(places: DataFrame) -> DataFrame:
@@ -136,27 +138,31 @@ def _pruned(pairs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class PlaceIndex:
-    """Per cell (``lookup_key``) the places that are nearest to some point of it.
+    """A linear quadtree: leaves as ranges of finest cells in the order of a space-filling curve.
 
-    ``candidates`` is an array of ``id, x, y, z, country``. A cell whose candidates share
-    a country keeps one of them, as every point of it gets the same answer. The cells of
-    ``levels`` cover every position once.
+    ``table`` has a row per leaf and key: ``lookup_key``, the range ``first`` to ``last`` of numbers of finest cells, and
+    ``candidates``, an array of ``id, x, y, z, country`` with the places that are nearest to some point of
+    the leaf. A leaf whose candidates share a country keeps one of them. A position has one number and one key, and is in one
+    leaf of that key. Keys are cells of the first of ``KEY_LEVELS``; those with more than ``LEAVES_PER_KEY`` leaves are
+    in ``crowded`` (level, lookup_key) and cut into cells of the next. ``levels`` are the levels in ``crowded``.
     """
 
     table: DataFrame
+    crowded: DataFrame
     levels: tuple[int, ...]
 
 
-def place_index(spots: DataFrame, most: int = MOST_CANDIDATES) -> DataFrame:
-    """Leaf cells (level, lookup_key, candidates) of the places from ``distinct_places``.
+def place_leaves(spots: DataFrame, scratch: str, most: int = MOST_CANDIDATES) -> DataFrame:
+    """Leaves (first, last, candidates) of the places from ``distinct_places``; the steps are written below ``scratch``.
 
     The search starts with all places as candidates of a few coarse cells. In every cell it drops
     the places that cannot be nearest anywhere in the cell, however far away and however close
     together they are. A cell that still has more than ``most`` candidates of different countries
     is split, and its candidates go on to the finer cells; others are done. So dense regions get
-    small cells, empty ones keep large ones, and no cell keeps all places. A cell is done too if
-    it has no place inside and a few splits rid it of few candidates: it lies on the border
-    of places so close together that finer cells far from them would not tell them apart.
+    small cells, empty ones keep large ones, and no cell keeps all places. A cell without a place inside that
+    ``MOST_STALLED`` splits rid of few candidates is done with up to ``STALLED_CANDIDATES`` too: it lies on the border of
+    places so close together that finer cells far from them would not tell them apart. Twice as many splits end
+    the search whatever is left, as among places closer together than rounding can tell.
     """
     vector = [F.col(f"v{axis}").alias(f"p{axis}") for axis in "xyz"]
     place = ["id", "country", "lat", "lon", "px", "py", "pz"]
@@ -171,79 +177,131 @@ def place_index(spots: DataFrame, most: int = MOST_CANDIDATES) -> DataFrame:
             "stalled": F.lit(0),
         }
     )
-    pairs, leaves = first.select("level", "size", "row", "column", "before", "stalled", *place), []
-    entry = F.struct("id", *[F.col(f"p{axis}").alias(axis) for axis in "xyz"], "country")
+    pairs, levels = first.select("level", "size", "row", "column", "before", "stalled", *place), []
     own_row = F.least(F.floor((F.col("lat") + 90) / F.col("size")), F.floor(180 / F.col("size")) - 1)
     own_column = F.pmod(F.floor((F.col("lon") + 180) / F.col("size")), F.floor(360 / F.col("size")))
     inside = (own_row == F.col("row")) & (own_column == F.col("column"))
-    single = (F.col("least") == F.col("greatest")) & (F.col("nameless") == 0)
-    much_left = F.col("n") > F.col("before") * STALLED_SHARE
-    stalled = F.when(much_left & (F.col("inside") == 0), F.col("stalled") + 1).otherwise(0)
-    done = single | (F.col("n") <= F.lit(most)) | (F.col("now_stalled") >= MOST_STALLED) | (F.col("level") == FINEST_LEVEL)
-    key = F.col("row") * F.floor(360 / F.col("size")) + F.col("column") + F.col("level") * F.lit(KEY_STEP).cast("long")
+    # A cell's candidates lie together after the pruning; beyond memory a window keeps them on disk.
+    cell = Window.partitionBy("row", "column")
+    counts = {
+        "n": F.count("*").over(cell),
+        "places_inside": F.count_if(inside).over(cell),
+        "single": F.coalesce(
+            (F.min("country").over(cell) == F.max("country").over(cell)) & (F.count_if(F.col("country").isNull()).over(cell) == 0),
+            F.lit(False),
+        ),
+    }
+    much_left = F.coalesce(F.col("n") > F.col("before") * STALLED_SHARE, F.lit(False))
+    stalled = F.when(much_left & (F.col("places_inside") == 0), F.col("stalled") + 1).otherwise(0)
+    ends = (F.col("stalled") >= MOST_STALLED) & (F.col("n") <= STALLED_CANDIDATES)
+    ends = ends | (F.col("stalled") >= 2 * MOST_STALLED) | (F.col("level") == FINEST_LEVEL)
+    done = F.col("single") | (F.col("n") <= F.lit(most)) | ends
     tasks = spots.sparkSession.sparkContext.defaultParallelism
     while True:
         # Few rows, much work for each: without this a small file would be one task.
-        kept = staged(_pruned(pairs.repartition(tasks)), "places")
-        stats = kept.groupBy("row", "column").agg(
-            F.count("*").alias("n"),
-            F.min("country").alias("least"),
-            F.max("country").alias("greatest"),
-            F.count_if(F.col("country").isNull()).alias("nameless"),
-            F.first("before").alias("before"),
-            F.first("stalled").alias("stalled"),
-            F.first("level").alias("level"),
-            F.count_if(inside).alias("inside"),
-        ).withColumn("now_stalled", stalled)
-        judged = stats.select(
-            "row", "column", "n", "now_stalled", F.coalesce(single, F.lit(False)).alias("single"), F.coalesce(done, F.lit(False)).alias("done")
-        )
-        parts = kept.join(judged, ["row", "column"]).withColumn("lookup_key", key)
-        ended = parts.filter("done")
-        one = ended.filter("single").groupBy("level", "lookup_key").agg(F.array(F.min_by(entry, "id")).alias("candidates"))
-        several = ended.filter("NOT single").groupBy("level", "lookup_key").agg(F.collect_list(entry).alias("candidates"))
-        leaves += [one, several]
-        split = parts.filter("NOT done").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(FACTOR * FACTOR - 1))))
+        judged = _pruned(pairs.repartition(tasks)).withColumns(counts).withColumn("stalled", stalled).withColumn("done", done)
+        kept = staged(judged, "places", f"{scratch}/level-{len(levels)}")
+        levels.append(kept.filter("done"))
+        split = kept.filter("NOT done").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(FACTOR * FACTOR - 1))))
+        if kept.filter("NOT done").isEmpty():
+            break
         pairs = split.select(
             (F.col("level") + 1).alias("level"),
             (F.col("size") / FACTOR).alias("size"),
             (F.col("row") * FACTOR + F.floor(F.col("part") / FACTOR)).alias("row"),
             (F.col("column") * FACTOR + F.col("part") % FACTOR).alias("column"),
             F.col("n").alias("before"),
-            F.col("now_stalled").alias("stalled"),
+            "stalled",
             *place,
         )
-        if judged.filter("NOT done").isEmpty():
+    # Finest cells along a side of the cell.
+    side = (F.col("size") / F.lit(FINEST)).cast("long")
+    number = interleaved(F.col("row") * side, F.col("column") * side)
+    ended = reduce(DataFrame.union, levels).withColumns({"first": number, "last": number + side * side - 1})
+    entry = F.struct("id", *[F.col(f"p{axis}").alias(axis) for axis in "xyz"], "country")
+    one = ended.filter("single").groupBy("first", "last").agg(F.array(F.min_by(entry, "id")).alias("candidates"))
+    several = ended.filter("NOT single").groupBy("first", "last").agg(F.collect_list(entry).alias("candidates"))
+    return one.union(several)
+
+
+def _keyed(leaves: DataFrame, level: int) -> DataFrame:
+    """A row for every leaf and key of ``level`` that overlap; the leaf's range is cut to the key's."""
+    width = 1 << (4 * (FINEST_LEVEL - level))
+    cell = lambda place: F.shiftright(place, 4 * (FINEST_LEVEL - level))
+    rows = leaves.withColumn("_cell", F.explode(F.sequence(cell("first"), cell("last"))))
+    return rows.select(
+        (F.col("_cell") + F.lit(level * KEY_STEP).cast("long")).alias("lookup_key"),
+        F.greatest("first", F.col("_cell") * width).alias("first"),
+        F.least("last", (F.col("_cell") + 1) * width - 1).alias("last"),
+        "candidates",
+    )
+
+
+def _write_index(spots: DataFrame, folder: str) -> None:
+    """Write the leaves of ``spots`` by key, and the keys that are cut further, below ``folder``."""
+    spark, tables, crowded = spots.sparkSession, [], []
+    scratch = staging.new_folder(spark, "places")
+    left = place_leaves(spots, scratch)
+    for level, finer in zip(KEY_LEVELS, [*KEY_LEVELS[1:], None]):
+        keyed = staged(_keyed(left, level), "place-keys", f"{scratch}/keys-{level}")
+        many = keyed.groupBy("lookup_key").count().filter(F.col("count") > LEAVES_PER_KEY)
+        many = staged(many.select(F.lit(level).alias("level"), "lookup_key"), "place-crowded", f"{scratch}/crowded-{level}")
+        if finer is None or many.isEmpty():
+            tables.append(keyed)
             break
-    found = leaves[0]
-    for leaf in leaves[1:]:
-        found = found.unionByName(leaf)
-    return found
+        tables.append(keyed.join(many, "lookup_key", "left_anti"))
+        crowded.append(many)
+        left = keyed.join(many.select("lookup_key"), "lookup_key", "left_semi")
+    empty = spark.createDataFrame([], "level INT, lookup_key BIGINT")
+    reduce(DataFrame.union, crowded, empty).coalesce(1).write.parquet(f"{folder}/crowded")
+    # Written last: with its marker the index is complete.
+    reduce(DataFrame.union, tables).write.parquet(f"{folder}/leaves")
+    staging.remove(spark, scratch)
 
 
 def build_place_index(places: DataFrame) -> PlaceIndex:
-    """Index of ``places`` (``id, lat, lon, country``), stored in the shared folder for every later use."""
-    table = staged(place_index(distinct_places(places)), "place-index")
-    # At most one row per level.
-    levels = sorted(row["level"] for row in table.select("level").distinct().collect())
-    return PlaceIndex(table.drop("level"), tuple(levels))
+    """Index of ``places`` (``id, lat, lon, country``), stored in the shared folder.
+
+    The folder is named after the content of the places, so the same places are indexed once, and every later call takes what
+    is there. Calls that build the same index at the same time write to folders of their own, of which one is taken.
+    """
+    spark = places.sparkSession
+    row = [F.col(name) for name in ("id", "lat", "lon", "country")]
+    sums = [F.sum(F.xxhash64(*row, F.lit(seed)).cast("decimal(38,0)")) for seed in (1, 2)]
+    content = places.agg(F.count("*"), *sums).first()
+    settings = [KEY_LEVELS, LEAVES_PER_KEY, MOST_CANDIDATES, STALLED_CANDIDATES, MOST_STALLED, STALLED_SHARE]
+    name = f"place-index-{hashlib.sha256(repr([tuple(content), settings]).encode()).hexdigest()[:32]}"
+    folder = f"{staging.shared_folder(spark)}/{name}"
+    done = staging.committed(spark, f"{folder}/*/leaves")
+    if not done:
+        _write_index(distinct_places(places), f"{folder}/{uuid.uuid4().hex}")
+        done = staging.committed(spark, f"{folder}/*/leaves")
+    path = sorted(done)[0][0].rsplit("/", 1)[0]
+    crowded = spark.read.parquet(f"{path}/crowded")
+    levels = sorted(r["level"] for r in crowded.select("level").distinct().collect())  # of KEY_LEVELS
+    return PlaceIndex(spark.read.parquet(f"{path}/leaves"), crowded, tuple(levels))
 
 
 def country_from_position(df: DataFrame, lat: str, lon: str, index: PlaceIndex) -> DataFrame:
     """``country_code`` of the place nearest to each position, ties to the smallest place id.
 
     Null, NaN or infinite coordinates give ``Unknown``, as does a place without a country.
-    A position is looked up under its cell of every level, of which one is in the index, and
-    compared with that cell's few candidates; no aggregation, so it is the same on a stream.
+    A position is looked up by one key, under which its finest cell lies in the range of one leaf, and compared with that
+    leaf's few candidates. Rows are neither multiplied nor aggregated, so it is the same on a stream. Places that
+    crowd together add a lookup for every level of keys that are cut further.
     """
     y, x = F.col(lat), F.col(lon)
     usable = is_position(y, x)
-    nowhere = F.array(F.lit(None).cast("long"))
-    cells = [_key(_cell(y, x, _size(level)), level) for level in index.levels]
-    keys = F.when(usable, F.array(*cells)).otherwise(nowhere) if cells else nowhere
-    keyed = df.withColumn("_cell", F.explode(keys))
-    found = lookup_join(keyed, F.col("_cell"), index.table, {"candidates": "_candidates"})
-    found = found.filter(F.col("_candidates").isNotNull() | F.col("_cell").isNull())
+    number = F.when(usable, interleaved(grid_row(y, FINEST), grid_column(x, FINEST)))
+    found = df.withColumn("_number", number).withColumn("_cell", _key(F.col("_number"), KEY_LEVELS[0]))
+    for level in index.levels:
+        cut = index.crowded.filter(F.col("level") == level)
+        finer = _key(F.col("_number"), KEY_LEVELS[KEY_LEVELS.index(level) + 1])
+        found = lookup_join(found, F.col("_cell"), cut, {"level": "_crowded"})
+        found = found.withColumn("_cell", F.when(F.col("_crowded").isNull(), F.col("_cell")).otherwise(finer)).drop("_crowded")
+    leaf = {"first": "_first", "last": "_last", "candidates": "_candidates"}
+    within = F.col("_number").between(F.col("_first"), F.col("_last"))
+    found = lookup_join(found, F.col("_cell"), index.table, leaf, also=within)
     found = _with_vector(found, F.when(usable, y), F.when(usable, x), "_v")
     here = _vector("_v")
     nearest = F.array_min(

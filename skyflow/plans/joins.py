@@ -46,10 +46,12 @@ def lookup_join(
     *,
     max_bytes: int | None = None,
     spread: int = DEFAULT_SPREAD,
+    also: Column | None = None,
 ) -> DataFrame:
     """Left join ``facts`` with a table that is unique on ``lookup_key``.
 
-    ``columns`` maps lookup columns to their names in the result. A lookup within the
+    ``columns`` maps lookup columns to their names in the result. ``also`` is a further condition in
+    these names, for a table that is unique on ``lookup_key`` together with it. A lookup within the
     broadcast limit goes to every executor and the facts are not moved. A larger one is
     shuffled: each lookup row is copied ``spread`` times and the facts of one key are split
     over the copies, so a key with a large share of the facts, or the null key, does not
@@ -60,17 +62,16 @@ def lookup_join(
         F.col("lookup_key").alias("_lookup_key"),
         *[F.col(source).alias(name) for source, name in columns.items()],
     )
+    same = F.col("_key") == F.col("_lookup_key")
+    if also is not None:
+        same = same & also
     if estimated_bytes(renamed) <= limit:
         keyed = facts.withColumn("_key", key)
-        joined = keyed.join(F.broadcast(renamed), F.col("_key") == F.col("_lookup_key"), "left")
+        joined = keyed.join(F.broadcast(renamed), same, "left")
     else:
         # The split depends on the row alone, so a task that runs again places it the same.
         part = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in facts.columns]), F.lit(spread))
         keyed = facts.withColumns({"_key": key, "_part": part})
         copies = renamed.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-        joined = keyed.join(
-            copies,
-            (F.col("_key") == F.col("_lookup_key")) & (F.col("_part") == F.col("_copy")),
-            "left",
-        )
+        joined = keyed.join(copies, same & (F.col("_part") == F.col("_copy")), "left")
     return joined.select(*[F.col(f"`{name}`") for name in facts.columns], *columns.values())

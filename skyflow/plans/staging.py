@@ -45,6 +45,21 @@ def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    """Remove a staged table."""
+    """Remove a folder, a staged table or another."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def committed(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """Folders that match ``pattern`` and have a success marker, with the marker's time in seconds."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    statuses = system.globStatus(path) or []
+    return [(s.getPath().getParent().toString(), s.getModificationTime() // 1000) for s in statuses]
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that match ``pattern``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().toString() for s in system.globStatus(path) or [] if s.isDirectory())

@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,9 +44,46 @@ def test_clustered_places(spark):
     points += [(rng.uniform(47, 50), rng.uniform(1, 4)) for _ in range(300)]
     assert countries(spark, spots, points) == [brute_force(*point, spots) for point in points]
     index = p.build_place_index(spark.createDataFrame(spots, "id BIGINT, lat DOUBLE, lon DOUBLE, country STRING"))
-    sizes = [r.n for r in index.table.select(F.size("candidates").alias("n")).collect()]
-    print(len(sizes), index.levels, max(sizes), sum(sizes))
-    assert sum(sizes) < 100 * len(spots) and sum(sizes) < 4 * len(sizes)
+    leaves = index.table.select("lookup_key", "first", "last", F.size("candidates").alias("n")).collect()
+    print(len(leaves), index.levels, max(r.n for r in leaves), sum(r.n for r in leaves))
+    assert sum(r.n for r in leaves) < 100 * len(spots) and sum(r.n for r in leaves) < 4 * len(leaves)
+    assert max(r.n for r in leaves) <= p.STALLED_CANDIDATES
+    # The square degree is one key's worth of cells many times over, so keys there are cut further.
+    assert index.levels and max(Counter(r.lookup_key for r in leaves).values()) <= p.LEAVES_PER_KEY
+
+
+def covered(index):
+    """Number of finest cells in all leaves of keys that are looked up; every cell must be in one."""
+    return sum(r["last"] - r["first"] + 1 for r in index.table.select("first", "last").collect())
+
+
+def test_leaves_cover_the_globe_once(spark):
+    rng = random.Random(9)
+    spots = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180), f"N{i % 40}") for i in range(60)]
+    spots += [(100 + i, rng.uniform(10, 10.2), rng.uniform(20, 20.2), f"N{i % 40}") for i in range(200)]
+    index = p.build_place_index(spark.createDataFrame(spots, "id BIGINT, lat DOUBLE, lon DOUBLE, country STRING"))
+    assert covered(index) == 2**45
+
+
+def test_one_key_per_position(spark):
+    """Positions are neither multiplied nor shuffled, and the index is built once for equal places."""
+    spots = spark.createDataFrame([(1, 0.0, 0.0, "A"), (2, 10.0, 10.0, "B")], "id BIGINT, lat DOUBLE, lon DOUBLE, country STRING")
+    index = p.build_place_index(spots)
+    folder = index.table.inputFiles()[0].rsplit("/", 2)[0]
+    assert p.build_place_index(spots.repartition(3)).table.inputFiles()[0].rsplit("/", 2)[0] == folder
+    assert p.build_place_index(spots.filter("id = 1")).table.inputFiles()[0].rsplit("/", 2)[0] != folder
+    df = spark.range(10).select(F.col("id").cast("double").alias("lat"), F.col("id").cast("double").alias("lon"))
+    plan = p.country_from_position(df, "lat", "lon", index)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("BroadcastHashJoin") == 1 and "hashpartitioning" not in plan
+
+
+def test_large_index_is_shuffled_and_gives_the_same(spark, monkeypatch):
+    rng = random.Random(10)
+    spots = [(i, rng.uniform(10, 12), rng.uniform(20, 22), f"N{i % 40}") for i in range(120)]
+    points = [(rng.uniform(9, 13), rng.uniform(19, 23)) for _ in range(300)] + [(None, 1.0)]
+    small = countries(spark, spots, points)
+    monkeypatch.setattr(joins, "broadcast_limit", lambda df: 0)
+    assert countries(spark, spots, points) == small == [*(brute_force(*point, spots) for point in points[:-1]), "Unknown"]
 
 
 def test_no_places(spark):

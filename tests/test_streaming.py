@@ -127,11 +127,92 @@ def test_keyed_table(spark, tmp_path, rows):
     tables.compact(spark, table)
     tables.vacuum(spark, table)
     assert rows(tables.current_view(spark, table)) == [*expected, ("c", "c1")]
-    assert os.listdir(f"{table.path}/base") == ["through=1"] == os.listdir(f"{table.path}/merged")
+    assert os.listdir(f"{table.path}/state") == ["through=1"] and not os.path.exists(f"{log}/batch_id=2")
     append(2, ("c", 1, "c1"), ("a", 4, "a4"))  # the batch runs again after it was merged
     assert rows(tables.current_view(spark, table)) == [*expected, ("c", "c1")]
     now = int(time.time())
     assert tables.current_view(spark, table, now + 200).count() == 0
+    tables.compact(spark, table, now + 200)
+    tables.vacuum(spark, table)
+    assert rows(tables.current_view(spark, table, now + 200)) == [] and os.listdir(f"{table.path}/base") == []
+    append(4, ("d", 1, "d1"))
+    assert rows(tables.current_view(spark, table)) == [("d", "d1")]
+
+
+def files_of(table):
+    """Data files of the base by bucket and slot."""
+    found = {}
+    for folder, _, names in os.walk(f"{table.path}/base"):
+        if "slot=" in folder:
+            place = tuple(int(x.split("=")[1]) for x in folder.split("/")[-2:])
+            found.setdefault(place, set()).update(f"{folder}/{n}" for n in names if n.endswith(".parquet"))
+    return found
+
+
+def test_compaction_rewrites_only_what_the_log_touched(spark, tmp_path, rows):
+    table = tables.KeyedTable(str(tmp_path / "t"), ["k"], ["t"], hidden=["t"], buckets=8)
+    everything = spark.range(500).select(F.concat(F.lit("k"), "id").alias("k"), F.lit(1).alias("t"), F.lit("old").alias("v"))
+    tables.append_changes(table, everything, 0)
+    tables.compact(spark, table)
+    before = files_of(table)
+    assert set(before) == {(b, 0) for b in range(8)}
+    tables.append_changes(table, batch_of(spark, ("k7", 2, "new")), 1)
+    tables.compact(spark, table)
+    tables.vacuum(spark, table)
+    after = files_of(table)
+    assert [place for place in before if before[place] != after[place]] == [(bucket(spark, table, "k7"), 0)]
+    found = dict(rows(tables.current_view(spark, table)))
+    assert len(found) == 500 and {k for k, v in found.items() if v == "new"} == {"k7"}
+    # One key is read from one bucket.
+    view = tables.key_view(spark, table, ["k7", "nowhere"])
+    assert rows(view) == [("k7", "new")] and len(view.inputFiles()) < len(tables.current_view(spark, table).inputFiles())
+    tables.compact(spark, table)  # nothing new: no further state
+    assert os.listdir(f"{table.path}/state") == ["through=1"]
+
+
+def bucket(spark, table, key):
+    return spark.range(1).select(tables.bucket_of(table, F.lit(key))).first()[0]
+
+
+def test_expiry_drops_parts_and_rewrites_nothing(spark, tmp_path, rows):
+    table = tables.KeyedTable(str(tmp_path / "t"), ["k"], ["t"], hidden=["t"], ttl_seconds=800, buckets=4, slots=8)
+    for n in range(8):
+        tables.append_changes(table, batch_of(spark, (f"k{n}", 1, "v"), ("same", n, f"v{n}")), n, written_at=1000 + 100 * n)
+        tables.compact(spark, table, 1000 + 100 * n)
+    tables.vacuum(spark, table)
+    before = files_of(table)
+    assert {slot for _, slot in before} == set(range(10, 18))
+    now = 1000 + 800 + 300
+    expected = [*((f"k{n}", "v") for n in range(4, 8)), ("same", "v7")]
+    assert rows(tables.current_view(spark, table, now)) == expected
+    tables.compact(spark, table, now)
+    tables.vacuum(spark, table)
+    after = files_of(table)
+    assert {slot for _, slot in after} == set(range(13, 18)) and all(before[place] == files for place, files in after.items())
+    assert rows(tables.current_view(spark, table, now)) == expected
+
+
+def test_two_writers_compact_at_the_same_time(spark, tmp_path, rows, monkeypatch):
+    table = tables.KeyedTable(str(tmp_path / "t"), ["k"], ["t"], hidden=["t"])
+    tables.append_changes(table, batch_of(spark, ("a", 1, "a1")), 0, "one")
+    tables.compact(spark, table)
+    tables.append_changes(table, batch_of(spark, ("b", 1, "b1")), 1, "one")
+    seen = tables._state(spark, table, None)
+    tables.append_changes(table, batch_of(spark, ("c", 1, "c1")), 0, "two")
+    tables.compact(spark, table)
+    tables.vacuum(spark, table, keep=2)
+    # The other one had looked before the last batch came.
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_state", lambda *_: seen)
+        tables.compact(spark, table)
+    expected = [("a", "a1"), ("b", "b1"), ("c", "c1")]
+    assert len(os.listdir(f"{table.path}/state/through=1")) == 2
+    assert rows(tables.current_view(spark, table)) == expected
+    tables.append_changes(table, batch_of(spark, ("c", 2, "c2")), 1, "two")
+    for _ in range(2):
+        tables.compact(spark, table)
+        tables.vacuum(spark, table, keep=2)
+        assert rows(tables.current_view(spark, table)) == [*expected[:2], ("c", "c2")]
 
 
 def test_keyed_table_with_new_checkpoint(spark, tmp_path, rows):
@@ -166,7 +247,7 @@ def test_sink_keeps_its_log_short(spark, states, tmp_path, rows):
     tables.upsert_sink(parsed, table, "feed", f"{tmp_path}/c", ONCE).awaitTermination()
     writer = os.listdir(f"{table.path}/log")
     assert len(writer) == 1 and writer != ["writer=none"]
-    assert len(os.listdir(f"{table.path}/log/{writer[0]}")) <= 4 and len(os.listdir(f"{table.path}/base")) == 2
+    assert len(os.listdir(f"{table.path}/log/{writer[0]}")) <= 4 and len(os.listdir(f"{table.path}/state")) == 2
     assert rows(tables.current_view(spark, table)) == [("a", 8), *((f"b{n}", n) for n in range(9))]
 
 
