@@ -8,6 +8,7 @@ from checks import fixtures, inputs
 from checks.parsing import AIRLINES, AIRPORTS, CITIES, INFO, LOCATED, METAR, SIGMET, STATES, TAF, WAYPOINTS, offset
 from checks.registry import query
 from skyflow.operators import activity, enrich, keyed, positions, quality, transitions, weather
+from skyflow.plans.staging import staged
 
 
 def latest_of(source: str, keys: str, order: str = "seq DESC") -> str:
@@ -69,9 +70,34 @@ def a2(spark, sf_dir):
     return _active(spark, sf_dir)
 
 
-@query("a2_active_by_country_hour_approx")
+def with_exact(near, exact, count, error):
+    """The exact counts, and whether an approximate one lies within three standard errors of each."""
+    keys = ["country_code", "hour_bucket"]
+    both = exact.join(near.withColumnRenamed(count, "near"), keys, "full")
+    close = F.abs(F.col("near") - F.col(count)) <= F.lit(1) + F.col(count) * (3 * error)
+    return both.select(*keys, count, F.coalesce(close, F.lit(False)).alias("close"))
+
+
+def closely(counts: str) -> str:
+    """SQL for ``with_exact``: every count is met."""
+    return f"SELECT *, true AS close FROM {counts}"
+
+
+#: Standard errors of the two kinds of approximate counts.
+PLAIN_ERROR, SKETCH_ERROR = 0.05, 1.04 / 2 ** (activity.SKETCH_SIZE / 2)
+
+
+@query("a2_active_by_country_hour_approx", closely(ACTIVE))
 def a2_approx(spark, sf_dir):
-    return _active(spark, sf_dir, approx=True)
+    return with_exact(_active(spark, sf_dir, approx=True), _active(spark, sf_dir), "active_aircraft_cnt", PLAIN_ERROR)
+
+
+@query("a2_active_from_sketches", closely(counted(with_global(LOCATED), "time_position", "active_aircraft_cnt")))
+def a2_sketches(spark, sf_dir):
+    """Hours and ``GLOBAL`` from stored sketches per minute."""
+    sketches = staged(activity.active_sketches(inputs.states(spark, sf_dir), inputs.place_index(spark, sf_dir)), "sketches")
+    near = activity.counts_from_sketches(sketches, ["country_code"], "active_aircraft_cnt", with_global=True)
+    return with_exact(near, _active(spark, sf_dir, with_global=True), "active_aircraft_cnt", SKETCH_ERROR)
 
 
 @query("a3_departures_by_country_hour", f"SELECT * FROM {DEPARTURES}")
@@ -79,9 +105,23 @@ def a3(spark, sf_dir):
     return _departures(spark, sf_dir)
 
 
-@query("a3_departures_by_country_hour_approx")
+@query("a3_departures_by_country_hour_approx", closely(DEPARTURES))
 def a3_approx(spark, sf_dir):
-    return _departures(spark, sf_dir, approx=True)
+    return with_exact(_departures(spark, sf_dir, approx=True), _departures(spark, sf_dir), "departures_cnt", PLAIN_ERROR)
+
+
+@query("a3_departures_from_sketches", closely(counted(with_global(LEAVING), "firstSeen", "departures_cnt")))
+def a3_sketches(spark, sf_dir):
+    sketches = staged(activity.departure_sketches(inputs.info(spark, sf_dir), inputs.airports(spark, sf_dir)), "sketches")
+    near = activity.counts_from_sketches(sketches, ["country_code"], "departures_cnt", with_global=True)
+    return with_exact(near, _departures(spark, sf_dir, with_global=True), "departures_cnt", SKETCH_ERROR)
+
+
+@query("a4_arrivals_from_sketches", closely(counted(with_global(ARRIVING), "lastSeen", "arrivals_cnt")))
+def a4_sketches(spark, sf_dir):
+    sketches = staged(activity.arrival_sketches(inputs.info(spark, sf_dir), inputs.airports(spark, sf_dir)), "sketches")
+    near = activity.counts_from_sketches(sketches, ["country_code"], "arrivals_cnt", with_global=True)
+    return with_exact(near, _arrivals(spark, sf_dir, with_global=True), "arrivals_cnt", SKETCH_ERROR)
 
 
 @query(

@@ -21,9 +21,12 @@ from checks.flights import (
     METAR_HISTORY,
     METAR_LATEST,
     SIGMETS,
+    SKETCH_ERROR,
     TAFS,
     TRANSITIONS,
+    closely,
     counted,
+    with_exact,
     with_global,
 )
 from checks.parsing import AIRPORTS, INFO, METAR, SIGMET, STATES, WAYPOINT_FIELDS, WAYPOINTS
@@ -31,7 +34,7 @@ from checks.registry import query
 from skyflow.operators import activity, enrich, positions, serving, weather
 from skyflow.plans.staging import new_folder, staged
 from skyflow.sources import messages, parse, schemas
-from skyflow.sources.archive import read_archive
+from skyflow.sources.archive import day_folders, read_archive
 from skyflow.streaming import jobs, monitor, sinks, tables, transitions
 
 ONCE = {"availableNow": True}
@@ -142,6 +145,31 @@ def a2_stream(spark, sf_dir):
     return stored(spark, counts, ["country_code", "hour_bucket"])
 
 
+@query(
+    "a3_stream_departures_from_sketches",
+    closely(
+        counted(
+            "(SELECT * FROM "
+            + with_global("(" + closed(f"(SELECT *, firstSeen // 60 * 60 AS minute FROM {LEAVING})", INFO, "minute", 60, 86400, "firstSeen", "firstSeen") + ")")
+            + ")",
+            "firstSeen",
+            "departures_cnt",
+        )
+    ),
+)
+def a3_stream_sketches(spark, sf_dir):
+    """Sketches of closed minutes, fed into a table by a stream; hours are rolled up from the table."""
+    airports = inputs.airports(spark, sf_dir)
+    sketches = activity.departure_sketches(info_stream(spark, sf_dir), airports, delay="24 hours")
+    table = stored(spark, sketches, ["country_code", "minute_bucket"])
+    near = activity.counts_from_sketches(table, ["country_code"], "departures_cnt", with_global=True)
+    info = inputs.info(spark, sf_dir)
+    last = info.agg(F.max("firstSeen")).first()[0] - 86400
+    ended = info.filter(F.floor(F.col("firstSeen") / 60) * 60 + 60 <= last)
+    exact = activity.departures_by_country_hour(ended, airports, with_global=True)
+    return with_exact(near, exact, "departures_cnt", SKETCH_ERROR)
+
+
 @query(
     "a5_stream_departures_with_global",
     closed(counted(with_global(LEAVING), "firstSeen", "departures_cnt"), INFO, "hour_bucket", 3600, 600, "firstSeen", "firstSeen"),
@@ -275,6 +303,139 @@ def k2_new_checkpoint(spark, sf_dir):
     return spark.read.parquet(path).select("offset", "station_id", "raw_ob")
 
 
+def metar_archive(spark, sf_dir):
+    """The observations archived in ten batches, as a path."""
+    path = new_folder(spark, "archive")
+    metar = staged(parse.parse_metar(messages.with_message_metadata(fixtures.metar_messages(spark, sf_dir))), "metar")
+    for number in range(10):
+        batch = metar.filter(F.col("_metadata.offset") % 10 == number).drop("_metadata")
+        sinks.write_archive(batch, number, path, "timestamp", "feed")
+    return path
+
+
+DAYS = [datetime.date(2024, 1, 10) + datetime.timedelta(n) for n in range(10)]
+
+
+@query(
+    "k2_archive_merged",
+    f"""SELECT stage, station_id, obs_time, raw_ob, CASE WHEN stage = 'after' THEN 1 ELSE 0 END AS merged
+        FROM {METAR}, (SELECT unnest(['before', 'during', 'after', 'late']) AS stage) s
+        WHERE to_timestamp(obs_time) AT TIME ZONE 'UTC' >= TIMESTAMP '2024-01-10'
+        AND to_timestamp(obs_time) AT TIME ZONE 'UTC' < TIMESTAMP '2024-01-20' AND (stage <> 'late' OR seq % 10 = 3)""",
+)
+def k2_merged(spark, sf_dir):
+    """Ten days read before a merge, with merged and replaced folders side by side, and after the replaced ones are gone.
+
+    ``merged`` tells that a day is one folder. Late rows are a batch that runs once more, which must not count again, and one
+    that is new: it has the rows of batch 3.
+    """
+    path = metar_archive(spark, sf_dir)
+    read = lambda: read_archive(spark, path, DAYS[0], DAYS[-1]).select("station_id", "obs_time", "raw_ob")
+    seen = {"before": staged(read(), "seen")}
+    sinks.merge_days(spark, path, DAYS)
+    seen["during"] = staged(read(), "seen")
+    sinks.drop_merged(spark, path, DAYS)
+    seen["after"] = staged(read(), "seen")
+    one = all(len(found) == 1 for found in day_folders(spark, path, DAYS).values())
+    again = parse.parse_metar(messages.with_message_metadata(fixtures.metar_messages(spark, sf_dir)))
+    third = again.filter(F.col("_metadata.offset") % 10 == 3).drop("_metadata")
+    sinks.write_archive(third, 3, path, "timestamp", "feed")
+    sinks.write_archive(third, 11, path, "timestamp", "feed")
+    seen["late"] = read().exceptAll(seen["after"])
+    found = None
+    for stage, rows in seen.items():
+        merged = F.lit(int(stage == "after" and one))
+        part = rows.select(F.lit(stage).alias("stage"), "station_id", "obs_time", "raw_ob", merged.alias("merged"))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+# --- Tables that live long: what a compaction rewrites, what a key reads, what expiry drops.
+
+def bucket_sql(key: str, buckets: int) -> str:
+    """SQL for ``tables.bucket_of``."""
+    return f"CAST(('0x' || substr(md5({key}), 1, 7))::BIGINT % {buckets} AS INTEGER)"
+
+
+def part_files(spark, table):
+    """Rows (bucket, files) of the state in force: names of the data files of each bucket."""
+    rows = spark.read.parquet(*[f"{table.path}/base/{part.folder}" for part in tables.parts_in_force(spark, table)])
+    named = rows.select(F.input_file_name().alias("file")).distinct()
+    bucket = F.regexp_extract("file", "bucket=([0-9]+)", 1).cast("int")
+    return named.groupBy(bucket.alias("bucket")).agg(F.sort_array(F.collect_set("file")).alias("files"))
+
+
+SOME = "seq % 100 = 7"
+
+
+@query(
+    "k1_compaction_by_bucket",
+    f"""SELECT {bucket_sql('icao24', 32)} AS bucket, count(*) AS aircraft,
+        bool_or(icao24 IN (SELECT icao24 FROM {STATES} WHERE {SOME})) AS rewritten FROM {AIRCRAFT} GROUP BY 1""",
+)
+def k1_buckets(spark, sf_dir):
+    """All aircraft stored and compacted, then those of one message in a hundred fed again; what the second compaction rewrote."""
+    table = tables.KeyedTable(new_folder(spark, "table"), ["icao24"], ["time_position", "ingest"], ["time_position", "ingest"])
+    states = with_ingest(inputs.states(spark, sf_dir)).select("icao24", "callsign", "latitude", "longitude", "time_position", "ingest")
+    tables.append_changes(table, states, 0)
+    tables.compact(spark, table)
+    before = staged(part_files(spark, table).withColumnRenamed("files", "before"), "files")
+    tables.append_changes(table, states.filter(F.col("ingest") % 100 == 7), 1)
+    tables.compact(spark, table)
+    after = staged(part_files(spark, table), "files")
+    tables.vacuum(spark, table)
+    view = tables.current_view(spark, table).select(tables.bucket_of(table, F.col("icao24")).alias("bucket"))
+    counted_ = view.groupBy("bucket").agg(F.count("*").alias("aircraft"))
+    same = counted_.join(before, "bucket").join(after, "bucket")
+    return same.select("bucket", "aircraft", (F.col("files") != F.col("before")).alias("rewritten"))
+
+
+STATIONS = ("K003", "K017", "K999")
+
+
+@query(
+    "q5_key_read",
+    f"""SELECT station_id, obs_time, raw_ob, true AS fewer_files FROM {METAR_HISTORY} WHERE station_id IN {STATIONS}""",
+)
+def q5_key_read(spark, sf_dir):
+    """Three stations read from the stored history: only the files of their buckets."""
+    table = tables.KeyedTable(new_folder(spark, "table"), schemas.TABLE_KEYS["metar_history_by_station"], ["ingest"], ["ingest"])
+    tables.append_changes(table, with_ingest(weather.metar_history_rows(inputs.metar(spark, sf_dir))), 0)
+    tables.compact(spark, table)
+    view, everything = tables.key_view(spark, table, [*STATIONS]), tables.current_view(spark, table)
+    fewer = 0 < len(view.inputFiles()) < len(everything.inputFiles())
+    return view.select("station_id", "obs_time", "raw_ob", F.lit(fewer).alias("fewer_files"))
+
+
+TTL, FIRST = 259200, 1_700_000_000 // 32400 * 32400
+
+
+@query(
+    "w8_expired_parts",
+    f"""SELECT {FIRST} // 32400 + seq % 8 AS slot, count(*) AS row_count, count(DISTINCT {bucket_sql('station_id', 16)}) AS folders,
+        0::BIGINT AS rewritten FROM {METAR} WHERE seq % 8 >= 4 GROUP BY 1""",
+)
+def w8_expired(spark, sf_dir):
+    """A history written in eight spans of time, four of which expire: rows and folders left by span, and files written anew."""
+    table = tables.KeyedTable(new_folder(spark, "table"), ["station_id", "seq"], ttl_seconds=TTL, buckets=16, slots=8)
+    rows = staged(fixtures.rows(spark, sf_dir, "metar").select("station_id", "seq", "raw_ob"), "rows")
+    for slot in range(8):
+        at = FIRST + slot * 32400 + 100
+        tables.append_changes(table, rows.filter(F.col("seq") % 8 == slot), slot, written_at=at)
+        tables.compact(spark, table, at)
+    tables.vacuum(spark, table)
+    before = {part.folder for part in tables.parts_in_force(spark, table)}
+    now = FIRST + TTL + 4 * 32400
+    tables.compact(spark, table, now)
+    tables.vacuum(spark, table)
+    left = tables.parts_in_force(spark, table)
+    new = sum(part.folder not in before for part in left)
+    view = tables.current_view(spark, table, now).groupBy((F.col("seq") % 8 + FIRST // 32400).alias("slot")).agg(F.count("*").alias("row_count"))
+    parts = spark.createDataFrame([(part.slot, part.bucket) for part in left], "slot BIGINT, bucket INT")
+    counted_ = parts.groupBy("slot").agg(F.count("*").alias("folders"))
+    return view.join(counted_, "slot", "full").withColumn("rewritten", F.lit(new).cast("long"))
+
+
 @query(
     "k3_to_messages",
     f"""SELECT concat(icao24, '-', firstSeen) AS key, concat('{{"icao24":"', icao24, '","firstSeen":', firstSeen,

@@ -7,11 +7,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyflow.functions.columns import DAY, bucket, epoch_to_ts
+from skyflow.functions.columns import DAY, HOUR, bucket, epoch_to_ts
 from skyflow.functions.geo import is_position
 from skyflow.operators.places import PlaceIndex, country_from_airport, country_from_position
 
 GLOBAL = "GLOBAL"
+#: Logarithm of the number of buckets of a sketch.
+SKETCH_SIZE = 12
 
 
 def distinct_per_window(
@@ -63,6 +65,69 @@ def distinct_per_window(
     return counted.select(*groups, F.unix_seconds("w.start").alias(bucket_name), count_name)
 
 
+def sketches_per_minute(
+    events: DataFrame, groups: list[str], entity: list[str], *, delay: str = "10 minutes", size: int = SKETCH_SIZE
+) -> DataFrame:
+    """A mergeable sketch of the distinct entities per group and minute of ``timestamp``: (groups, minute_bucket, sketch).
+
+    The rows are small whatever happened in the minute, so they are kept when the events are gone, and longer spans or
+    other groups are counted from them (``counts_from_sketches``). It runs on streams too, with one stateful step.
+    """
+    rows = events.select(*dict.fromkeys([*groups, *entity, "timestamp"])).withWatermark("timestamp", delay)
+    known = reduce(Column.__and__, [F.col(name).isNotNull() for name in entity])
+    key = F.col(entity[0]) if len(entity) == 1 else F.when(known, F.xxhash64(*entity))
+    span = F.window("timestamp", "1 minute").alias("w")
+    sketched = rows.groupBy(span, *groups).agg(F.hll_sketch_agg(key, F.lit(size)).alias("sketch"))
+    return sketched.select(*groups, F.unix_seconds("w.start").alias("minute_bucket"), "sketch")
+
+
+def counts_from_sketches(
+    sketches: DataFrame,
+    groups: list[str],
+    count_name: str,
+    bucket_name: str = "hour_bucket",
+    width: int = HOUR,
+    *,
+    with_global: bool = False,
+) -> DataFrame:
+    """Approximate distinct entities per group and ``width`` seconds, from sketches per minute.
+
+    ``with_global`` adds rows for ``GLOBAL`` by merging the sketches of all groups, which counts an entity of several groups
+    once. The standard error is 1.04 / sqrt(2 ** size), 1.6 % for ``SKETCH_SIZE``; small counts are nearly exact.
+    """
+    code = groups[0]
+    span = bucket(F.col("minute_bucket"), width).alias(bucket_name)
+    merged = sketches.groupBy(*groups, span).agg(F.hll_union_agg("sketch").alias("sketch"))
+    if with_global:
+        others = [F.col(name) for name in groups[1:]]
+        whole = merged.groupBy(*others, bucket_name).agg(F.hll_union_agg("sketch").alias("sketch"))
+        merged = merged.unionByName(whole.withColumn(code, F.lit(GLOBAL)))
+    return merged.select(*groups, bucket_name, F.hll_sketch_estimate("sketch").alias(count_name))
+
+
+def active_sketches(flights: DataFrame, places: PlaceIndex, **options) -> DataFrame:
+    """Sketches of the aircraft per country of their position and minute."""
+    narrow = flights.select("icao24", "latitude", "longitude", "timestamp")
+    located = country_from_position(narrow, "latitude", "longitude", places)
+    return sketches_per_minute(located, ["country_code"], ["icao24"], **options)
+
+
+def departure_sketches(info: DataFrame, airports: DataFrame, **options) -> DataFrame:
+    """Sketches of the leaving aircraft per country of the departure airport and minute."""
+    return _airport_sketches(info, airports, "firstSeen", "estDepartureAirport", **options)
+
+
+def arrival_sketches(info: DataFrame, airports: DataFrame, **options) -> DataFrame:
+    """Sketches of the arriving aircraft per country of the arrival airport and minute."""
+    return _airport_sketches(info, airports, "lastSeen", "estArrivalAirport", **options)
+
+
+def _airport_sketches(info: DataFrame, airports: DataFrame, time: str, airport: str, **options) -> DataFrame:
+    located = country_from_airport(info.select("icao24", time, airport), airport, airports)
+    timed = located.withColumn("timestamp", epoch_to_ts(F.col(time)))
+    return sketches_per_minute(timed, ["country_code"], ["icao24"], **options)
+
+
 def active_by_country(
     flights: DataFrame,
     places: PlaceIndex,

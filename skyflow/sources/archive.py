@@ -1,4 +1,8 @@
-"""Reading the date-partitioned archive."""
+"""Reading the date-partitioned archive.
+
+A day holds a folder ``writer=.../batch_id=...`` per micro-batch. A finished day may be merged: a folder of the writer
+``MERGED`` then stands for others, which a mark below ``MARKS`` names. Marks count once their run is complete.
+"""
 
 from __future__ import annotations
 
@@ -6,14 +10,52 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyflow.plans.staging import committed, folders
 
-def _day_folders(spark: SparkSession, path: str, date_from: datetime.date, date_to: datetime.date) -> list[str]:
-    """Folders of the days that are there."""
-    days = [date_from + datetime.timedelta(n) for n in range((date_to - date_from).days + 1)]
-    folders = [f"{path}/year={d.year}/month={d.month}/day={d.day}" for d in days]
-    paths = [spark._jvm.org.apache.hadoop.fs.Path(folder) for folder in folders]
-    configuration = spark._jsc.hadoopConfiguration()
-    return [folder for folder, p in zip(folders, paths, strict=True) if p.getFileSystem(configuration).exists(p)]
+#: Writer of merged rows, and folder of the marks; Spark's readers pass over names that begin like this one.
+MERGED = "merged"
+MARKS = "_merged"
+
+
+def day_folder(path: str, day: datetime.date) -> str:
+    """Folder of a day."""
+    return f"{path}/year={day.year}/month={day.month}/day={day.day}"
+
+
+def _marks(spark: SparkSession, path: str, days: list[datetime.date]) -> tuple[set[str], set[str]]:
+    """Merged folders of the days that have their mark, and folders they stand for, as paths below ``path``.
+
+    The marks of a day are read only if it has any, and have as many rows as it had batches.
+    """
+    runs = {folder.rsplit("/", 1)[1] for folder, _ in committed(spark, f"{path}/{MARKS}/run=*")}
+    merged, read = set(), []
+    for day in days if runs else []:
+        below = day_folder("", day)
+        for folder in folders(spark, f"{path}/{MARKS}/run=*{below}"):
+            run = folder.removesuffix(below).rsplit("/", 1)[1]
+            if run in runs:
+                merged.add(f"{below}/writer={MERGED}/batch_id={run.removeprefix('run=')}")
+                read.append(folder)
+    rows = spark.read.schema("folder STRING").json(read).collect() if read else []
+    return merged, {row["folder"] for row in rows}
+
+
+def day_folders(spark: SparkSession, path: str, days: list[datetime.date]) -> dict[datetime.date, list[str]]:
+    """Folders of each day whose rows count, as paths below ``path``: batches that are not merged, and merged ones with a mark."""
+    merged, replaced = _marks(spark, path, days)
+    found = {}
+    for day in days:
+        below = day_folder("", day)
+        there = [f"{below}/" + "/".join(f.rsplit("/", 2)[1:]) for f in folders(spark, f"{path}{below}/writer=*/batch_id=*")]
+        counted = [f for f in there if f not in replaced and (f in merged or f"/writer={MERGED}/" not in f)]
+        if counted:
+            found[day] = counted
+    return found
+
+
+def replaced_folders(spark: SparkSession, path: str, days: list[datetime.date]) -> set[str]:
+    """Folders of the days that merged ones stand for, as paths below ``path``."""
+    return _marks(spark, path, days)[1]
 
 
 def read_archive(
@@ -27,7 +69,8 @@ def read_archive(
     Only the folders of those days are listed. Rows without an event time are in no day and are
     left out. Days without a folder have no rows; without any, the archive gives the columns.
     """
+    days = [date_from + datetime.timedelta(n) for n in range((date_to - date_from).days + 1)]
+    read = [f"{path}{folder}" for found in day_folders(spark, path, days).values() for folder in found]
     reader = spark.read.option("basePath", path)
-    folders = _day_folders(spark, path, date_from, date_to)
-    rows = reader.parquet(*folders) if folders else reader.parquet(path).limit(0)
+    rows = reader.parquet(*read) if read else reader.parquet(path).limit(0)
     return rows.drop("writer", "batch_id")

@@ -208,6 +208,12 @@ def key_view(spark: SparkSession, table: KeyedTable, values: list, now: int | No
     return _view(spark, table, parts, state, now).filter(F.col(table.keys[0]).isin(*values))
 
 
+def parts_in_force(spark: SparkSession, table: KeyedTable) -> list[Part]:
+    """The parts that the newest state names."""
+    states = _states(spark, table)
+    return _read_state(spark, states[-1][2])[0] if states else []
+
+
 def compact(spark: SparkSession, table: KeyedTable, now: int | None = None) -> None:
     """Merge the log into the parts of the base that its rows fall into, and leave out parts that have expired.
 

@@ -1,3 +1,4 @@
+import datetime
 import json
 import os
 import time
@@ -6,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyflow.operators import activity, positions, serving
-from skyflow.sources import messages, parse, schemas
+from skyflow.sources import archive, messages, parse, schemas
+from skyflow.sources.archive import read_archive
 from skyflow.streaming import jobs, monitor, sinks, tables, transitions
 
 ONCE = {"availableNow": True}
@@ -258,6 +260,41 @@ def test_archive_with_new_checkpoint(spark, tmp_path, rows):
     assert rows(spark.read.parquet(f"{tmp_path}/a").select("v")) == [("x",), ("y",)]
 
 
+def test_merged_days(spark, tmp_path, rows):
+    path, day = f"{tmp_path}/a", datetime.date(2024, 1, 1)
+
+    def write(batch_id, value, t=1704067200):
+        sinks.write_archive(spark.createDataFrame([(value, t)], "v STRING, t BIGINT"), batch_id, path, F.timestamp_seconds("t"), "one")
+
+    def read():
+        return [v for v, in rows(read_archive(spark, path, day, day + datetime.timedelta(1)).select("v"))]
+
+    for n in range(3):
+        write(n, f"v{n}")
+    write(3, "next day", 1704067200 + 86400)
+    expected = ["next day", "v0", "v1", "v2"]
+    # A merge that stopped before its mark has no effect.
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark), "createDataFrame", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            sinks.merge_days(spark, path, [day])
+    assert read() == expected and len(archive.day_folders(spark, path, [day])[day]) == 3
+    sinks.merge_days(spark, path, [day, day + datetime.timedelta(1)])
+    assert read() == expected and len(archive.day_folders(spark, path, [day])[day]) == 1
+    write(1, "v1")  # runs again before its folder is gone, and after
+    assert read() == expected
+    sinks.drop_merged(spark, path, [day])
+    assert read() == expected
+    write(1, "v1")
+    write(4, "late")
+    assert read() == ["late", *expected]
+    sinks.merge_days(spark, path, [day])
+    sinks.drop_merged(spark, path, [day])
+    assert read() == ["late", *expected] and len(archive.day_folders(spark, path, [day])[day]) == 1
+    sinks.merge_days(spark, path, [day])  # one folder: nothing to do
+    assert len(os.listdir(f"{path}/_merged")) == 2
+
+
 def test_routes_and_handlers(spark, tmp_path):
     for topic in ("one", "two", "three"):
         t = Topic(tmp_path / "mixed" / topic, topic)
@@ -354,8 +391,8 @@ def test_flight_and_weather_jobs(spark, tmp_path, rows):
     assert rows(table("metar_latest_by_station").select("temp")) == [(2,)]
     assert table("metar_history_by_station").count() == 2
     assert table("sigmet_by_validtime").count() == 1 and table("taf_by_station").count() == 1
-    archive = spark.read.parquet(f"{tmp_path}/archive/weather_metar")
-    assert rows(archive.select("year", "month", "day", "temp")) == [(2024, 1, 1, 1), (2024, 1, 1, 2)]
+    observed = spark.read.parquet(f"{tmp_path}/archive/weather_metar")
+    assert rows(observed.select("year", "month", "day", "temp")) == [(2024, 1, 1, 1), (2024, 1, 1, 2)]
     assert spark.read.parquet(f"{tmp_path}/archive/flight_tracks").count() == 1
     assert spark.read.parquet(f"{tmp_path}/archive/flight_raw").count() == 3
     dead = spark.read.parquet(f"{tmp_path}/dead/{schemas.FLIGHT_STATES_TOPIC}")

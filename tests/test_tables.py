@@ -80,6 +80,22 @@ def test_approximate_counts_are_close(spark):
     assert abs(near - 5000) <= 3 * 0.05 * 5000
 
 
+def test_sketches_are_rolled_up(spark, rows):
+    def flight(i, t, airport):
+        return (None if i is None else f"x{i}", t, t, airport, airport)
+
+    df = info(spark, *[flight(i, i * 7 % 7200, "A") for i in range(2000)], *[flight(i, 30, "B") for i in range(5)], flight(None, 90, "B"), flight(None, 7300, "B"))
+    sketches = activity.departure_sketches(df, airports(spark))
+    assert sketches.filter("country_code = 'NB'").count() == 3
+    found = rows(activity.counts_from_sketches(sketches, ["country_code"], "n", with_global=True))
+    exact = rows(activity.departures_by_country_hour(df, airports(spark), with_global=True))
+    assert [r[:2] for r in found] == [r[:2] for r in exact]
+    assert all(abs(a[2] - b[2]) <= 1 + 0.05 * b[2] for a, b in zip(found, exact))
+    assert ("NB", 0, 5) in found and ("NB", 7200, 0) in found and ("GLOBAL", 7200, 0) in found
+    day = rows(activity.counts_from_sketches(sketches, ["country_code"], "n", "day_bucket", 86400))
+    assert [r[:2] for r in day] == [("NA", 0), ("NB", 0)] and day[1][2] == 5
+
+
 def flags(spark, *pairs):
     return states(spark, *[("a", t, i, None, None, None, None, None, f) for i, (t, f) in enumerate(pairs)])
 
