@@ -227,19 +227,23 @@ def flight_state_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _messages(df, "flights_raw", F.col("icao24"), F.struct(*fields, sensors))
 
 
-def flight_info_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flight_info_messages(spark: SparkSession, sf_dir: str, pace: int = 1) -> DataFrame:
+    """Flights; with a ``pace`` their times are divided by it, so that years become weeks."""
     df = rows(spark, sf_dir, "flight_info")
+    df = df.withColumns({name: F.floor(F.col(name) / pace) for name in ("firstSeen", "lastSeen")})
     fields = [c for c in df.columns if c != "seq"]
     return _messages(df, "flight_data", F.concat_ws("-", "icao24", "firstSeen"), F.struct(*fields))
 
 
-def flight_track_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One message per track; a path element is an array of numbers and a flag."""
+def flight_track_messages(spark: SparkSession, sf_dir: str, pace: int = 1) -> DataFrame:
+    """One message per track; a path element is an array of numbers and a flag. The start is divided by ``pace``."""
+    earlier = F.col("starttime") - F.floor(F.col("starttime") / pace)
     point = F.array(
         *[F.col(c).cast("string") for c in ("time", "lat", "lon", "baro_altitude", "true_track", "on_ground")]
     )
     tracks = (
         rows(spark, sf_dir, "track_waypoints")
+        .withColumns({name: F.col(name) - earlier for name in ("starttime", "time", "endtime")})
         .groupBy("seq", "icao24", F.col("starttime").alias("startTime"), F.col("endtime").alias("endTime"), "callsign")
         .agg(F.array_sort(F.collect_list(F.struct("time", point.alias("p")))).alias("points"))
         .withColumn("path", F.col("points.p"))

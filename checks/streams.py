@@ -14,10 +14,12 @@ from checks.flights import (
     AIRCRAFT,
     AIRLINE_BY_CODE,
     ARRIVALS,
+    ARRIVING,
     BY_MINUTE,
     DENSITY,
     DEPARTURES,
     LEAVING,
+    LOCATED,
     METAR_HISTORY,
     METAR_LATEST,
     SIGMETS,
@@ -29,10 +31,10 @@ from checks.flights import (
     with_exact,
     with_global,
 )
-from checks.parsing import AIRPORTS, INFO, METAR, SIGMET, STATES, WAYPOINT_FIELDS, WAYPOINTS
+from checks.parsing import AIRPORTS, INFO, METAR, SIGMET, STATES, TAF, WAYPOINT_FIELDS, WAYPOINTS
 from checks.registry import query
-from skyflow.operators import activity, enrich, positions, serving, weather
-from skyflow.plans.staging import new_folder, staged
+from skyflow.operators import activity, enrich, positions, weather
+from skyflow.plans.staging import new_folder, remove, staged
 from skyflow.sources import messages, parse, schemas
 from skyflow.sources.archive import day_folders, read_archive
 from skyflow.streaming import jobs, monitor, sinks, tables, transitions
@@ -44,10 +46,10 @@ ONCE = {"availableNow": True}
 FILES = 4
 
 
-def in_order(df, by):
+def in_order(df, by, files=FILES):
     """``df`` with the file its rows go to, by the place of ``by`` between its least and greatest value."""
     low, high = df.agg(F.min(by), F.max(by)).first()
-    return df.withColumn("_file", F.floor((by - F.lit(low)) * FILES / F.lit((high or 0) - (low or 0) + 1)))
+    return df.withColumn("_file", F.floor((by - F.lit(low)) * files / F.lit((high or 0) - (low or 0) + 1)))
 
 
 def stream_of(spark, sf_dir, made, topic, by=None):
@@ -483,98 +485,237 @@ def e2_stream(spark, sf_dir):
 
 # --- The two jobs, and what watches them.
 
+#: Files of a job's messages before its stop, and after.
+JOB_FILES = ([0, 1], [2])
+#: One message in so many of the first topic of a job is cut off after so many characters.
+BROKEN, CUT = 101, 20
+
 
 def written(spark, sf_dir, folder, made, cut=False):
     """Messages written to a folder of files; with ``cut`` some of them broken."""
     rows = made(spark, sf_dir)
     if cut:
-        value = F.when(F.col("offset") % 101 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
-        rows = rows.withColumn("value", value)
+        rows = broken(rows)
     rows.write.mode("append").parquet(folder)
     return folder
 
 
+def broken(rows):
+    value = F.when(F.col("offset") % BROKEN == 0, F.substring("value", 1, CUT)).otherwise(F.col("value"))
+    return rows.withColumn("value", value)
+
+
+def write_files(rows, folder, numbers):
+    """Messages with a column ``_file`` as one file per number, all topics together, one after another."""
+    for number in numbers:
+        rows.filter(F.col("_file") == number).drop("_file").coalesce(1).write.parquet(f"{folder}/{number}")
+
+
 def job_config(spark, folder):
     path = new_folder(spark, "job")
     return jobs.JobConfig(
         f"{folder}/*", f"{path}/tables", f"{path}/archive", f"{path}/checkpoints", "parquet", "earliest",
-        table_trigger=ONCE, archive_trigger=ONCE,
+        table_trigger=ONCE, archive_trigger=ONCE, most_files=1, console_rows=1,
     )
 
 
-def run_job(spark, config, start, names):
-    """Run the queries of a job to the end, then a row per stored table: rows and distinct keys."""
+def remove_last_commit(spark, config, name):
+    """As if the job had died before it noted that the last micro-batch of a query was done."""
+    marks = f"{config.checkpoints}/{name}/commits"
+    path = spark._jvm.org.apache.hadoop.fs.Path(marks)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    numbers = [s.getPath().getName() for s in system.listStatus(path) if s.getPath().getName().isdigit()]
+    remove(spark, f"{marks}/{max(numbers, key=int)}")
+
+
+def run_with_restart(spark, config, folder, rows, start, replayed):
+    """Run a job over its first files, then, from its checkpoints, over all; the last batch of some queries runs twice."""
+    rows = staged(rows, "messages")
     with few_partitions(spark):
-        for query_ in start():
-            query_.awaitTermination()
-    found = None
-    for name in names:
-        view = tables.current_view(spark, jobs.table_of(config, name))
-        profile = serving.table_profile(view, schemas.TABLE_KEYS[name])
-        row = profile.select(F.lit(name).alias("table"), "row_count", "distinct_keys")
-        found = row if found is None else found.unionByName(row)
-    return found
+        for numbers in JOB_FILES:
+            write_files(rows, folder, numbers)
+            start()
+            jobs.await_all(spark, config)
+            if numbers is JOB_FILES[0]:
+                for name in replayed:
+                    remove_last_commit(spark, config, name)
+    config.log.leave(spark)
+
+
+def as_text(column, kind):
+    """A value as text that does not hang on how an engine writes fractions."""
+    return F.floor(column * 64).cast("string") if kind == "double" else column.cast("string")
+
+
+def content(name, df, columns):
+    """One row for a table: number of rows, and a sum over the digests of the rows."""
+    kinds = dict(df.dtypes)
+    text = F.concat_ws("|", *[F.coalesce(as_text(F.col(c), kinds[c]), F.lit("~")) for c in columns])
+    digest = F.conv(F.substring(F.md5(text.cast("binary")), 1, 7), 16, 10).cast("long")
+    return df.agg(F.count("*").alias("row_count"), F.coalesce(F.sum(digest), F.lit(0)).alias("digest")).select(
+        F.lit(name).alias("table"), "row_count", "digest"
+    )
 
 
-def profiles(sources: dict[str, str]) -> str:
-    """SQL for the rows of ``run_job``; the tables have one row per key."""
-    return " UNION ALL ".join(
-        f"""SELECT '{name}' AS "table", count(*) AS row_count, count(*) AS distinct_keys FROM ({source})"""
-        for name, source in sources.items()
+def content_sql(name, source, columns):
+    """SQL for ``content``."""
+    text = ", ".join(
+        f"coalesce(CASE WHEN typeof({c}) = 'DOUBLE' THEN CAST(CAST(floor(TRY_CAST({c} AS DOUBLE) * 64) AS BIGINT) AS VARCHAR) "
+        f"ELSE CAST({c} AS VARCHAR) END, '~')"
+        for c in columns
     )
+    return f"""SELECT '{name}' AS "table", count(*) AS row_count,
+        CAST(coalesce(sum(('0x' || substr(md5(concat_ws('|', {text})), 1, 7))::BIGINT), 0) AS BIGINT) AS digest FROM ({source}) r"""
+
+
+def contents(spark, config, stored_tables, archives, dead):
+    """``content`` of tables, archives and dead letters, and the sums of the batch log of the query that archives."""
+    parts = [content(n, tables.current_view(spark, jobs.table_of(config, n)), c) for n, c in stored_tables.items()]
+    parts += [content(n, spark.read.parquet(f"{config.archive}/{n}"), c) for n, c in archives.items()]
+    parts.append(content("dead_letters", spark.read.parquet(f"{config.archive}/dead_letters/{dead}"), ["value"]))
+    log = spark.read.parquet(config.batch_log).filter(F.col("query").endswith("_archives"))
+    # A batch that runs again is logged again; its last run counts.
+    log = log.groupBy("query", "batch_id").agg(*[F.max(c).alias(c) for c in ("consumed", "processed", "failed")])
+    for name in ("consumed", "processed", "failed"):
+        parts.append(log.agg(F.sum(name).alias("row_count")).select(F.lit(f"log {name}").alias("table"), "row_count", F.lit(0).cast("long").alias("digest")))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
+
+
+def contents_sql(stored_tables, archives, dead, log):
+    """SQL for ``contents``: sources and columns of tables and archives, the broken messages, and counts."""
+    lines = [content_sql(name, source, columns) for name, (source, columns) in (stored_tables | archives).items()]
+    lines.append(content_sql("dead_letters", dead, ["value"]))
+    lines += [f"""SELECT 'log {name}' AS "table", CAST(({count}) AS BIGINT) AS row_count, 0::BIGINT AS digest""" for name, count in log.items()]
+    return " UNION ALL ".join(lines)
+
+
+def names(text):
+    return text.replace(",", " ").split()
 
 
 def at_once(result: str, rows: str, bucket: str, width: int, delay: int, clock: str) -> str:
-    """SQL for the windows that a watermark has passed, where all rows came in one micro-batch."""
+    """SQL for the windows that a watermark has passed, where no row comes late."""
     return f"SELECT * FROM {result} WHERE {bucket} + {width} <= (SELECT max({clock}) FROM {rows}) - {delay}"
 
 
-TRACK_KEYS = f"SELECT DISTINCT icao24, starttime, time FROM {WAYPOINTS}"
+def whole(source: str) -> str:
+    """SQL for ``source`` made of the messages that are not broken."""
+    return source.replace(STATES, GOOD_STATES).replace(METAR, GOOD_METAR)
+
+
+GOOD_STATES = f"(SELECT * FROM {STATES} WHERE seq % {BROKEN} <> 0)"
+GOOD_METAR = f"(SELECT * FROM {METAR} WHERE seq % {BROKEN} <> 0)"
+#: Flights of a job come at this pace: seven years in 40 days, which an archive has folders for.
+PACE = 64
+FAST_INFO = f"(SELECT * REPLACE (firstSeen // {PACE} AS firstSeen, lastSeen // {PACE} AS lastSeen) FROM {INFO})"
+FAST_WAYPOINTS = f"""(SELECT * REPLACE (starttime // {PACE} AS starttime, starttime // {PACE} + time - starttime AS time,
+    starttime // {PACE} + endtime - starttime AS endtime) FROM {WAYPOINTS})"""
+FAST_LEAVING, FAST_ARRIVING = LEAVING.replace(INFO, FAST_INFO), ARRIVING.replace(INFO, FAST_INFO)
+TRACKS = f"(SELECT DISTINCT seq, icao24, starttime, endtime, callsign FROM {FAST_WAYPOINTS})"
+FLIGHT_TABLES = {
+    "aircrafts_by_icao24": names("icao24 callsign lat lon"),
+    "aircraftstates_by_icao24": names(WAYPOINT_FIELDS),
+    "aircrafts_by_cell_minute": names("minute_bucket icao24 last_seen_ts lat lon geo_altitude velocity true_track"),
+    "activeaircraft_by_country_hour": names("country_code hour_bucket active_aircraft_cnt"),
+    "departures_by_country_hour": names("country_code hour_bucket departures_cnt"),
+    "arrivals_by_country_hour": names("country_code hour_bucket arrivals_cnt"),
+}
+FLIGHT_ARCHIVES = {
+    "flight_raw": names("icao24 callsign time_position last_contact latitude longitude on_ground velocity squawk"),
+    "flight_data": names("icao24 firstSeen lastSeen estDepartureAirport estArrivalAirport callsign"),
+    "flight_tracks": names("icao24 startTime endTime callsign"),
+}
+_FLIGHT_SOURCES = [
+    f"SELECT * FROM {whole(AIRCRAFT)}",
+    f"SELECT * FROM {FAST_WAYPOINTS} QUALIFY row_number() OVER (PARTITION BY icao24, starttime, time ORDER BY seq DESC) = 1",
+    at_once(whole(BY_MINUTE), GOOD_STATES, "minute_bucket", 60, 10, "time_position"),
+    at_once(
+        whole(counted(with_global(LOCATED), "time_position", "active_aircraft_cnt")), GOOD_STATES, "hour_bucket", 3600, 600, "time_position"
+    ),
+    at_once(counted(with_global(FAST_LEAVING), "firstSeen", "departures_cnt"), FAST_INFO, "hour_bucket", 3600, 86400, "firstSeen"),
+    at_once(counted(with_global(FAST_ARRIVING), "lastSeen", "arrivals_cnt"), FAST_INFO, "hour_bucket", 3600, 86400, "lastSeen"),
+    f"SELECT * FROM {GOOD_STATES}",
+    f"SELECT * FROM {FAST_INFO}",
+    f"SELECT * FROM {TRACKS}",
+]
 
 
 @query(
     "k6_run_flight_job",
-    profiles(
+    contents_sql(
+        {name: (source, columns) for (name, columns), source in zip(FLIGHT_TABLES.items(), _FLIGHT_SOURCES)},
+        {name: (source, columns) for (name, columns), source in zip(FLIGHT_ARCHIVES.items(), _FLIGHT_SOURCES[6:])},
+        f"""SELECT '{{"icao24":"' || icao24 || '","' AS value FROM {STATES} WHERE seq % {BROKEN} = 0""",
         {
-            "aircrafts_by_icao24": f"SELECT * FROM {AIRCRAFT}",
-            "aircraftstates_by_icao24": TRACK_KEYS,
-            "aircrafts_by_cell_minute": at_once(BY_MINUTE, STATES, "minute_bucket", 60, 10, "time_position"),
-            "departures_by_country_hour": at_once(
-                counted(with_global(LEAVING), "firstSeen", "departures_cnt"), INFO, "hour_bucket", 3600, 86400, "firstSeen"
-            ),
-        }
+            "consumed": f"(SELECT count(*) FROM {STATES}) + (SELECT count(*) FROM {INFO}) + (SELECT count(*) FROM {TRACKS})",
+            "processed": f"(SELECT count(*) FROM {GOOD_STATES}) + (SELECT count(*) FROM {INFO}) + (SELECT count(*) FROM {TRACKS})",
+            "failed": f"SELECT count(*) FROM {STATES} WHERE seq % {BROKEN} = 0",
+        },
     ),
 )
 def k6(spark, sf_dir):
+    """The flight job, stopped after some of its micro-batches and started again; everything it has stored, by content."""
     folder = new_folder(spark, "topics")
-    written(spark, sf_dir, f"{folder}/a", fixtures.flight_state_messages)
-    written(spark, sf_dir, f"{folder}/b", fixtures.flight_info_messages)
-    written(spark, sf_dir, f"{folder}/c", fixtures.flight_track_messages)
     config = job_config(spark, folder)
     airports, places = inputs.airports(spark, sf_dir), inputs.places(spark, sf_dir)
-    names = ["aircrafts_by_icao24", "aircraftstates_by_icao24", "aircrafts_by_cell_minute", "departures_by_country_hour"]
-    return run_job(spark, config, lambda: jobs.run_flight_job(spark, config, airports, places), names)
+    seconds = lambda name: F.get_json_object("value", f"$.{name}").cast("long")
+    # In the order of time, so that no row is late.
+    states = in_order(staged(fixtures.flight_state_messages(spark, sf_dir), "states"), seconds("last_contact"), 3)
+    info = in_order(staged(fixtures.flight_info_messages(spark, sf_dir, PACE), "info"), first_seen(), 3)
+    tracks = in_order(staged(fixtures.flight_track_messages(spark, sf_dir, PACE), "tracks"), seconds("startTime"), 3)
+    rows = broken(states).unionByName(info).unionByName(tracks)
+    start = lambda: jobs.run_flight_job(spark, config, airports, places)
+    run_with_restart(spark, config, folder, rows, start, ["flight_tables", "flight_archives", "aircrafts_by_cell_minute"])
+    return contents(spark, config, FLIGHT_TABLES, FLIGHT_ARCHIVES, schemas.FLIGHT_STATES_TOPIC)
+
+
+WEATHER_TABLES = {
+    "metar_latest_by_station": weather.METAR_LATEST,
+    "metar_history_by_station": weather.METAR_HISTORY,
+    "sigmet_by_validtime": weather.SIGMET,
+    "taf_by_station": weather.TAF,
+}
+WEATHER_ARCHIVES = {
+    "weather_metar": names("station_id obs_time raw_ob temp wspd fltcat visib altim"),
+    "weather_taf": names("station_id issue_time time_group valid_from valid_to raw_taf wspd fltcat"),
+    "weather_isigmet": names("icao_id series_id valid_from valid_to hazard base top raw_sigmet"),
+}
 
 
 @query(
     "k7_run_weather_job",
-    profiles(
+    contents_sql(
         {
-            "metar_latest_by_station": f"SELECT * FROM {METAR_LATEST}",
-            "metar_history_by_station": f"SELECT * FROM {METAR_HISTORY}",
-            "sigmet_by_validtime": f"SELECT * FROM {SIGMETS}",
-            "taf_by_station": f"SELECT * FROM {TAFS}",
-        }
+            "metar_latest_by_station": (f"SELECT * FROM {whole(METAR_LATEST)}", weather.METAR_LATEST),
+            "metar_history_by_station": (f"SELECT * FROM {whole(METAR_HISTORY)}", weather.METAR_HISTORY),
+            "sigmet_by_validtime": (f"SELECT * FROM {SIGMETS}", weather.SIGMET),
+            "taf_by_station": (f"SELECT * FROM {TAFS}", weather.TAF),
+        },
+        {
+            name: (f"SELECT * FROM {source}", columns)
+            for (name, columns), source in zip(WEATHER_ARCHIVES.items(), (GOOD_METAR, TAF, SIGMET))
+        },
+        f"""SELECT '{{"type":"Feature","p' AS value FROM {METAR} WHERE seq % {BROKEN} = 0""",
+        {
+            "consumed": f"(SELECT count(*) FROM {METAR}) + (SELECT count(*) FROM {TAF}) + (SELECT count(*) FROM {SIGMET})",
+            "processed": f"(SELECT count(*) FROM {GOOD_METAR}) + (SELECT count(*) FROM {TAF}) + (SELECT count(*) FROM {SIGMET})",
+            "failed": f"SELECT count(*) FROM {METAR} WHERE seq % {BROKEN} = 0",
+        },
     ),
 )
 def k7(spark, sf_dir):
+    """The weather job, stopped after some of its micro-batches and started again; everything it has stored, by content."""
     folder = new_folder(spark, "topics")
-    written(spark, sf_dir, f"{folder}/a", fixtures.metar_messages)
-    written(spark, sf_dir, f"{folder}/b", fixtures.taf_messages)
-    written(spark, sf_dir, f"{folder}/c", fixtures.sigmet_messages)
     config = job_config(spark, folder)
-    names = ["metar_latest_by_station", "metar_history_by_station", "sigmet_by_validtime", "taf_by_station"]
-    return run_job(spark, config, lambda: jobs.run_weather_job(spark, config), names)
+    made = [fixtures.metar_messages, fixtures.taf_messages, fixtures.sigmet_messages]
+    metar, taf, sigmet = [in_order(staged(f(spark, sf_dir), "messages"), F.col("offset"), 3) for f in made]
+    rows = broken(metar).unionByName(taf).unionByName(sigmet)
+    start = lambda: jobs.run_weather_job(spark, config)
+    run_with_restart(spark, config, folder, rows, start, ["weather_tables", "weather_archives"])
+    return contents(spark, config, WEATHER_TABLES, WEATHER_ARCHIVES, schemas.METAR_TOPIC)
 
 
 @query("k4_console_sink", f"SELECT count(*) AS row_count FROM {SIGMET}")
@@ -587,19 +728,34 @@ def k4(spark, sf_dir):
 
 @query(
     "k8_stream_lag",
-    f"""SELECT 'flights_raw' AS topic, CAST(0 AS INTEGER) AS partition, max(seq) FILTER (seq % 3 = 0) AS current_offset,
-        max(seq) AS high_offset, max(seq) - max(seq) FILTER (seq % 3 = 0) AS lag,
-        max(seq) - max(seq) FILTER (seq % 3 = 0) < 10000 AS ok FROM {STATES}""",
+    f"""SELECT batch_id, 'flights_raw' AS topic, partition, max(seq) FILTER (seq // (high // 3 + 1) <= batch_id) + 1 AS current_offset,
+        max(seq) + 1 AS high_offset, max(seq) - max(seq) FILTER (seq // (high // 3 + 1) <= batch_id) AS lag,
+        max(seq) - max(seq) FILTER (seq // (high // 3 + 1) <= batch_id) < 10000 AS ok
+        FROM (SELECT seq, CAST(seq % 4 AS INTEGER) AS partition, max(seq) OVER () AS high FROM {STATES}) s,
+            (SELECT unnest([0, 1, 2])::BIGINT AS batch_id) b GROUP BY batch_id, partition""",
 )
 def k8(spark, sf_dir):
-    """Lag of a reader that has come to the last offset that three divides; progress as Kafka reports it."""
-    offsets = fixtures.flight_state_messages(spark, sf_dir).groupBy("topic", "partition").agg(
-        F.max(F.when(F.col("offset") % 3 == 0, F.col("offset"))).alias("reached"), F.max("offset").alias("newest")
-    )
-    row = offsets.first()
-    part = lambda offset: {row["topic"]: {str(row["partition"]): offset}}
-    source = {"endOffset": part(row["reached"]), "latestOffset": part(row["newest"])}
-    return monitor.stream_lag(spark, {"sources": [source]})
+    """Lag after each of three micro-batches over four partitions, as the listener of a job takes it down.
+
+    There is no broker here, so the progress reports are texts in the form a broker's source writes, with the offsets of the
+    given messages: what a batch has reached is the offset after the last message of its third of all offsets.
+    """
+    offsets = fixtures.flight_state_messages(spark, sf_dir).select("topic", F.col("offset"), (F.col("offset") % 4).alias("partition"))
+    high = offsets.agg(F.max("offset")).first()[0]
+    third = F.floor(F.col("offset") / F.lit(high // 3 + 1))
+    log = monitor.BatchLog()
+    for number in range(3):
+        reached = F.max(F.when(third <= number, F.col("offset"))) + 1
+        ends = offsets.groupBy("topic", "partition").agg(reached.alias("reached"), (F.max("offset") + 1).alias("newest")).collect()
+        end, latest = {}, {}
+        for row in ends:
+            end.setdefault(row["topic"], {})[str(row["partition"])] = row["reached"]
+            latest.setdefault(row["topic"], {})[str(row["partition"])] = row["newest"]
+        source = {"description": "KafkaV2[Subscribe[flights_raw]]", "endOffset": end, "latestOffset": latest, "numInputRows": 0}
+        log.take({"name": "reader", "batchId": number, "sources": [source]})
+    path = new_folder(spark, "log")
+    log.store(spark, path)
+    return spark.read.parquet(f"{path}-lag").drop("query")
 
 
 @query(

@@ -278,15 +278,21 @@ def vacuum(spark: SparkSession, table: KeyedTable, keep: int = 1) -> None:
         remove(spark, f"{table.path}/state/through={number}")
 
 
-def feed(table: KeyedTable, batch: DataFrame, batch_id: int) -> None:
-    """Write one micro-batch, and keep the table's log short.
+def maintain(spark: SparkSession, table: KeyedTable, batch_id: int) -> None:
+    """Keep the table's log short: compact it when ``batch_id`` is the last of ``compact_every``.
 
     The state before the last compaction stays for readers that have it open.
     """
+    due = table.compact_every and batch_id % table.compact_every == table.compact_every - 1
+    if due and (_states(spark, table) or _log(spark, table)):
+        compact(spark, table)
+        vacuum(spark, table, keep=2)
+
+
+def feed(table: KeyedTable, batch: DataFrame, batch_id: int) -> None:
+    """Write one micro-batch, and keep the table's log short."""
     append_changes(table, batch, batch_id)
-    if table.compact_every and batch_id % table.compact_every == table.compact_every - 1:
-        compact(batch.sparkSession, table)
-        vacuum(batch.sparkSession, table, keep=2)
+    maintain(batch.sparkSession, table, batch_id)
 
 
 def upsert_sink(

@@ -340,6 +340,20 @@ def test_message_counters(spark, states, tmp_path):
         spark.streams.removeListener(log)
 
 
+def test_lag_of_every_batch_is_stored(spark, tmp_path, rows):
+    log = monitor.BatchLog()
+    for number, name in enumerate(["mine", "other", "mine"]):
+        source = {"endOffset": {"t": {"0": 5, "1": 7}}, "latestOffset": {"t": {"0": 20005, "1": 7}}, "numInputRows": 3}
+        log.take({"name": name, "batchId": number, "sources": [source, {"endOffset": {"logOffset": 1}, "numInputRows": 1}]})
+    log.names.add("mine")
+    assert log.lag(spark).count() == 4
+    log.store(spark, f"{tmp_path}/log")
+    found = rows(spark.read.parquet(f"{tmp_path}/log-lag").filter("batch_id = 2"))
+    assert found == [("mine", 2, "t", 0, 5, 20005, 20000, False), ("mine", 2, "t", 1, 7, 7, 0, True)]
+    assert rows(spark.read.parquet(f"{tmp_path}/log").select("query", "batch_id", "consumed")) == [("mine", 0, 4), ("mine", 2, 4)]
+    assert not log.lines and not log.behind
+
+
 def test_lag(spark, rows):
     progress = {"sources": [{"endOffset": {"t": {"0": 5, "1": 7}}, "latestOffset": '{"t": {"0": 20005, "1": 7}}'}]}
     assert rows(monitor.stream_lag(spark, progress)) == [("t", 0, 5, 20005, 20000, False), ("t", 1, 7, 7, 0, True)]
@@ -376,8 +390,11 @@ def test_flight_and_weather_jobs(spark, tmp_path, rows):
     airports = spark.createDataFrame([(1, "A", "NA"), (2, "B", "NB")], "id INT, icao_code STRING, country_iso2 STRING")
     places = spark.createDataFrame([(1, 0.0, 0.0, "GH"), (2, 50.0, 100.0, "MN")], "id BIGINT, lat DOUBLE, lon DOUBLE, country STRING")
     queries = jobs.run_flight_job(spark, config, airports, places) + jobs.run_weather_job(spark, config)
-    jobs.await_all(spark)
-    assert len(queries) == 16 and len({q.name for q in queries}) == 16 and not any(q.exception() for q in queries)
+    jobs.await_all(spark, config)
+    config.log.leave(spark)
+    assert len(queries) == 9 and len({q.name for q in queries}) == 9 and not any(q.exception() for q in queries)
+    # One subscription feeds the tables without state, one the archives; a query with state reads its own topic.
+    assert [len(q.lastProgress.sources) for q in queries] == [1] * 9
 
     def table(name):
         return tables.current_view(spark, jobs.table_of(config, name))
@@ -397,9 +414,11 @@ def test_flight_and_weather_jobs(spark, tmp_path, rows):
     assert spark.read.parquet(f"{tmp_path}/archive/flight_raw").count() == 3
     dead = spark.read.parquet(f"{tmp_path}/dead/{schemas.FLIGHT_STATES_TOPIC}")
     assert sorted(r.value for r in dead.collect()) == ['{"time_position": "abc"}', "{broken"]
-    states_archive = next(q for q in queries if q.name == "archive_flight_raw")
-    line = monitor.batch_stats(states_archive).first()
-    assert (line.consumed, line.processed, line.failed) == (5, 3, 2)
+    log = spark.read.parquet(config.batch_log)
+    assert {r["query"] for r in log.select("query").collect()} == {q.name for q in queries}
+    line = log.filter("query = 'flight_archives'").agg(*[F.sum(c) for c in ("consumed", "processed", "failed")]).first()
+    assert tuple(line) == (8, 6, 2)
+    assert log.filter("query = 'weather_tables'").agg(F.sum("consumed")).first()[0] == 4
 
 
 def test_key_conditions_reach_the_files(spark, tmp_path):
