@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyflow.llm import common
+from skyflow.plans.ordering import first_per_key
+from skyflow.plans.staging import staged
 
 #: Bound of the training sample, in documents of each language: those with the smallest hash of their id.
 SAMPLE = 1_000
@@ -242,14 +244,11 @@ def fit(docs: DataFrame, vocabulary: list[str], *, id_col: str = "doc_id", text_
         F.col(f"`{lang_col}`").alias("lang"),
     ).filter(F.col("lang").isNotNull() & (common.fold(F.col("doc_id"), FOLDS) != HELD_OUT))
     documents = {row["lang"]: row["count"] for row in known.groupBy("lang").count().collect()}
-    ids = None
-    for language in sorted(documents):
-        # A bounded number of ids of each language; no text is ordered.
-        chosen = known.filter(F.col("lang") == language).select("doc_id").distinct()
-        chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-        ids = chosen if ids is None else ids.union(chosen)
-    if ids is None:
+    if not documents:
         return train({}, {}, vocabulary)
+    # The same bounded number of ids for each language, all found in one pass; no text is ordered.
+    by_hash = [F.xxhash64("doc_id").asc(), F.col("doc_id").asc()]
+    ids = staged(first_per_key(known.select("lang", "doc_id").distinct(), ["lang"], by_hash, SAMPLE).select("doc_id"), "language-ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
@@ -260,10 +259,9 @@ def fit(docs: DataFrame, vocabulary: list[str], *, id_col: str = "doc_id", text_
 
     sample = known.join(F.broadcast(ids), "doc_id", "left_semi").select("lang", "text")
     tallies = sample.mapInArrow(common.releasing(run), "lang string, word string").groupBy("lang", "word").count()
-    counts: dict[str, dict[str, int]] = {}
-    for language in sorted(documents):
-        top = tallies.filter(F.col("lang") == language).orderBy(F.desc("count"), "word").limit(SAMPLE_WORDS)
-        counts[language] = {row["word"]: row["count"] for row in top.collect()}
+    counts: dict[str, dict[str, int]] = {language: {} for language in documents}
+    for row in first_per_key(tallies, ["lang"], [F.desc("count"), F.asc("word")], SAMPLE_WORDS).collect():
+        counts[row["lang"]][row["word"]] = row["count"]
     return train(counts, documents, vocabulary)
 
 

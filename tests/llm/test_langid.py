@@ -83,3 +83,25 @@ def test_long_pieces_are_used():
     longest = vocabulary[number]
     (_, lattice), = langid.Pieces(vocabulary).lattices([longest.removeprefix(langid.START)])
     assert lattice[0, int(not longest.startswith(langid.START)), len(longest) - 1] == number
+
+
+def test_reads_do_not_grow_with_the_languages(spark):
+    """Thirty languages: the documents are read four times, as they are for two."""
+    vocabulary = list("abcdefghijklmnopqrstuvwxyz")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    letters = "abcdefghijklmnopqrstuvwxyzäöüß"
+    rows = [(i, f"{letters[i % 30] * 3} {letters[i % 30]} w", f"l{i % 30:02}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs.mapInArrow(counted, docs.schema), vocabulary)
+    assert len(model.languages) == 30 and read.value <= 3 * 600
+    found = langid.predict(docs.mapInArrow(counted, docs.schema), model).collect()
+    assert read.value <= 4 * 600
+    known = {"abcdefghijklmnopqrstuvwxyz".index(t[0]) for _, t, _ in rows if t[0] in vocabulary}
+    right = sum(r.lang_pred == f"l{r.doc_id % 30:02}" for r in found if r.doc_id % 30 in known)
+    assert right > 0.9 * 26 * 20
