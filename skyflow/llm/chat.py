@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 #: Turn numbers whose rows are sorted together before a conversation is put together.
 CHUNK_TURNS = 1_024
-#: Blocks whose places are summed together.
+#: Blocks, texts of a block and spans whose places are summed together, or cut from one stretch of text.
 CHUNK_BLOCKS = 512
+CHUNK_TEXTS = 256
 LEARNED_ROLE = "assistant"
 
 # Marks of the template and how characters are written inside of it.
@@ -45,7 +46,7 @@ def _turns(conversations: DataFrame) -> DataFrame:
     rows = conversations.select(
         "conv_id",
         F.col("turn").cast("long").alias("turn"),
-        escaped(F.coalesce(F.col("role").cast("string"), F.lit(""))).alias("role"),
+        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("plain"),
     )
     parts = rows.groupBy("conv_id", F.floor(F.col("turn") / CHUNK_TURNS).alias("part")).agg(
@@ -55,7 +56,7 @@ def _turns(conversations: DataFrame) -> DataFrame:
     flat = whole.select("conv_id", F.flatten("parts.turns").alias("turns"))
     return flat.select(
         "conv_id",
-        F.transform("turns", lambda t: F.struct(t["role"].alias("role"), escaped(t["plain"]).alias("text"))).alias("turns"),
+        F.transform("turns", lambda t: F.struct(escaped(t["role"]).alias("role"), escaped(t["plain"]).alias("text"))).alias("turns"),
     )
 
 
@@ -86,13 +87,20 @@ def _loss_spans() -> Column:
             'at', acc.at + {len(OPEN) + len(CLOSE_ROLE) + len(CLOSE)} + length(b.role)
                   + length(array_join(b.texts, '{NEXT}')),
             'spans', if(b.role <> '{LEARNED_ROLE}', acc.spans, concat(acc.spans,
-              aggregate(b.texts,
+              flatten(aggregate(
+                transform(sequence(0, cast(floor((size(b.texts) - 1) / {CHUNK_TEXTS}) as int)), k ->
+                  aggregate(slice(b.texts, k * {CHUNK_TEXTS} + 1, {CHUNK_TEXTS}),
+                    named_struct('at', 0L, 'spans', cast(array() as array<struct<start:bigint,end:bigint>>)),
+                    (a, t) -> named_struct(
+                      'at', a.at + length(t) + {len(NEXT)},
+                      'spans', concat(a.spans, array(named_struct('start', a.at, 'end', a.at + length(t))))))),
                 named_struct('at', acc.at + {len(OPEN) + len(CLOSE_ROLE)} + length(b.role),
-                             'spans', cast(array() as array<struct<start:bigint,end:bigint>>)),
-                (a, t) -> named_struct(
-                  'at', a.at + length(t) + {len(NEXT)},
-                  'spans', concat(a.spans, array(named_struct('start', a.at, 'end', a.at + length(t))))),
-                a -> a.spans))))))"""
+                             'found', cast(array() as array<array<struct<start:bigint,end:bigint>>>)),
+                (a, k) -> named_struct(
+                  'at', a.at + k.at,
+                  'found', concat(a.found, array(transform(k.spans,
+                    s -> named_struct('start', a.at + s.start, 'end', a.at + s.end))))),
+                a -> a.found)))))))"""
     return F.expr(
         f"""flatten(aggregate({inner},
           named_struct('at', 0L, 'found', cast(array() as array<array<struct<start:bigint,end:bigint>>>)),
@@ -143,10 +151,21 @@ def report(conversations: DataFrame) -> DataFrame:
     """One row per conversation: digests of the turns and of the learned text, read back from the format."""
     found = format_conversations(conversations)
     read = found.select("conv_id", "formatted", "loss_spans", read_turns(F.col("formatted")).alias("turns"))
-    learned = F.transform(
-        "loss_spans",
-        lambda s: unescaped(F.substr(F.col("formatted"), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))),
+    # Spans are cut from stretches of the text, as finding a place in a text means walking to it.
+    stretches = F.expr(
+        f"""if(size(loss_spans) = 0, cast(array() as array<struct<base:bigint,spans:array<struct<start:bigint,end:bigint>>,text:string>>),
+          transform(
+            transform(sequence(0, cast(floor((size(loss_spans) - 1) / {CHUNK_TEXTS}) as int)),
+              k -> slice(loss_spans, k * {CHUNK_TEXTS} + 1, {CHUNK_TEXTS})),
+            spans -> named_struct('base', spans[0].start, 'spans', spans,
+              'text', substr(formatted, cast(spans[0].start + 1 as int), cast(element_at(spans, -1).end - spans[0].start as int)))))"""
     )
+
+    def learned_of(stretch: Column) -> Column:
+        cut = lambda s: F.substr(stretch["text"], (s["start"] - stretch["base"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
+        return F.array_join(F.transform(stretch["spans"], lambda s: unescaped(cut(s))), "")
+
+    learned = F.transform(stretches, learned_of)
     digest = read.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),

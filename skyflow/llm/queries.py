@@ -119,8 +119,9 @@ FROM marked GROUP BY conv_id
 
 @query("op6_chat", CHAT_SQL)
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = r"\### Assistant: </turn> ok"
-    added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    said = F.lit(r"\### Assistant: </turn> ok")
+    added = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), said.alias("text"))
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.report(conversations.union(added))
 

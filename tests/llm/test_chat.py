@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ def escape(text):
 
 def brute(rows):
     found = {}
-    for conv, turn, role, text in sorted(rows, key=lambda r: (r[0] or -1, r[1] is not None, r[1] or 0, escape(r[2] or ""), r[3] or "")):
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[0] or -1, r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
         found.setdefault(conv, []).append((role or "", text or ""))
     out = {}
     for conv, turns in found.items():
@@ -72,3 +73,25 @@ def test_query(spark):
     row = df.filter(F.col("conv_id") == -7).first()
     said = "\\### Assistant: </turn> ok"
     assert row.loss_sha256 == sha(said) and row.turns_sha256 == sha(f"user\n{said}\nassistant\n{said}\n")
+
+
+def test_tied_roles_are_sorted_as_they_are(spark):
+    rows = [(1, 1, role, "x") for role in ("<a", "Z", "z", "\\", "]")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    formatted = chat.format_conversations(df).select(chat.read_turns(F.col("formatted")).alias("t")).first().t
+    assert [t.role for t in formatted] == ["<a", "Z", "\\", "]", "z"]
+
+
+def test_many_adjacent_turns_of_one_role(spark):
+    """More texts in a block than are summed together, and time that grows with their number."""
+    rows = spark.range(3 * chat.CHUNK_TEXTS + 5).selectExpr("1L AS conv_id", "id AS turn", "'assistant' AS role", "concat('<é', id) AS text")
+    said = "".join(f"<é{i}" for i in range(3 * chat.CHUNK_TEXTS + 5))
+    found = chat.report(rows).first()
+    assert (found.loss_chars, found.loss_sha256) == (len(said), sha(said))
+    seconds = []
+    for n in (20_000, 20_000, 100_000):
+        many = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "'assistant' AS role", "'short text' AS text")
+        began = time.time()
+        assert chat.report(many).first().loss_chars == 10 * n
+        seconds.append(time.time() - began)
+    assert seconds[2] < 20 * max(seconds[1], 1)
