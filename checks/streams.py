@@ -130,6 +130,11 @@ def closed(result: str, rows: str, bucket: str, width: int, delay: int, clock: s
     )
 
 
+def at_once(result: str, rows: str, bucket: str, width: int, delay: int, clock: str) -> str:
+    """SQL for the windows that a watermark has passed, where no row comes late."""
+    return f"SELECT * FROM {result} WHERE {bucket} + {width} <= (SELECT max({clock}) FROM {rows}) - {delay}"
+
+
 @query("s7_read_stream", f"""SELECT icao24 AS key, seq AS "offset" FROM {STATES}""")
 def s7(spark, sf_dir):
     stream = stream_of(spark, sf_dir, fixtures.flight_state_messages, schemas.FLIGHT_STATES_TOPIC)
@@ -214,6 +219,32 @@ def a9_stream(spark, sf_dir):
     return stored(spark, transitions.ground_transitions_stream(state_stream(spark, sf_dir)), ["icao24", "time"])
 
 
+#: Days without a flag after which an aircraft is forgotten, and the changes then: a first flag after a gap is none.
+GAP = 2 * 86400
+SHORT_MEMORY = TRANSITIONS.replace(
+    "WHERE before <> on_ground", f"WHERE before <> on_ground AND time_position - last_seen <= {GAP}"
+).replace("AS before", "AS before, lag(time_position) OVER (PARTITION BY icao24 ORDER BY time_position) AS last_seen")
+
+
+@query("a9_stream_restart", at_once(SHORT_MEMORY, STATES, "time", 1, 10, "time_position"))
+def a9_restart(spark, sf_dir):
+    """Half of the time read, the query started again over the other half; aircraft are forgotten after two days."""
+    folder, checkpoint = new_folder(spark, "topics"), new_folder(spark, "checkpoint")
+    made = staged(fixtures.flight_state_messages(spark, sf_dir), "states")
+    rows = staged(in_order(made, F.get_json_object("value", "$.last_contact").cast("long")), "states")
+    table = tables.KeyedTable(new_folder(spark, "table"), ["icao24", "time"])
+    with few_partitions(spark):
+        for numbers in (range(2), range(2, FILES)):
+            write_files(rows, folder, numbers)
+            stream = messages.read_stream(
+                spark, "parquet", schemas.FLIGHT_STATES_TOPIC, location=f"{folder}/*", position="earliest", options={"maxFilesPerTrigger": "1"}
+            )
+            states = parse.parse_flight_states(messages.with_message_metadata(stream))
+            changes = transitions.ground_transitions_stream(states, forget_after=GAP)
+            tables.upsert_sink(changes, table, "feed", checkpoint, ONCE).awaitTermination()
+    return tables.current_view(spark, table)
+
+
 @query("k1_upsert_sink_metar_latest", f"SELECT * FROM {METAR_LATEST}")
 def k1(spark, sf_dir):
     metar = parse.parse_metar(stream_of(spark, sf_dir, fixtures.metar_messages, schemas.METAR_TOPIC))
@@ -596,11 +627,6 @@ def names(text):
     return text.replace(",", " ").split()
 
 
-def at_once(result: str, rows: str, bucket: str, width: int, delay: int, clock: str) -> str:
-    """SQL for the windows that a watermark has passed, where no row comes late."""
-    return f"SELECT * FROM {result} WHERE {bucket} + {width} <= (SELECT max({clock}) FROM {rows}) - {delay}"
-
-
 def whole(source: str) -> str:
     """SQL for ``source`` made of the messages that are not broken."""
     return source.replace(STATES, GOOD_STATES).replace(METAR, GOOD_METAR)

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -13,36 +12,59 @@ from skyflow.operators.transitions import event_name
 from skyflow.plans.ordering import ingest_order
 
 CHANGES = "icao24 STRING, time BIGINT, on_ground BOOLEAN"
-LAST_FLAG = "on_ground BOOLEAN"
+LAST = "on_ground BOOLEAN, seen BIGINT"
+#: Seconds after which an aircraft that is not seen is forgotten.
+FORGET_AFTER = 30 * 86400
 
 
 class FlagChanges(StatefulProcessor):
-    """Seconds at which the flag of an aircraft differs from the one before."""
+    """Seconds at which the flag of an aircraft differs from the one before.
+
+    The state of an aircraft is its last flag and when it was seen. A timer on event time removes it when the aircraft
+    has not been seen for ``forget_after`` seconds; there is one timer per aircraft, moved when it fires too early.
+    """
+
+    def __init__(self, forget_after: int):
+        self._forget_after = forget_after
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last_flag", LAST_FLAG)
+        self._handle = handle
+        self._last = handle.getValueState("last", LAST)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        known = self._last.get() if self._last.exists() else None
+        flag, seen = known if known else (None, None)
+        for time, on_ground in sorted((row["time"], row["on_ground"]) for row in rows):
+            if seen is not None and time - seen > self._forget_after:
+                flag = None
+            if flag is not None and flag != on_ground:
+                yield Row(icao24=key[0], time=time, on_ground=on_ground)
+            flag, seen = on_ground, time
+        self._last.update((flag, seen))
+        if known is None:
+            self._handle.registerTimer((seen + self._forget_after) * 1000 + 1)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        seconds = pd.concat(rows).sort_values("time")
-        before = seconds["on_ground"].shift().astype("boolean")
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self._last.exists():
-            before.iloc[0] = self._last.get()[0]
-        self._last.update((bool(seconds["on_ground"].iloc[-1]),))
-        changed = before.notna() & (before != seconds["on_ground"]).fillna(False)
-        yield seconds.loc[changed, ["icao24", "time", "on_ground"]]
+            due = (self._last.get()[1] + self._forget_after) * 1000 + 1
+            if due <= expiredTimerInfo.getExpiryTimeInMs():
+                self._last.clear()
+            else:
+                self._handle.registerTimer(due)
+        return iter([])
 
     def close(self) -> None:
         pass
 
 
-def ground_transitions_stream(flights: DataFrame, delay: str = "10 seconds") -> DataFrame:
+def ground_transitions_stream(flights: DataFrame, delay: str = "10 seconds", forget_after: int = FORGET_AFTER) -> DataFrame:
     """``ground_transitions`` for a stream, with the same rows once the watermark has passed.
 
     An aggregation first settles the flag of each aircraft and second. It combines copies
     before the shuffle and gives seconds out only when they are closed, so each aircraft's
     flags reach the stateful step in time order over all micro-batches, whatever the order
-    of arrival within ``delay``. That step keeps one flag per aircraft, and a 24-bit
-    address bounds the number of aircraft. It sorts the seconds an aircraft has in one
+    of arrival within ``delay``. That step keeps one flag per aircraft seen in the last ``forget_after`` seconds; the first
+    flag after a longer gap is no change. It sorts the seconds an aircraft has in one
     micro-batch, so bound those with the source's ``maxOffsetsPerTrigger`` or
     ``maxFilesPerTrigger``, as the jobs do. It needs the RocksDB state store.
     """
@@ -54,7 +76,7 @@ def ground_transitions_stream(flights: DataFrame, delay: str = "10 seconds") ->
         known.withWatermark("timestamp", delay)
         .groupBy(F.window("timestamp", "1 second").alias("w"), "icao24")
         .agg(F.max_by("on_ground", order).alias("on_ground"))
-        .select("icao24", F.unix_seconds("w.start").alias("time"), "on_ground")
+        .select("icao24", F.unix_seconds("w.start").alias("time"), "on_ground", F.window_time("w").alias("at"))
     )
-    changes = seconds.groupBy("icao24").transformWithStateInPandas(FlagChanges(), CHANGES, "Append", "None")
+    changes = seconds.groupBy("icao24").transformWithState(FlagChanges(forget_after), CHANGES, "Append", "EventTime")
     return changes.select("icao24", "time", event_name(F.col("on_ground")).alias("event"))

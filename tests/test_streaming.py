@@ -103,6 +103,31 @@ def test_transitions_over_batches(spark, states, tmp_path, rows):
     assert rows(view) == [("a", 1000, "departure"), ("a", 20, "departure"), ("a", 60, "arrival")]
 
 
+def test_aircraft_not_seen_are_forgotten(spark, states, tmp_path, rows):
+    """State is dropped after an hour without a flag, over restarts; the first flag after that is no change."""
+    states.add(state("a", 10, True), state("b", 10, True))
+    states.add(state("a", 3000, False))
+    states.add(state("z", 6000, True))
+
+    def changes():
+        stream = transitions.ground_transitions_stream(parse.parse_flight_states(states.read(spark)), forget_after=3600)
+        view, query = stored(spark, stream, tmp_path, ["icao24", "time"])
+        return rows(view), [json.loads(p.json)["stateOperators"] for p in query.recentProgress]
+
+    assert changes()[0] == [("a", 3000, "departure")]
+    states.add(state("a", 6500, True), state("b", 6500, False))
+    states.add(state("z", 20_000, True))
+    found, _ = changes()
+    assert found == [("a", 3000, "departure"), ("a", 6500, "arrival")]
+    states.add(state("z", 40_000, False))
+    states.add(state("z", 60_000, False))
+    found, progress = changes()
+    assert found == [("a", 3000, "departure"), ("a", 6500, "arrival")]
+    # Of the three aircraft the last is known, and the second of its flag that is still open.
+    last = [operator for operators in progress for operator in operators if operator["operatorName"].startswith("transformWithState")][-1]
+    assert last["numRowsTotal"] <= 3
+
+
 def batch_of(spark, *tuples):
     return spark.createDataFrame(list(tuples), "k STRING, t INT, v STRING")
 
