@@ -23,6 +23,8 @@ from skyflow.plans.staging import staged
 
 #: Bound of the training sample, in documents of each language: those with the smallest hash of their id.
 SAMPLE = 1_000
+#: Parts in which the documents of a language are looked through for the sample.
+SPREAD = 64
 #: Distinct words of a language that are learned from, the most frequent ones.
 SAMPLE_WORDS = 30_000
 ROUNDS = 4
@@ -248,7 +250,10 @@ def fit(docs: DataFrame, vocabulary: list[str], *, id_col: str = "doc_id", text_
         return train({}, {}, vocabulary)
     # The same bounded number of ids for each language, all found in one pass; no text is ordered.
     by_hash = [F.xxhash64("doc_id").asc(), F.col("doc_id").asc()]
-    ids = staged(first_per_key(known.select("lang", "doc_id").distinct(), ["lang"], by_hash, SAMPLE).select("doc_id"), "language-ids")
+    # A language with a large share of the documents is cut to so many ids in parts first.
+    part = F.pmod(F.xxhash64("doc_id", F.lit(0)), F.lit(SPREAD)).alias("part")
+    few = first_per_key(known.select("lang", "doc_id", part).distinct(), ["lang", "part"], by_hash, SAMPLE)
+    ids = staged(first_per_key(few, ["lang"], by_hash, SAMPLE).select("doc_id"), "language-ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
