@@ -11,7 +11,7 @@ from checks.fixtures import oracle
 from checks.registry import query
 from skyflow.functions import columns as c
 from skyflow.operators import places, positions
-from skyflow.plans.staging import new_folder
+from skyflow.plans.staging import new_folder, staged
 from skyflow.sources import messages, parse, schemas
 from skyflow.sources.archive import read_archive
 from skyflow.sources.reference import read_reference
@@ -232,6 +232,29 @@ def s13(spark, sf_dir):
     return read_reference(spark, path, "airports").select(*fields)
 
 
+@query(
+    "s13_read_reference_array",
+    f"""SELECT seq AS id, icao_code, country_iso2, city_iata_code, concat(trim(airport_name), ' {{"}}]') AS airport_name,
+        CAST(seq AS DOUBLE) + 0.5 AS latitude FROM {AIRPORTS}""",
+)
+def s13_array(spark, sf_dir):
+    """The same table from files that hold one array of 20,000 elements each, read in pieces of 64 KB."""
+    rows = inputs.airports(spark, sf_dir).withColumns(
+        {"latitude": F.col("id") + 0.5, "airport_name": F.concat(F.col("airport_name"), F.lit(' {"}]'))}
+    )
+    element = F.to_json(F.struct(*[F.col(name).cast("string").alias(name) for name in rows.columns]))
+    path, size = new_folder(spark, "airports"), "spark.sql.files.maxPartitionBytes"
+    arrays = rows.groupBy(F.floor(F.col("id") / 20_000)).agg(F.concat(F.lit("["), F.concat_ws(", ", F.collect_list(element)), F.lit("]")).alias("value"))
+    arrays.select("value").write.text(path)
+    fields = ["id", "icao_code", "country_iso2", "city_iata_code", "airport_name", "latitude"]
+    before = spark.conf.get(size)
+    spark.conf.set(size, 64 * 1024)
+    try:
+        return staged(read_reference(spark, path, "airports", multi_line=True).select(*fields), "elements")
+    finally:
+        spark.conf.set(size, before)
+
+
 @query("s14_flatten_pages", f"SELECT seq, icao_code, airline_name, country_name, fleet_size FROM {AIRLINES}")
 def s14(spark, sf_dir):
     items = fixtures.rows(spark, sf_dir, "airlines")

@@ -8,6 +8,7 @@ from skyflow.operators import weather
 from skyflow.plans.staging import new_folder
 from skyflow.sources import messages, parse
 from skyflow.sources.archive import read_archive
+from skyflow.sources.arrays import array_elements
 from skyflow.sources.reference import read_reference
 from skyflow.streaming.sinks import publish, to_messages, write_archive
 
@@ -125,6 +126,34 @@ def test_reference(spark, tmp_path):
     assert (row.id, row.icao_code, row.latitude, row.longitude) == (7, "KJFK", 40.64, None)
 
 
+def hard_elements(count):
+    """Objects with braces, quotes and backslashes in their texts, nested ones, and such that look alike."""
+    texts = ["", "}", '}{"', "\\\\", '\\"}', "[{},", "x" * 90, "é}\n{"]
+    return [{"id": str(i), "airport_name": texts[i % 8], "more": [{"a": {"b": texts[(i + 3) % 8]}}, {}], "z": texts[i % 5]} for i in range(count)]
+
+
+@pytest.mark.parametrize("block", [37, 64, 1000])
+def test_array_elements(spark, tmp_path, block):
+    rows = hard_elements(60)
+    (tmp_path / "a.json").write_text(json.dumps(rows, ensure_ascii=False))
+    (tmp_path / "b.json").write_text("[\n" + " ,\n".join(json.dumps(row, indent=1) for row in rows[:20]) + "\n]\n")
+    (tmp_path / "c.json").write_text(" [] \n")
+    (tmp_path / "d.json").write_text("")
+    before = {name: spark.conf.get(name) for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        assert spark.read.option("lineSep", "}").text(str(tmp_path)).rdd.getNumPartitions() > 5
+        found = [json.loads(row.value) for row in array_elements(spark, str(tmp_path)).collect()]
+        read = read_reference(spark, str(tmp_path), "airports", multi_line=True).select("id", "airport_name").collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    by_text = lambda items: sorted(json.dumps(item, sort_keys=True) for item in items)
+    assert by_text(found) == by_text(rows + rows[:20])
+    assert sorted((r.id, r.airport_name) for r in read) == sorted((int(r["id"]), r["airport_name"].strip(" ")) for r in rows + rows[:20])
+
+
 def test_start_position():
     assert messages.starting_offsets("earliest") == "earliest"
     assert messages.starting_offsets('{"t":{"0":5}}')
