@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from skyflow.llm import ann
@@ -46,21 +47,61 @@ def test_small(spark, rows, monkeypatch):
     assert ann.nearest_neighbours(vectors.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
-def test_windows_count_collisions():
+def ladder(index, query, query_id, nearest):
+    """Rows verified and the step of the first width that ends a search, by all distances and all cosines."""
+    unit = index.vectors / index.lengths[:, None]
+    query = query / np.linalg.norm(query)
+    distance, cosine = np.abs((unit - query) @ index.directions), unit @ query
+    step = 0
+    while True:
+        width = ann.FIRST_WIDTH * ann.WIDER**step
+        rows = np.flatnonzero((distance <= width).sum(axis=1) >= ann.THRESHOLD * ann.PROJECTIONS)
+        best = {}
+        for row in rows:
+            if index.ids[row] != query_id:
+                best[index.ids[row]] = max(best.get(index.ids[row], -2), cosine[row])
+        near = sorted(best.values(), reverse=True)
+        sure = len(near) >= nearest and width >= ann.SURE * np.sqrt(max(0, 2 - 2 * near[nearest - 1]))
+        share = lambda n: min(n, max(ann.LEAST_VERIFIED, int(ann.SHARE_VERIFIED * n)))
+        many = len(set(index.ids[rows].tolist())) >= share(len(set(index.ids.tolist())))
+        many = many and len({tuple(np.round(unit[r], 9)) for r in rows}) >= share(len({tuple(np.round(u, 9)) for u in unit}))
+        if sure or many:
+            return rows, step, near
+        step += 1
+
+
+@pytest.mark.parametrize("narrow", [1, 12, 10**9])
+def test_windows_count_collisions(monkeypatch, narrow):
+    """Each search ends at the first width that ends it, wherever the one before ended, with what collides there."""
+    monkeypatch.setattr(ann, "NARROW", narrow)
     rng = np.random.default_rng(1)
-    vectors = rng.standard_normal((1000, 16))
-    index = ann.CollisionIndex(np.arange(1000), vectors)
-    query = vectors[7] / np.linalg.norm(vectors[7])
-    rows = index.candidates(query)
-    assert 7 in rows and len(rows) >= ann.LEAST_VERIFIED
-    at, unit = query @ index.directions, vectors / index.norms[:, None]
-    distance = np.abs(unit @ index.directions - at)
-    needed = int(np.ceil(ann.THRESHOLD * ann.PROJECTIONS))
-    # The widest window is the first with enough rows; the rows are exactly those that collide in it.
-    width = ann.FIRST_WIDTH
-    while ((distance <= width).sum(axis=1) >= needed).sum() < ann.LEAST_VERIFIED:
-        width *= ann.WIDER
-    assert rows.tolist() == np.flatnonzero((distance <= width).sum(axis=1) >= needed).tolist()
+    close = rng.standard_normal((20, 16))
+    vectors = np.concatenate([rng.standard_normal((800, 16)), np.repeat(close, 20, axis=0) + 0.01 * rng.standard_normal((400, 16))])
+    index = ann.CollisionIndex(np.arange(1200) // 2 * 2, vectors)
+    steps = set()
+    for row in (7, 900, 1100, 20, 30, 1199):
+        rows, step, near = ladder(index, vectors[row], index.ids[row], 5)
+        found = index.search(index.ids[row], vectors[row], 5)
+        at = (vectors[row] / np.linalg.norm(vectors[row])) @ index.directions
+        assert index.step == step and index.colliding(at, ann.FIRST_WIDTH * ann.WIDER**step).tolist() == rows.tolist()
+        assert np.allclose([score for _, score in found], near[:5], atol=1e-12)
+        steps.add(step)
+    assert max(steps) - min(steps) > 10
+
+
+def test_near_vectors_end_the_search_early():
+    """In groups of close vectors a small part of the block is touched, and nothing is missed."""
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((400, 32))
+    vectors = np.repeat(centres, 10, axis=0) + 0.05 * rng.standard_normal((4000, 32))
+    index, unit = ann.CollisionIndex(np.arange(4000), vectors), vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    for row in range(0, 4000, 100):
+        found = [i for i, _ in index.search(row, vectors[row], 5)]
+        cosine = unit @ unit[row]
+        cosine[row] = -2
+        assert found == np.argsort(-cosine)[:5].tolist()
+        at, width = unit[row] @ index.directions, ann.FIRST_WIDTH * ann.WIDER**index.step
+        assert (np.abs(unit @ index.directions - at) <= width).mean() < 0.25
 
 
 def test_repeated_rows_take_one_place(spark, rows):
