@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyflow.llm import common
+from skyflow.plans.staging import staged
 
-#: Bounds of the training sample, in documents: those with the smallest hash of their id.
+#: Bounds of the training sample, in texts: those whose id has the smallest hash.
 POSITIVES = 2_000
 UNLABELLED = 6_000
 #: Features kept at most, those that tell positives from unlabelled text best, and how well at least.
@@ -130,7 +131,11 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     if not positive or not unlabelled:
         return None
     positive, unlabelled = distinct(positive), distinct(unlabelled)
-    features = choose_features(positive, unlabelled)
+    return train_on(choose_features(positive, unlabelled), positive, unlabelled, prior)
+
+
+def train_on(features: np.ndarray, positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Model:
+    """A linear classifier on the given features, from sets of which every row counts."""
     size = len(features)
     sides = [(*_matrix(rows, features), len(rows)) for rows in (positive, unlabelled)]
     w = np.zeros(size + 1)
@@ -164,39 +169,85 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     return Model(features, w[:-1], float(min(w[-1], np.log(prior / (1 - prior)))))
 
 
-def _sampled_features(docs: DataFrame, ids: DataFrame) -> list[np.ndarray]:
-    """Feature sets of the documents in ``ids``, at most POSITIVES or UNLABELLED of them."""
+def _sample(docs: DataFrame, ids: DataFrame, bound: int) -> DataFrame:
+    """Rows (doc_id, digest): at most ``bound`` different texts, of the documents in ``ids`` with the smallest hash.
+
+    However many rows an id has and however many texts, no more are taken.
+    """
+    few = ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+    texts = docs.join(F.broadcast(few), "doc_id", "left_semi").select("doc_id", F.xxhash64("text").alias("digest"))
+    return texts.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "digest").limit(bound)
+
+
+def feature_sets(docs: DataFrame, positive: DataFrame, unlabelled: DataFrame) -> DataFrame:
+    """Rows (found, p, u): the different feature sets of two samples, and 1 for each sample a set is in, else 0."""
+    marked = positive.select("doc_id", "digest", F.lit(1).alias("p"), F.lit(0).alias("u")).union(
+        unlabelled.select("doc_id", "digest", F.lit(0), F.lit(1))
+    )
+    # Bounded: POSITIVES and UNLABELLED rows.
+    sampled = F.broadcast(marked.groupBy("doc_id", "digest").agg(F.max("p").alias("p"), F.max("u").alias("u")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches):
+            sets = [np.array(features_of(data), np.int32) for data in common.as_bytes(batch["text"])]
+            found = pa.array(sets, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([found, batch["p"], batch["u"]], ["found", "p", "u"])
+
+    texts = docs.withColumn("digest", F.xxhash64("text")).join(sampled, ["doc_id", "digest"]).select("text", "p", "u")
+    sets = texts.mapInArrow(common.releasing(run), "found array<int>, p int, u int")
+    return sets.groupBy("found").agg(F.max("p").alias("p"), F.max("u").alias("u"))
+
+
+def best_features(sets: DataFrame, positives: int, unlabelled: int) -> np.ndarray:
+    """What ``choose_features`` finds in the sets of ``feature_sets``, counted and ranked by Spark; at most FEATURES."""
+    counts = sets.select(F.explode("found").alias("feature"), "p", "u").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    share = (F.col("p") + F.col("u")) / F.lit(positives + unlabelled)
+    deviation = F.sqrt(share * (1 - share) * F.lit(1 / positives + 1 / unlabelled) + F.lit(1e-9))
+    z = (F.col("p") / F.lit(positives) - F.col("u") / F.lit(unlabelled)) / deviation
+    told = counts.filter((F.col("p") > 0) & (F.col("p") + F.col("u") >= LEAST_DOCS)).select("feature", z.alias("z"))
+    best = told.filter(F.col("z") > LEAST_Z).orderBy(F.desc("z"), "feature").limit(FEATURES).collect()
+    return np.sort(np.array([row["feature"] for row in best], np.int64))
+
+
+def _chosen_columns(sets: DataFrame, features: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The positive and the unlabelled sets, each cut to ``features``, in an order that hangs on them alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
-            # As bytes, a set takes four bytes a feature on the driver.
-            sets = [np.array(features_of(data), "<i4").tobytes() for data in common.as_bytes(batch["text"])]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sets, pa.binary())], ["doc_id", "found"])
+            cut = []
+            for row in range(batch.num_rows):
+                found = batch["found"][row].values.to_numpy(zero_copy_only=False)
+                cut.append(found[np.isin(found, features)].astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(cut, pa.binary()), batch["p"], batch["u"]], ["found", "p", "u"])
 
-    chosen = docs.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(common.releasing(run), "doc_id long, found binary")
-    rows = sorted((row["doc_id"], bytes(row["found"])) for row in chosen.collect())
-    return [np.frombuffer(found, "<i4") for _, found in rows]
+    # Bounded: POSITIVES and UNLABELLED rows of FEATURES numbers of four bytes at most.
+    rows = sets.mapInArrow(common.releasing(run), "found binary, p int, u int").collect()
+    sides = (sorted(bytes(row["found"]) for row in rows if row[side]) for side in ("p", "u"))
+    positive, unlabelled = ([np.frombuffer(found, "<i4") for found in side] for side in sides)
+    return positive, unlabelled
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model | None:
     """Train on documents outside the held-out fold: labelled toxic ones, and any as unlabelled.
 
-    The prior is the toxic share of the labelled rows outside that fold. Null labels are none.
+    The prior is the toxic share of the labelled rows outside that fold. Null labels are none. Copies of a text
+    count once. The sample's feature sets stay in the shared folder; the driver gets the chosen features of each.
     """
     texts = common.id_and_text(docs, id_col, text_col)
     learned = lambda df: df.filter(common.fold(F.col("doc_id"), HELD_OUT_FOLDS) != HELD_OUT)
-    first = lambda df, n: df.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     known = learned(labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{label_col}`").alias("label")))
     share = known.agg(F.avg((F.col("label") == 1).cast("double"))).first()[0]
     if not share:
         return None
     ids = learned(texts.select("doc_id"))
     toxic = known.filter("label = 1").select("doc_id")
-    positive = _sampled_features(texts, first(toxic.join(ids, "doc_id", "left_semi"), POSITIVES))
-    unlabelled = _sampled_features(texts, first(ids, UNLABELLED))
-    return train(positive, unlabelled, min(max(share, 0.001), 0.999))
-
-
+    positive = _sample(texts, toxic.join(ids, "doc_id", "left_semi"), POSITIVES)
+    sets = staged(feature_sets(texts, positive, _sample(texts, ids, UNLABELLED)), "toxicity-sets")
+    positives, unlabelled = sets.agg(F.sum("p"), F.sum("u")).first()
+    if not positives or not unlabelled:
+        return None
+    features = best_features(sets, positives, unlabelled)
+    return train_on(features, *_chosen_columns(sets, features), min(max(share, 0.001), 0.999))
 
 
 def _scored(df: DataFrame, model: Model | None, text_at: int, name: str) -> DataFrame:

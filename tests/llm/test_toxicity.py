@@ -59,3 +59,42 @@ def test_few_examples_leave_other_text_alone():
     positive = [np.array([1, 2, 3, 100 + i]) for i in range(9)]
     unlabelled = [np.array([1, 2, 3, 200 + i]) for i in range(9)] + [np.array([300 + i]) for i in range(141)]
     assert toxicity.train(positive, unlabelled, 0.14).score(b"") < 0.3
+
+
+def fixture(spark, copies=1):
+    """Toxic and other texts; some ids have several rows, and several texts."""
+    toxic = [(i, f"you awful{i % 3} awful{i % 3} person{i % 7} number {i}") for i in range(60)]
+    clean = [(100 + i, f"a nice person{i % 7} number {i % 90}") for i in range(300)]
+    many = [(0, f"awful0 text {i % 40}") for i in range(40 * copies)] + clean[:50] * copies
+    docs = spark.createDataFrame([*toxic, *clean, *many, (None, "awful1"), (500, None)], "doc_id long, text string")
+    return docs, spark.createDataFrame([(i, 1) for i in range(60)] + [(100 + i, 0) for i in range(300)], "doc_id long, toxic int")
+
+
+def test_training_equals_brute_force(spark, monkeypatch):
+    """Sample, features and weights as found from all rows at once."""
+    monkeypatch.setattr(toxicity, "LEAST_Z", 2.0)
+    docs, labels = fixture(spark)
+    learned = lambda i: i is not None and zlib.crc32(str(i).encode()) % 4 != 2
+    rows = {(r.doc_id, r.text or "") for r in docs.collect() if learned(r.doc_id)}
+    of = lambda keep: [np.array(toxicity.features_of(t.encode()), "<i4") for i, t in sorted(rows) if keep(i)]
+    known = [i for i in [*range(60), *range(100, 400)] if learned(i)]
+    wanted = toxicity.train(of(lambda i: i < 60), of(lambda i: True), sum(i < 60 for i in known) / len(known))
+    model = toxicity.fit(docs, labels)
+    assert len(model.features) > 5 and model.features.tolist() == wanted.features.tolist()
+    assert np.allclose(model.weights, wanted.weights, atol=1e-9) and abs(model.bias - wanted.bias) < 1e-9
+
+
+def test_repeated_ids_do_not_grow_the_sample(spark, monkeypatch):
+    """At most POSITIVES and UNLABELLED texts, though one id has a third of the rows and forty texts."""
+    docs, labels = fixture(spark)
+    more, _ = fixture(spark, copies=20)
+    once, again = toxicity.fit(docs, labels), toxicity.fit(more, labels)
+    assert once.features.tolist() == again.features.tolist() and once.weights.tolist() == again.weights.tolist()
+    monkeypatch.setattr(toxicity, "POSITIVES", 10)
+    monkeypatch.setattr(toxicity, "UNLABELLED", 30)
+    ids = more.select("doc_id").filter("doc_id is not null")
+    positive = toxicity._sample(more, ids.filter("doc_id < 60"), toxicity.POSITIVES)
+    unlabelled = toxicity._sample(more, ids, toxicity.UNLABELLED)
+    assert positive.count() == 10 and unlabelled.count() == 30
+    sets = toxicity.feature_sets(more, positive, unlabelled).agg(F.sum("p"), F.sum("u")).first()
+    assert 0 < sets[0] <= 10 and 0 < sets[1] <= 30
