@@ -147,6 +147,8 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col)
     first = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    nameless = docs.sparkSession.range(1).select(F.lit(None).cast("long").alias("doc_id"))
-    kept = first.union(nameless).select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept.hint("shuffle_hash"), docs[id_col].cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
+    kept = first.select(F.col("doc_id").alias("_kept_id"))
+    number = F.col(f"`{id_col}`").cast("long")
+    # Rows without id would all meet in one task of the join.
+    named = docs.filter(number.isNotNull()).join(kept.hint("shuffle_hash"), number == F.col("_kept_id"), "left_semi")
+    return named.union(docs.filter(number.isNull()))
