@@ -86,6 +86,26 @@ def test_large_index_is_shuffled_and_gives_the_same(spark, monkeypatch):
     assert countries(spark, spots, points) == small == [*(brute_force(*point, spots) for point in points[:-1]), "Unknown"]
 
 
+def test_multiplied_candidates_are_never_sent_to_the_driver(spark, monkeypatch):
+    """A cell's split multiplies rows that the optimizer takes for few; only the winners of few cells may be broadcast."""
+    rng = random.Random(11)
+    spots = [(i, rng.uniform(-80, 80), rng.uniform(-180, 180), f"N{i % 40}") for i in range(300)]
+    built = []
+    kept = p._pruned
+
+    def watched(pairs, cells):
+        made = kept(pairs, cells)
+        built.append((cells, made._jdf.queryExecution().executedPlan().toString()))
+        return made
+
+    monkeypatch.setattr(p, "_pruned", watched)
+    monkeypatch.setattr(p, "BROADCAST_CELLS", 32)
+    points = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(300)]
+    assert countries(spark, spots, points) == [brute_force(*point, spots) for point in points]
+    assert built[0][0] == 32 and "BuildRight" in built[0][1] and len(built) > 1
+    assert all("SortMergeJoin" in plan and "BroadcastHashJoin" not in plan for _, plan in built[1:])
+
+
 def test_no_places(spark):
     assert countries(spark, [(1, None, None, "A")], [(0.0, 0.0), (None, 1.0)]) == ["Unknown", "Unknown"]
 
