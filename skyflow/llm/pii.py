@@ -1,8 +1,8 @@
 """Personal data: patterns, and candidates chosen by gradient-boosted trees.
 
 Patterns with checks find e-mail addresses, IP addresses, payment cards and phone numbers. Looser
-generators propose further spans, which may overlap. Trees, boosted on a bounded sample, score the
-proposals by format and context; a threshold per kind, calibrated on documents left out of the
+generators propose further spans, which may overlap. Trees, boosted on the proposals of all documents, score
+them by format and context; a threshold per kind, calibrated on documents left out of the
 training, selects those to redact. Everything runs as Spark expressions.
 """
 
@@ -42,8 +42,6 @@ CONTEXT = 24
 SECRET_CONTEXT = r"(?i)(?:key|token|secret|passw(?:or)?d|pwd|credential)s?[\"']?\s*[:=]\s*[\"']?$"
 CONTEXT_WORDS = r"(?i)\b(?:call|phone|tel|fax|mobile|contact|mail|reach|card|visa|account|address|host|server|ip)\b"
 
-#: Bounds of the training sample: documents with the smallest hash of their id, and candidates.
-SAMPLE_DOCS, SAMPLE_CANDIDATES = 4_000, 20_000
 TREES, DEPTH, BINS = 10, 3, 16
 #: Share of confirmed candidates that a threshold must reach on the calibration part, which is every third document.
 PRECISION = 0.95
@@ -263,14 +261,14 @@ def _beside(base: Column, proposed: Column, position: str, late: tuple[int, int]
 
 
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
-    """Boost trees on a bounded sample of documents; None where no kind can be learned.
+    """Boost trees on the candidates of all documents; None where no kind can be learned.
 
     A candidate is confirmed if a base span overlaps it, a secret if what stands before it names one.
-    The features see neither.
+    The features see neither. Spark's learner takes the limits at which a feature may be split from some of the rows;
+    which of them are used, what the leaves predict and the thresholds come from every row. Rows alike are one with a weight.
     """
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    ids = texts.select("doc_id").filter("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    sample = _with_base(texts.join(F.broadcast(ids), "doc_id", "left_semi"), F.col("text"), ["base", "proposed"])
+    found = _with_base(texts, F.col("text"), ["base", "proposed"])
 
     def examples(parts: Column) -> Column:
         # A base span overlaps a candidate if it begins before its end and ends after its start.
@@ -283,24 +281,18 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> M
         return F.transform(_beside(F.col("base"), F.col("proposed"), "end", (1, 0)), example)
 
     # From a plain explode a filter on the candidates would be inferred and run over all documents.
-    rows = sample.select("doc_id", F.explode_outer(_bound(_parts(F.col("text")), examples)).alias("c")).filter("c IS NOT NULL")
-    chosen = (
-        rows.select("doc_id", "c.kind", "c.start", "c.f", "c.label")
-        .orderBy(F.xxhash64("doc_id", "start", "kind"), "doc_id", "start", "kind")
-        .limit(SAMPLE_CANDIDATES)
-        .select((F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("left_out"), "kind", "label", "f")
-        .repartition(4)
-        .persist()
-    )
+    rows = found.select("doc_id", F.explode_outer(_bound(_parts(F.col("text")), examples)).alias("c")).filter("c IS NOT NULL")
+    left_out = (F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("left_out")
+    chosen = rows.groupBy(left_out, "c.kind", "c.label", "c.f").agg(F.count("*").alias("n")).persist()
     seen = {row["label"] for row in chosen.filter("NOT left_out").select("label").distinct().collect()}
     if seen != {0.0, 1.0}:
         chosen.unpersist()
         return None
-    learner = GBTClassifier(featuresCol="v", maxIter=TREES, maxDepth=DEPTH, maxBins=BINS, seed=7)
-    fitted = learner.fit(chosen.filter("NOT left_out").select("label", array_to_vector("f").alias("v")))
+    learner = GBTClassifier(featuresCol="v", weightCol="n", maxIter=TREES, maxDepth=DEPTH, maxBins=BINS, seed=7)
+    fitted = learner.fit(chosen.filter("NOT left_out").select("label", "n", array_to_vector("f").alias("v")))
     model = Model(tuple(read_trees(fitted.toDebugString)), {})
     binned = F.floor(model.score(F.col("f")) * SCORE_BINS).cast("int").alias("bin")
-    tallies = chosen.filter("left_out").groupBy("kind", binned).agg(F.count("*").alias("n"), F.sum("label").alias("good")).collect()
+    tallies = chosen.filter("left_out").groupBy("kind", binned).agg(F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("good")).collect()
     chosen.unpersist()
     thresholds = {}
     for kind in GENERATORS:

@@ -135,6 +135,27 @@ def test_model_adds_what_looks_alike(spark):
     assert pii.redact(more, model).filter("doc_id = 1").first().text == "you can call [NUMBER] today"
 
 
+def test_every_document_is_learned_from(spark):
+    """The learner is given every candidate of the documents that are not left out, also beyond the 4,000 once sampled."""
+    named, other = "api_key = AKIA{0:012d}", "the number AKIA{0:012d} here"
+    texts = [(n, (named if n % 40 else other).format(n) + f" mail a{n}@b.com") for n in range(8000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    taken = {}
+    real = pii.GBTClassifier.fit
+
+    def fit(self, rows, *args):
+        taken["n"] = rows.agg(F.sum("n")).first()[0]
+        return real(self, rows, *args)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pii.GBTClassifier, "fit", fit)
+        model = pii.fit(docs)
+    left_out = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).count()
+    per_document = pii._with_base(docs, F.col("text"), ["b", "p"]).agg(F.min(F.size("p")), F.max(F.size("p"))).first()
+    assert per_document[0] == per_document[1] and taken["n"] == per_document[0] * (8000 - left_out) > 2 * 4000
+    assert model and set(model.thresholds) <= {*pii.GENERATORS}
+
+
 def test_query(spark):
     texts = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
     df = QUERIES["op1_pii"](spark, SF)
