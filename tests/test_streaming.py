@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from checks import streams
 from skyflow.operators import activity, positions, serving
 from skyflow.sources import archive, messages, parse, schemas
 from skyflow.sources.archive import read_archive
@@ -128,6 +129,23 @@ def test_aircraft_not_seen_are_forgotten(spark, states, tmp_path, rows):
     assert last["numRowsTotal"] <= 3
 
 
+def test_aircraft_share_a_state(spark, states, tmp_path, rows):
+    """A bucket has many aircraft, some of which are forgotten before others; state does not grow with the aircraft."""
+    names = [f"a{n}" for n in range(3000)]
+    states.add(*[state(name, 10 + n % 50, True) for n, name in enumerate(names)])
+    states.add(*[state(name, 3000, False) for name in names[::3]])
+    states.add(state("z", 5000, True))
+    states.add(*[state(name, 6000, True) for name in names[1::3]], *[state(name, 6000, True) for name in names[::3]])
+    states.add(state("z", 9000, True))
+    stream = transitions.ground_transitions_stream(parse.parse_flight_states(states.read(spark)), forget_after=3600)
+    view, query = stored(spark, stream, tmp_path, ["icao24", "time"])
+    expected = [(name, 3000, "departure") for name in names[::3]] + [(name, 6000, "arrival") for name in names[::3]]
+    assert rows(view) == sorted(expected, key=repr)
+    progress = [json.loads(p.json)["stateOperators"] for p in query.recentProgress]
+    states_of = [o["numRowsTotal"] for operators in progress for o in operators if o["operatorName"].startswith("transformWithState")]
+    assert 0 < max(states_of) <= 3 * transitions.BUCKETS
+
+
 def batch_of(spark, *tuples):
     return spark.createDataFrame(list(tuples), "k STRING, t INT, v STRING")
 
@@ -344,6 +362,14 @@ def test_console(spark, states, tmp_path):
     assert progress["numInputRows"] == 1 and "Console" in progress["sink"]["description"]
 
 
+def test_console_brings_few_rows_to_the_driver(spark, states, tmp_path):
+    states.add(*[state(f"a{n}", n) for n in range(1000)])
+    query = sinks.console_sink(states.read(spark).select("topic"), 5, "show", f"{tmp_path}/c", ONCE)
+    query.awaitTermination()
+    progress = json.loads(query.recentProgress[0].json)
+    assert progress["numInputRows"] == 1000 and progress["sink"]["numOutputRows"] == 5
+
+
 def test_message_counters(spark, states, tmp_path):
     states.add(state("a", 1), "{broken")
     log = monitor.BatchLog()
@@ -459,3 +485,21 @@ def test_key_conditions_reach_the_files(spark, tmp_path):
     pushed = [part.split("]")[0] for part in plan.split("PushedFilters: [")[1:]]
     assert len(pushed) == 2 and all("hour_bucket" in conditions for conditions in pushed)
     assert active.count() == 3
+
+
+def test_steps_of_several_files_are_one_batch_each(spark, tmp_path, monkeypatch):
+    """A step has as many files as its rows need, one of them at least empty here, and is one micro-batch in order."""
+    monkeypatch.setattr(streams, "FILE_BYTES", 1)
+    monkeypatch.setattr(streams, "estimated_bytes", lambda rows: 7)
+
+    def made(spark, sf_dir):
+        return spark.range(0, 40, 1, 8).filter("id < 3 OR id > 30").select(
+            F.col("id").cast("string").alias("key"), F.lit("{}").alias("value"), F.lit("t").alias("topic"),
+            F.lit(0).alias("partition"), F.col("id").alias("offset"), F.timestamp_seconds("id").alias("timestamp"),
+        )
+
+    seen = []
+    stream = streams.stream_of(spark, "", made, "t")
+    handle = lambda batch, n: seen.append(sorted(r["offset"] for r in batch.collect()))
+    sinks.for_each_message_batch(stream, handle, "h", f"{tmp_path}/c", ONCE).awaitTermination()
+    assert seen == [[0, 1, 2], [], [], [*range(31, 40)]]
