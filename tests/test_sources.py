@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from checks import fixtures
 from skyflow.operators import weather
 from skyflow.plans.staging import new_folder
 from skyflow.sources import messages, parse
@@ -29,6 +30,18 @@ def test_sensors_are_an_array(spark):
     assert (row.icao24, row.sensors) == ("a", [1, 2])
 
 
+def test_track_messages_do_not_broadcast_the_orders(spark, tmp_path):
+    day = datetime.datetime(2024, 1, 1)
+    spark.createDataFrame([(1, 7, day), (2, 8, day)], "o_orderkey LONG, o_custkey LONG, o_orderdate TIMESTAMP").write.parquet(f"{tmp_path}/orders.parquet")
+    items = [(1, 5, 6, 1, 2.0, day), (1, 5, 6, 2, 3.0, day), (2, 5, 6, 1, 4.0, day), (3, 5, 6, 1, 5.0, day)]
+    schema = "l_orderkey LONG, l_partkey LONG, l_suppkey LONG, l_linenumber INT, l_extendedprice DOUBLE, l_shipdate TIMESTAMP"
+    spark.createDataFrame(items, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    made = fixtures.flight_track_messages(spark, str(tmp_path))
+    assert "BroadcastExchange" not in made._jdf.queryExecution().executedPlan().toString()
+    found = {row.offset: (row.key.split("-")[0], len(json.loads(row.value)["path"])) for row in made.collect()}
+    assert found == {1: ("000007", 2), 2: ("000008", 1)}
+
+
 def test_undecodable_messages_keep_their_row(spark):
     df = parse.parse_flight_states(raw(spark, '{"a":7,', None, {"icao24": "x"}))
     assert sorted(r.icao24 or "" for r in df.collect()) == ["", "", "x"]
