@@ -94,7 +94,8 @@ def links(distinct: DataFrame) -> DataFrame:
     centre = distinct.select("bits", cell_of(F.col("bits")).alias("centre"), F.explode(cells_near(F.col("bits"))).alias("step"))
     placed = centre.select((F.col("centre") + F.col("step")).alias("cell"), "bits", "centre")
     shared = placed.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1")
-    candidates = staged(placed.join(shared, "cell"), "simhash-cells")
+    # Both sides are taken for no larger than the fingerprints they are exploded from.
+    candidates = staged(placed.join(shared.hint("merge"), "cell"), "simhash-cells")
 
     small = candidates.filter(F.col("n") <= CELL_ROWS)
     a = small.select("cell", F.col("bits").alias("u"), F.col("centre").alias("cu"))
@@ -102,7 +103,7 @@ def links(distinct: DataFrame) -> DataFrame:
     # Of the cells a pair shares, one or two count, which depends on the pair only.
     once = F.when(F.col("cu") == F.col("cv"), F.col("cell") == F.col("cu")).otherwise(F.col("cell") != F.col("cv"))
     close = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= MOST_BITS
-    pairs = a.join(b, "cell").filter((F.col("u") < F.col("v")) & once & close).select("u", "v")
+    pairs = a.join(b.hint("merge"), "cell").filter((F.col("u") < F.col("v")) & once & close).select("u", "v")
 
     crowded = candidates.filter(F.col("n") > CELL_ROWS).select("bits").distinct()
     flips = F.array(F.lit(0).cast("long"), *[F.lit((1 << i) - ((1 << 64) if i == 63 else 0)).cast("long") for i in range(64)])
@@ -133,9 +134,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         "bits", "first_id", F.coalesce("component", "bits").alias("component")
     )
     firsts = classes.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    ids = classes.join(firsts, "component").select(F.col("bits").alias("class_bits"), "component_id")
+    # Tables that grow with the documents are merged: stored, they take a fraction of what a broadcast of them takes on the driver.
+    ids = classes.join(firsts.hint("merge"), "component").select(F.col("bits").alias("class_bits"), "component_id")
     hexadecimal = F.lower(F.lpad(F.hex("bits"), 16, "0"))
-    return rows.join(ids, rows["bits"] == ids["class_bits"], "left").select(
+    return rows.join(ids.hint("merge"), rows["bits"] == ids["class_bits"], "left").select(
         "doc_id", hexadecimal.alias("fingerprint"), "component_id"
     )
 

@@ -91,6 +91,27 @@ def test_links_connect_what_brute_force_connects(spark, monkeypatch):
         assert {(i, min(g)) for g in groups.values() for i in g} == wanted
 
 
+def test_what_grows_with_the_documents_is_never_broadcast(spark, monkeypatch):
+    """The optimizer takes exploded rows for as few as the fingerprints, and these for as small as their files."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    kept, plans = simhash.staged, {}
+
+    def watched(df, name):
+        plans[name] = plan(df)
+        return kept(df, name)
+
+    monkeypatch.setattr(simhash, "staged", watched)
+    docs = spark.createDataFrame([(i, f"text number {i // 2}") for i in range(60)], "doc_id long, text string")
+    found = simhash.near_duplicates(docs)
+    assert found.count() == 60 and found.select("component_id").distinct().count() == 30
+    joins = [line for line in plan(found).splitlines() if "Join" in line]
+    assert "SortMergeJoin" in plans["simhash-cells"] and "Broadcast" not in plans["simhash-cells"]
+    # The links' components are joined first; what is made of them meets the fingerprints and the rows by shuffles.
+    assert ["SortMergeJoin" in line for line in joins[:2]] == [True, True]
+    pairs = simhash.links(spark.range(100).select(F.col("id").alias("bits")))
+    assert "SortMergeJoin" in plan(pairs) and "Broadcast" not in plan(pairs)
+
+
 def test_cells_bound_the_distance(spark):
     rng = random.Random(9)
     pairs = []
