@@ -4,7 +4,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from skyflow.llm import pii, toxicity
+from skyflow.llm import pii, simhash, toxicity
 from skyflow.llm.common import table
 from tests.llm import test_decontaminate, test_pii, test_simhash
 
@@ -68,3 +68,21 @@ def test_stages_take_odd_tables(spark):
             found = stage(spark, table_, SF)
             assert name == "bpe" or found.columns == docs.columns
             assert found.count() <= table_.count()
+
+
+def test_near_duplicate_stage_broadcasts_no_fingerprints(spark, monkeypatch):
+    """The optimizer takes exploded fingerprints for few; links alone may be small enough to send around."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    kept, plans = simhash.staged, {}
+
+    def watched(df, name):
+        plans[name] = plan(df)
+        return kept(df, name)
+
+    monkeypatch.setattr(simhash, "staged", watched)
+    docs = spark.createDataFrame([(i, f"text number {i // 2}") for i in range(60)], "doc_id long, text string")
+    found = corpus_pipeline.without_near_duplicates(spark, docs, SF)
+    assert sorted(row.doc_id for row in found.collect()) == [*range(0, 60, 2)]
+    assert "Broadcast" not in plans["simhash-cells"]
+    joins = [line for line in plan(found).splitlines() if "Join" in line]
+    assert "ShuffledHashJoin" in joins[0] and all("SortMergeJoin" in line for line in joins[1:3])
