@@ -391,6 +391,34 @@ def test_message_counters(spark, states, tmp_path):
         spark.streams.removeListener(log)
 
 
+def test_messages_are_decoded_once_to_be_counted_and_split(spark, tmp_path, monkeypatch, rows):
+    """All counters share one decoding, and the archives split messages by what it found."""
+    optimized = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    raw = messages.with_message_metadata(
+        spark.createDataFrame([("k", "{broken", schemas.METAR_TOPIC, 0, 0, datetime.datetime(2024, 1, 1))], schemas.RAW_MESSAGE)
+    )
+    counted = monitor.with_message_counters(raw, {schemas.METAR_TOPIC: schemas.METAR})
+    assert counted.columns == raw.columns and optimized(counted).count("from_json") == 1
+    Topic(tmp_path / "metar", schemas.METAR_TOPIC).add(
+        {"properties": {"id": "K", "obsTime": "2024-01-01T00:00:00Z", "temp": 2}}, "{broken", {"properties": 3}
+    )
+    config = jobs.JobConfig(
+        f"{tmp_path}/metar", f"{tmp_path}/tables", f"{tmp_path}/archive", f"{tmp_path}/checkpoints", "json", "earliest", archive_trigger=ONCE
+    )
+    written = {}
+
+    def watched(batch, batch_id, path, timestamp):
+        # What stands above the batch that is kept; a filter below a parser would decode again.
+        written[path] = optimized(batch).split("InMemoryRelation")[0].count("from_json"), rows(batch)
+
+    monkeypatch.setattr(jobs, "write_archive", watched)
+    jobs._archives(spark, config, "archives", jobs.weather_topics()).awaitTermination()
+    assert written[f"{tmp_path}/archive/weather_metar"][0] == 1 and len(written[f"{tmp_path}/archive/weather_metar"][1]) == 1
+    decodings, dead = written[f"{tmp_path}/archive/dead_letters/{schemas.METAR_TOPIC}"]
+    assert decodings == 0 and sorted(row[1] for row in dead) == ['{"properties": 3}', "{broken"]
+    assert all(len(row) == 6 for row in dead)
+
+
 def test_lag_of_every_batch_is_stored(spark, tmp_path, rows):
     log = monitor.BatchLog()
     for number, name in enumerate(["mine", "other", "mine"]):
