@@ -419,6 +419,29 @@ def test_messages_are_decoded_once_to_be_counted_and_split(spark, tmp_path, monk
     assert all(len(row) == 6 for row in dead)
 
 
+def test_flight_job_does_not_look_up_rows_to_count_its_states(spark, tmp_path, monkeypatch):
+    """Its queries start with the count switched off; the session's own setting is as before."""
+    setting, seen = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", {}
+    note = lambda config, name, rows: seen.update({name: spark.conf.get(setting, None)})
+    monkeypatch.setattr(jobs, "_store", note)
+    monkeypatch.setattr(jobs, "_tables", lambda *args: None)
+    monkeypatch.setattr(jobs, "_archives", lambda *args: None)
+    monkeypatch.setattr(monitor.BatchLog, "of", lambda self, *queries: list(queries))
+    os.makedirs(tmp_path / "topics")
+    config = jobs.JobConfig(f"{tmp_path}/topics", f"{tmp_path}/t", f"{tmp_path}/a", f"{tmp_path}/c", "json", "earliest")
+    airports = spark.createDataFrame([(1, "A", "NA")], "id INT, icao_code STRING, country_iso2 STRING")
+    places = spark.createDataFrame([(1, 0.0, 0.0, "GH")], "id BIGINT, lat DOUBLE, lon DOUBLE, country STRING")
+    try:
+        for before in (None, "true"):
+            spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+            own = spark.conf.get(setting, None)
+            jobs.run_flight_job(spark, config, airports, places)
+            assert len(seen) == 4 and set(seen.values()) == {"false"} and spark.conf.get(setting, None) == own
+    finally:
+        spark.conf.unset(setting)
+        config.log.leave(spark)
+
+
 def test_lag_of_every_batch_is_stored(spark, tmp_path, rows):
     log = monitor.BatchLog()
     for number, name in enumerate(["mine", "other", "mine"]):
